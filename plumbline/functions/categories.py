@@ -176,8 +176,8 @@ def recode(value: Column, mapping: Mapping[str, str]) -> Column:
 
 
 def split_codes(value: Column) -> Column:
-    """Split text on runs of white space; NULL gives an empty array."""
-    return F.coalesce(F.split(value, r"\s+"), F.array().cast("array<string>"))
+    """Split text on runs of white space and on commas; NULL gives an empty array."""
+    return F.coalesce(F.split(value, r"\s+|,"), F.array().cast("array<string>"))
 
 
 def digit_runs(value: Column) -> Column:

@@ -19,7 +19,7 @@ DATE_AND_MINUTE = "yyyy-MM-dd HH:mm"
 
 def safe_cast(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     """Cast the named columns; malformed text becomes NULL instead of an error."""
-    return df.withColumns({name: F.trim(col(name)).try_cast(dtype) for name, dtype in types.items()})
+    return df.withColumns({name: col(name).try_cast(dtype) for name, dtype in types.items()})
 
 
 def parse_date(value: Column, fmt: str = ISO_DATE) -> Column:
