@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
 from plumbline.columns import col, join_null_safe, numeric_columns, string_columns
 from plumbline.functions.categories import UNKNOWN
@@ -87,10 +88,8 @@ def modes(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> Data
 def rank_levels(df: DataFrame, column: str) -> DataFrame:
     """Levels of a column with their count and dense rank by count."""
     counted = df.groupBy(col(column).alias("level")).agg(F.count(F.lit(1)).alias("n"))
-    # Ranks depend on the distinct counts only, which are few even for many levels.
+    # Only distinct counts are ranked: k of them need k * (k + 1) / 2 rows, so they are few.
     sizes = counted.select("n").distinct()
-    from pyspark.sql import Window
-
     ranked = sizes.withColumn("rank", F.dense_rank().over(Window.orderBy(F.desc("n"))))
     return counted.join(ranked, "n").select("level", "n", "rank")
 
