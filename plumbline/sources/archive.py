@@ -13,51 +13,72 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 ROWS_PER_FRAME = 50_000
+FAULTS = (tarfile.TarError, OSError, EOFError, UnicodeDecodeError, ValueError)
 
 
-def _members(name: str, content: bytes, columns: list[str]) -> Iterator[pd.DataFrame]:
-    """Rows of one archive in bounded frames; a fault becomes one row that names it."""
-    member_name = None
-    try:
-        with tarfile.open(fileobj=io.BytesIO(content), mode="r|gz") as archive:
-            for member in archive:
-                if not member.isfile():
-                    continue
-                member_name = member.name
-                with gzip.open(archive.extractfile(member), "rt", encoding="utf-8", newline="") as text:
-                    reader = pd.read_csv(
-                        text, dtype=str, keep_default_na=False, escapechar="\\", chunksize=ROWS_PER_FRAME
-                    )
-                    for rows in reader:
-                        rows = rows.reindex(columns=columns).apply(lambda s: s.str.strip())
-                        yield rows.assign(archive=name, member=member_name, error=None)
-    except (tarfile.TarError, OSError, EOFError, UnicodeDecodeError, ValueError) as fault:
-        empty = {c: [None] for c in columns}
-        yield pd.DataFrame({**empty, "archive": [name], "member": [member_name], "error": [str(fault) or repr(fault)]})
+def unpack_archives(archives: DataFrame) -> DataFrame:
+    """``(archive, member, content, error)``: the still compressed members of each archive.
 
+    A damaged archive adds one row with ``error`` set; members read before the fault remain.
+    """
 
-def parse_archives(archives: DataFrame, schema: T.StructType) -> DataFrame:
-    """Rows of all members of ``archives(path, content)``.
+    def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for path, content in zip(batch["path"], batch["content"]):
+                try:
+                    with tarfile.open(fileobj=io.BytesIO(content), mode="r|gz") as archive:
+                        for member in archive:
+                            if member.isfile():
+                                data = archive.extractfile(member).read()
+                                yield pd.DataFrame([(path, member.name, data, None)], columns=fields)
+                except FAULTS as fault:
+                    yield pd.DataFrame([(path, None, None, repr(fault))], columns=fields)
+
+    fields = ["archive", "member", "content", "error"]
+    return archives.select("path", "content").mapInPandas(
+        unpack, "archive string, member string, content binary, error string"
+    )
 
-    Text is stripped and kept as text. A damaged archive or member adds a row with
-    ``error`` set; rows read before the fault remain.
-    """
+
+def parse_members(members: DataFrame, schema: T.StructType) -> DataFrame:
+    """Rows of csv.gz members as stripped text, in bounded frames; faults keep their row."""
     columns = schema.names
-    out = T.StructType(
-        [T.StructField(c, T.StringType()) for c in columns]
-        + [T.StructField(c, T.StringType()) for c in ("archive", "member", "error")]
-    )
+    out = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, "archive", "member", "error"]])
+
+    def fault_row(archive: str, member: str | None, text: str) -> pd.DataFrame:
+        return pd.DataFrame([{"archive": archive, "member": member, "error": text}]).reindex(columns=out.names)
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for path, content in zip(batch["path"], batch["content"]):
-                yield from _members(path, content, columns)
+            for archive, member, content, error in batch.itertuples(index=False):
+                if error is not None:
+                    yield fault_row(archive, member, error)
+                    continue
+                try:
+                    with gzip.open(io.BytesIO(content), "rt", encoding="utf-8", newline="") as text:
+                        for rows in pd.read_csv(
+                            text, dtype=str, keep_default_na=False, escapechar="\\", chunksize=ROWS_PER_FRAME
+                        ):
+                            rows = rows.reindex(columns=columns).apply(lambda s: s.str.strip())
+                            yield rows.assign(archive=archive, member=member, error=None)
+                except FAULTS as fault:
+                    yield fault_row(archive, member, repr(fault))
+
+    return members.select("archive", "member", "content", "error").mapInPandas(parse, out)
+
 
-    return archives.select("path", "content").mapInPandas(parse, out)
+def parse_archives(archives: DataFrame, schema: T.StructType) -> DataFrame:
+    """Rows of all members of ``archives(path, content)``.
+
+    Unpacking an archive is one task's work, parsing is not: members are spread over the
+    cluster by name first, so one archive that holds much of the data does not hold it up.
+    """
+    members = unpack_archives(archives).repartition("archive", "member")
+    return parse_members(members, schema)
 
 
 def scan_archives(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Archives of a folder; each file is one task's work, so land one archive per month or year."""
+    """Rows of the archives in a folder. A file is loaded whole, which limits it to 2 GB."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.tar.gz").load(path)
     return parse_archives(files, schema)
 
