@@ -14,7 +14,7 @@ from plumbline.functions.convert import at_clock
 from plumbline.operators import stats
 from plumbline.operators.clean import drop_any_null
 from plumbline.operators.impute import impute_group_mean
-from plumbline.operators.models import Fitted, fit_boosted_trees, fit_forest, hash_split, non_empty_columns, top_features
+from plumbline.operators.models import Fitted, fit_boosted_trees, fit_forest, hash_split, top_features
 from plumbline.operators.ordered import chronological_split
 
 # Regression target per station, and the features of both models.
@@ -80,12 +80,15 @@ def injury_rows(features: DataFrame) -> DataFrame:
     return known.withColumn(TARGET, recode(col(TARGET), INJURY_REGROUP))
 
 
-def severity_model(rows: DataFrame, key: str = "dr_no", **params) -> Fitted:
-    """Forest trained on the earlier rows and scored on the later ones."""
-    parts = chronological_split(rows, "datetime_occ", [key])
-    train = parts.filter(col("part") == "train")
+def severity_parts(rows: DataFrame, key: str = "dr_no") -> DataFrame:
+    """Earlier rows to train on, later ones to validate."""
+    return chronological_split(rows, "datetime_occ", [key])
+
+
+def severity_model(parts: DataFrame, **params) -> Fitted:
+    """Forest trained on the training part and scored on the validation part."""
     return fit_forest(
-        train,
+        parts.filter(col("part") == "train"),
         parts.filter(col("part") == "validation"),
         TARGET,
         NUMERIC_FEATURES,
@@ -95,30 +98,18 @@ def severity_model(rows: DataFrame, key: str = "dr_no", **params) -> Fitted:
     )
 
 
-def accident_results(features: DataFrame, fitted: Fitted) -> dict[str, DataFrame]:
+def accident_results(features: DataFrame, parts: DataFrame, fitted: Fitted) -> dict[str, DataFrame]:
     """The data behind every chart of the accident analysis."""
+    train = parts.filter(col("part") == "train")
     return {
         "weekly_counts": stats.weekly_counts(features, "datetime_occ", "area_name"),
         "month_weekday": stats.month_weekday_mean(features, "datetime_occ"),
         "tmax_histogram": stats.histogram(features, "TMAX", stats.TEMPERATURE_BINS),
         "tmin_histogram": stats.histogram(features, "TMIN", stats.TEMPERATURE_BINS),
         "rain_rate": stats.rate_per_day(features, "is_raining", "datetime_occ"),
+        "accuracy": stats.accuracy(fitted.predictions, TARGET, "prediction"),
         "classification_report": stats.classification_report(fitted.predictions, TARGET, "prediction"),
         "confusion_matrix": stats.confusion_matrix(fitted.predictions, TARGET, "prediction"),
         "feature_importance": top_features(fitted.importances),
-        "correlations": stats.correlations(
-            injury_rows(features), [*NUMERIC_FEATURES, *TIME_FEATURES]
-        ),
+        "correlations": stats.correlations(train, [*NUMERIC_FEATURES, *TIME_FEATURES]),
     }
-
-
-__all__ = [
-    "accident_features",
-    "accident_results",
-    "air_regression",
-    "error_distribution",
-    "injury_rows",
-    "non_empty_columns",
-    "scatter",
-    "severity_model",
-]

@@ -31,12 +31,20 @@ def scan_json(spark: SparkSession, path: str, schema: T.StructType, multi_line:
     return reader.option("multiLine", multi_line).json(path)
 
 
-def corrupt_report(df: DataFrame) -> DataFrame:
-    """One row: all records and the corrupt ones among them."""
-    others = [c for c in df.columns if c != CORRUPT]
-    # A scan of the corrupt column alone would be pruned to nothing: name one more column.
-    flagged = df.select(col(CORRUPT).isNotNull().alias("corrupt"), col(others[0]).alias("other"))
-    return flagged.agg(F.count(F.lit(1)).alias("records"), F.count_if(col("corrupt")).alias("corrupt"))
+def corrupt_report(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """``(metric, n)``: all records, corrupt ones, and sound ones without their first field.
+
+    Long form keeps the first field in the scan; a scan of the corrupt column alone is refused.
+    """
+    first = next(c for c in df.columns if c not in {CORRUPT, *by})
+    keys, corrupt = [col(b) for b in by], col(CORRUPT).isNotNull()
+    counted = df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("records"),
+        F.count_if(corrupt).alias("corrupt"),
+        F.count_if(~corrupt & col(first).isNull()).alias("keyless"),
+    )
+    metrics = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("n")) for m in ("records", "corrupt", "keyless")])
+    return counted.select(*keys, F.inline(metrics))
 
 
 def records_from_pages(pages: DataFrame, text: str, record: T.StructType) -> DataFrame:
