@@ -124,6 +124,10 @@ def dq_constant_columns(spark, sf):
 DAYS = "(SELECT DISTINCT l_returnflag AS station, CAST(l_shipdate AS DATE) AS day FROM lineitem)"
 
 
+STRETCHED = """(SELECT DATE '1995-01-01' + CAST(3 * date_diff('day', DATE '1995-01-01', CAST(o_orderdate AS DATE)) AS INTEGER) AS day
+    FROM orders)"""
+
+
 @query(
     "dq_missing_dates",
     "station:s missing_date:d",
@@ -133,17 +137,18 @@ DAYS = "(SELECT DISTINCT l_returnflag AS station, CAST(l_shipdate AS DATE) AS da
     UNION ALL SELECT 'orders', missing_date FROM (SELECT CAST(unnest(generate_series(MIN(o_orderdate), MAX(o_orderdate),
       INTERVAL 1 DAY)) AS DATE) AS missing_date FROM orders)
     WHERE missing_date NOT IN (SELECT CAST(o_orderdate AS DATE) FROM orders)
-    UNION ALL SELECT 'warm days', missing_date FROM (SELECT CAST(unnest(generate_series(MIN(datetime_iso), MAX(datetime_iso),
-      INTERVAL 1 DAY)) AS DATE) AS missing_date FROM {st.WEATHER_DAILY} WHERE "TMAX" > 60 AND station = 'A')
-    WHERE missing_date NOT IN (SELECT datetime_iso FROM {st.WEATHER_DAILY} WHERE "TMAX" > 60 AND station = 'A')""",
+    UNION ALL SELECT 'stretched', missing_date FROM (SELECT CAST(unnest(generate_series(MIN(day), MAX(day),
+      INTERVAL 1 DAY)) AS DATE) AS missing_date FROM {STRETCHED}) WHERE missing_date NOT IN (SELECT day FROM {STRETCHED})""",
 )
 def dq_missing_dates(spark, sf):
-    """Per station, for the orders as a whole, and for a series with many holes."""
+    """Per station, for the orders as a whole, and for orders with their days set apart."""
     lines = table(spark, sf, "lineitem").select(col("l_returnflag").alias("station"), "l_shipdate")
-    orders = profile.missing_dates(table(spark, sf, "orders"), "o_orderdate").withColumn("station", F.lit("orders"))
-    warm = st.weather_daily(spark, sf).filter((col("TMAX") > 60) & (col("station") == "A"))
-    holes = profile.missing_dates(warm, "datetime_iso").withColumn("station", F.lit("warm days"))
-    return profile.missing_dates(lines, "l_shipdate", ["station"]).unionByName(orders).unionByName(holes)
+    orders = table(spark, sf, "orders")
+    whole = profile.missing_dates(orders, "o_orderdate").withColumn("station", F.lit("orders"))
+    origin = F.lit("1995-01-01").cast("date")
+    apart = orders.withColumn("day", F.date_add(origin, F.datediff("o_orderdate", origin) * 3))
+    holes = profile.missing_dates(apart, "day").withColumn("station", F.lit("stretched"))
+    return profile.missing_dates(lines, "l_shipdate", ["station"]).unionByName(whole).unionByName(holes)
 
 
 @query(

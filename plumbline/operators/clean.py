@@ -16,7 +16,7 @@ from pyspark.sql import Window
 from plumbline.columns import col, ordering, rows_from
 from plumbline.functions.categories import UNKNOWN
 from plumbline.operators.ordered import latest
-from plumbline.operators.profile import constant_columns
+from plumbline.operators.profile import constant_columns, nulls
 
 
 def dedup(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
@@ -52,7 +52,7 @@ def drop_constant_columns(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
 def sparse_columns(df: DataFrame, limit: float) -> DataFrame:
     """``(column, null_ratio, is_sparse)``: sparse above ``limit``, not at it."""
     counted = df.agg(
-        F.count(F.lit(1)).alias("n"), *[F.count_if(col(c).isNull()).alias(f"m_{i}") for i, c in enumerate(df.columns)]
+        F.count(F.lit(1)).alias("n"), *[nulls(c).alias(f"m_{i}") for i, c in enumerate(df.columns)]
     )
     ratio = lambda i: F.try_divide(F.col(f"m_{i}"), F.col("n"))
     return rows_from(
@@ -89,7 +89,7 @@ def unstable_columns(
     names = [c for c in df.columns if c not in {ts, *series, *exclude}]
     keys = [col(s) for s in series]
     counted = latest(df, recent, ts, series, tie_break).groupBy(*keys).agg(
-        *[F.count_if(col(c).isNull()).alias(f"m_{i}") for i, c in enumerate(names)]
+        *[nulls(c).alias(f"m_{i}") for i, c in enumerate(names)]
     )
     verdicts = F.array(
         *[

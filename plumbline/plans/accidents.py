@@ -15,6 +15,7 @@ from plumbline.operators.impute import impute_mode, impute_numeric
 from plumbline.operators.profile import relation_completeness, removal_report
 from plumbline.operators.rules import Constraint, enforce_null, recode_unlisted
 from plumbline.plans.common import TIME, Trusted, assess, assess_rules, station_of
+from plumbline.session import cut_lineage
 
 # The area the events lie in, valid codes, and NULL limits of rows and columns.
 LATITUDE = (33.0, 34.5)
@@ -85,7 +86,8 @@ def trust_accidents(df: DataFrame, as_of: Column | None = None, by: tuple[str, .
     reports = assess(df, [TIME], as_of)
     reports |= assess_rules(df, rules())
     repaired = recode_unlisted(enforce_null(df, rules()), "vict_sex", SEXES)
-    unique = dedup(repaired, ["dr_no"], [c for c in df.columns if c != "dr_no"])
+    # Everything below reads these rows several times, and one step chooses columns by them.
+    unique = cut_lineage(dedup(repaired, ["dr_no"], [c for c in df.columns if c != "dr_no"]))
     dense = drop_sparse_rows(unique, SPARSE_ROW)
     reports["removed"] = removal_report(df, [("duplicates", unique), ("sparse rows", dense)])
     constants = [r["column"] for r in reports["constant_columns"].select("column").collect()]

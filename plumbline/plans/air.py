@@ -13,7 +13,7 @@ from plumbline.functions.convert import parse_offset_timestamp, safe_cast
 from plumbline.functions.text import OBSERVATION_NULLS, nullify_tokens, rename_snake
 from plumbline.operators.clean import dedup, drop_constant_columns, drop_sparse_columns
 from plumbline.operators.impute import interpolate
-from plumbline.operators.ordered import order_violations
+from plumbline.operators.ordered import needs_split, order_violations
 from plumbline.operators.profile import relation_completeness, removal_report
 from plumbline.operators.rules import Constraint, blank_negative, enforce_null, recompute_sum
 from plumbline.operators.series import (
@@ -24,6 +24,7 @@ from plumbline.operators.series import (
     pivot_wide,
 )
 from plumbline.plans.common import TIME, Trusted, assess, assess_rules, station_of
+from plumbline.session import cut_lineage
 from plumbline.sources.schemas import AIR_PARAMETERS
 
 # Highest plausible reading per parameter, rows of the outlier window (7 days
@@ -74,6 +75,8 @@ def trust_air(df: DataFrame, as_of: Column | None = None, split: bool | None = N
     """Blank impossible values, repair nox, thin out columns, fill gaps; extreme values stay."""
     have = present_parameters(df)
     series, order = ["station"], [TIME]
+    if split is None:
+        split = needs_split(df, series)
     reports = assess(df, ["station", TIME], as_of)
 
     # Ties in time are told apart by every other column, so the order is total.
@@ -87,7 +90,8 @@ def trust_air(df: DataFrame, as_of: Column | None = None, split: bool | None = N
 
     repaired = enforce_null(blank_negative(df, have), limits(have))
     repaired = recompute_sum(repaired, "nox", ["no", "no2"])
-    unique = dedup(repaired, ["station", TIME], rest)
+    # Everything below reads these rows several times, and two steps choose columns by them.
+    unique = cut_lineage(dedup(repaired, ["station", TIME], rest))
     reports["removed"] = removal_report(df, [("duplicates", unique)])
     kept = drop_constant_columns(unique, keep=["station", TIME])
     kept = drop_sparse_columns(kept, SPARSE_LIMIT)
