@@ -107,7 +107,7 @@ def sql_trusted_accidents() -> str:
     medians = ", ".join(f"quantile_disc({c}, 0.5) AS median_{c}" for c in AREA_NUMBERS)
     fills = ", ".join(f"COALESCE(m.{c}, median_{c}) AS {c}" for c in AREA_NUMBERS)
     listed = ", ".join(f"m.{c}" for c in ["dr_no", "area_name", "date_occ", "date_rptd", *AREA_TEXT])
-    return f"""WITH repaired AS {REPAIRED}, filled AS ({sql_group_modes(AREA_TEXT, "area_name", "repaired")})
+    return f"""WITH repaired AS {REPAIRED}, filled AS ({sql_group_modes(["dr_no", *AREA_TEXT], "area_name", "repaired")})
     SELECT {listed}, {fills} FROM filled m JOIN (SELECT area_name, {medians} FROM repaired GROUP BY area_name) d USING (area_name)"""
 
 
@@ -224,17 +224,13 @@ def gbt_regression(spark, sf):
     return scores[0].unionByName(scores[1]).unionByName(scores[2])
 
 
-@query("feature_importance", "feature:s importance:f")
-def feature_importance(spark, sf):
-    """Twenty strongest features of the severity forest."""
-    return models.top_features(forest(spark, sf).importances)
-
-
-def forest(spark, sf):
-    return analysis.severity_model(analysis.severity_parts(features(spark, sf)))
-
-
-@query("rf_classifier", "class:s precision:f recall:f f1:f support:i")
+@query("rf_classifier", "report:s item:s precision:f recall:f support:i importance:f")
 def rf_classifier(spark, sf):
-    """Severity forest, reported on the later rows."""
-    return stats.classification_report(forest(spark, sf).predictions, analysis.TARGET, "prediction")
+    """Severity forest: the report on the later rows, and the twenty strongest features."""
+    fitted = analysis.severity_model(analysis.severity_parts(features(spark, sf)))
+    report = stats.classification_report(fitted.predictions, analysis.TARGET, "prediction")
+    strongest = models.top_features(fitted.importances).select(
+        F.lit("feature_importance").alias("report"), col("feature").alias("item"), "importance"
+    )
+    per_class = report.select(F.lit("class").alias("report"), col("class").alias("item"), "precision", "recall", "support")
+    return per_class.unionByName(strongest, allowMissingColumns=True)

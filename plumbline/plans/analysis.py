@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +18,7 @@ from plumbline.operators.clean import drop_any_null
 from plumbline.operators.impute import impute_group_mean
 from plumbline.operators.models import Fitted, fit_boosted_trees, fit_forest, hash_split, top_features
 from plumbline.operators.ordered import chronological_split
+from plumbline.session import cut_lineage
 
 # Regression target per station, and the features of both models.
 REGRESSION_TARGETS = {"downtown": "pm25", "reseda": "pm25", "long_beach": "o3"}
@@ -25,6 +28,8 @@ NUMERIC_FEATURES = ("vict_age", "is_weekend", "temp_range", "TMAX", "TMIN", "PRC
 CATEGORY_FEATURES = ("Location_Type", "Collision_Type", "Collision_Factor", "premis_cd")
 TARGET = "Injury_Level"
 
+MODELS_AT_ONCE = 4
+
 
 def scatter(view: DataFrame, station: str) -> DataFrame:
     """Weather against energy for one station: the data of a scatter matrix."""
@@ -40,13 +45,19 @@ def air_regression(
 ) -> dict[str, Fitted]:
     """One boosted regression per station, on station means where a value is missing."""
     filled = impute_group_mean(view, list(features), ["station"])
-    split = hash_split(filled, keys)
-    fitted = {}
-    for station, target in targets.items():
-        rows = split.filter(col("station") == station)
+    # Each station is read several times: the joins behind the view run once.
+    split = cut_lineage(hash_split(filled, keys))
+
+    def fit(station: str) -> Fitted:
+        rows, target = split.filter(col("station") == station), targets[station]
         names = [f for f in features if f != target]
-        fitted[station] = fit_boosted_trees(rows.filter("is_train"), rows.filter(~col("is_train")), target, names, **params)
-    return fitted
+        return fit_boosted_trees(
+            rows.filter("is_train"), rows.filter(~col("is_train")), target, names, keys, **params
+        )
+
+    # The models do not depend on each other, and each is a long chain of small jobs.
+    with ThreadPool(min(len(targets), MODELS_AT_ONCE)) as pool:
+        return dict(zip(targets, pool.map(inheritable_thread_target(split.sparkSession)(fit), targets)))
 
 
 def error_distribution(predictions: DataFrame, target: str) -> dict[str, DataFrame]:
@@ -81,8 +92,8 @@ def injury_rows(features: DataFrame) -> DataFrame:
 
 
 def severity_parts(rows: DataFrame, key: str = "dr_no") -> DataFrame:
-    """Earlier rows to train on, later ones to validate."""
-    return chronological_split(rows, "datetime_occ", [key])
+    """Earlier rows to train on, later ones to validate; written once, as a model reads them often."""
+    return cut_lineage(chronological_split(rows, "datetime_occ", [key]))
 
 
 def severity_model(parts: DataFrame, **params) -> Fitted:
@@ -94,6 +105,7 @@ def severity_model(parts: DataFrame, **params) -> Fitted:
         NUMERIC_FEATURES,
         TIME_FEATURES,
         CATEGORY_FEATURES,
+        ["datetime_occ", "dr_no"],
         **params,
     )
 
