@@ -98,12 +98,13 @@ def null_tokens(spark, sf):
 @query(
     "normalize_text",
     "doc_id:i text:s source:s stripped:s",
-    r"""SELECT doc_id, NULLIF(regexp_replace(trim(lower(text)), '\s+', '_', 'g'), '') AS text,
+    rf"""SELECT doc_id, NULLIF(regexp_replace(trim(lower(text)), '\s+', '_', 'g'), '') AS text,
     NULLIF(regexp_replace(trim(lower(source)), '\s+', '_', 'g'), 'src3') AS source,
-    regexp_replace(text, '^\s+|\s+$', '', 'g') AS stripped FROM documents""",
+    trim(stripped, '{text.WHITE_SPACE}') AS stripped FROM (SELECT *, CONCAT('  ', text, chr(9)) AS stripped FROM documents)""",
 )
 def normalize_text(spark, sf):
-    documents = table(spark, sf, "documents").select("doc_id", "text", "source", col("text").alias("stripped"))
+    padded = F.concat(F.lit("  "), col("text"), F.lit("\t"))
+    documents = table(spark, sf, "documents").select("doc_id", "text", "source", padded.alias("stripped"))
     done = text.normalize_text(documents, ["text", "source"], lower=True, tokens=["", "src3"])
     return text.strip_all(done)
 

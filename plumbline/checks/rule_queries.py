@@ -10,7 +10,7 @@ from plumbline.columns import col
 from plumbline.functions import predicates as p
 from plumbline.functions.convert import clock_text
 from plumbline.operators import clean, rules
-from plumbline.operators.ordered import order_violations
+from plumbline.operators.ordered import Layout, order_violations
 from plumbline.operators.profile import relation_completeness
 from plumbline.operators.rules import Constraint
 from plumbline.plans import accidents, air, weather
@@ -159,7 +159,7 @@ def dc_monotonic(spark, sf):
 @query("dc_monotonic_split", "event_id:i event_type:s ordered:b", MONOTONIC)
 def dc_monotonic_split(spark, sf):
     """The form for a series too long for one task."""
-    return order_violations(by_hour(spark, sf), "hour", ["event_type"], ["event_id"], split=True, chunks=16)
+    return order_violations(by_hour(spark, sf), "hour", ["event_type"], ["event_id"], layout=Layout(True, 16))
 
 
 @query(

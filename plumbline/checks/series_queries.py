@@ -12,6 +12,8 @@ from plumbline.operators import impute, ordered, series
 READINGS = st.select("readings")
 ACC = st.select("accidents")
 WINDOW = 84
+# Forces the form for a series too long for one task.
+CUT = ordered.Layout(True, 16)
 
 
 def sql_outliers(source: str, columns: list[str], by: str, order: str, keep: str, window: int = WINDOW) -> str:
@@ -44,7 +46,7 @@ def ts_outliers_split(spark, sf):
     """The form for a series too long for one task."""
     rows = st.frame(spark, sf, "readings")
     return series.detect_outliers(
-        rows, ["raw"], ["datetime_iso", "event_id"], ["parameter"], window=WINDOW, split=True, block_rows=500, chunks=16
+        rows, ["raw"], ["datetime_iso", "event_id"], ["parameter"], window=WINDOW, layout=CUT, block_rows=500
     )
 
 
@@ -147,7 +149,7 @@ def impute_interpolate_split(spark, sf):
     """The form for a series too long for one task."""
     rows = st.frame(spark, sf, "readings")
     return impute.interpolate(
-        rows, ["datetime_iso", "event_id"], ["value", "level"], ["parameter"], split=True, chunks=16
+        rows, ["datetime_iso", "event_id"], ["value", "level"], ["parameter"], layout=CUT
     )
 
 
@@ -296,6 +298,17 @@ def latest_n_overall(spark, sf):
     return ordered.latest(st.frame(spark, sf, "readings"), 730, "datetime_iso", tie_break=["event_id"])
 
 
+@query(
+    "latest_n_many",
+    "event_id:i parameter:s raw:f",
+    f"""SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY parameter ORDER BY datetime_iso DESC, event_id) AS rank
+    FROM {READINGS}) WHERE rank <= 1500""",
+)
+def latest_n_many(spark, sf):
+    """More rows per series than Spark limits on the map side by itself."""
+    return ordered.latest(st.frame(spark, sf, "readings"), 1500, "datetime_iso", ["parameter"], ["event_id"])
+
+
 @query(
     "rank_levels",
     "level:s n:i rank:i",
@@ -324,7 +337,7 @@ def chrono_split(spark, sf):
 @query("chrono_split_split", "dr_no:s area_name:s part:s", SPLIT)
 def chrono_split_split(spark, sf):
     """The form for a series too long for one task."""
-    return ordered.chronological_split(numbered(spark, sf), "date_occ", ["number"], ["area_name"], split=True, chunks=16)
+    return ordered.chronological_split(numbered(spark, sf), "date_occ", ["number"], ["area_name"], layout=CUT)
 
 
 @query(
@@ -334,7 +347,7 @@ def chrono_split_split(spark, sf):
 )
 def chrono_split_whole(spark, sf):
     """One split point for the whole table."""
-    return ordered.chronological_split(numbered(spark, sf), "date_occ", ["number"], split=True, chunks=16)
+    return ordered.chronological_split(numbered(spark, sf), "date_occ", ["number"], layout=CUT)
 
 
 @query(
@@ -344,4 +357,4 @@ def chrono_split_whole(spark, sf):
 )
 def row_positions(spark, sf):
     events = table(spark, sf, "events")
-    return ordered.number_rows(events, ["value", "event_id"], split=True, chunks=16)
+    return ordered.number_rows(events, ["value", "event_id"], layout=CUT)

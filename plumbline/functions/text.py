@@ -15,6 +15,9 @@ OBSERVATION_NULLS = ("NA", "N/A", "null", "", " ")
 ENERGY_NULLS = ("", "NA", "N/A", "NULL")
 EVENT_NULLS = ("", "NA", "N/A", "NaN", "NULL")
 
+# Every character Unicode counts as white space.
+WHITE_SPACE = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
+
 
 def tokens_to_null(value: Column, tokens: Sequence[str]) -> Column:
     """NULL where the text is one of ``tokens``, the text itself otherwise."""
@@ -52,7 +55,7 @@ def normalize_text(
 def strip_all(df: DataFrame) -> DataFrame:
     """Strip leading and trailing white space of every string column."""
     names = string_columns(df)
-    return df.withColumns({n: F.regexp_replace(col(n), r"^\s+|\s+$", "") for n in names}) if names else df
+    return df.withColumns({n: F.btrim(col(n), F.lit(WHITE_SPACE)) for n in names}) if names else df
 
 
 def snake_case(name: str) -> str:

@@ -14,7 +14,7 @@ from pyspark.sql import Window
 
 from plumbline.columns import col, join_null_safe, numeric_columns, string_columns
 from plumbline.functions.categories import UNKNOWN
-from plumbline.operators.ordered import neighbours
+from plumbline.operators.ordered import Layout, neighbours
 
 # Relative rank error of a median is 1 / QUANTILE_ACCURACY.
 QUANTILE_ACCURACY = 1_000_000
@@ -28,8 +28,7 @@ def interpolate(
     *,
     fallback: float | None = None,
     next_anchor: str = "nearest",
-    split: bool | None = None,
-    chunks: int | None = None,
+    layout: Layout | None = None,
 ) -> DataFrame:
     """Fill NULLs by the mean of the previous and the next non-NULL value.
 
@@ -43,7 +42,7 @@ def interpolate(
     names = numeric_columns(df, exclude=[*order, *series]) if columns is None else list(columns)
     if not names:
         return df
-    near = neighbours(df, names, order, series, split=split, chunks=chunks)
+    near = neighbours(df, names, order, series, layout=layout)
     following = {c: col(f"__next_{c}") for c in names}
     extra = []
     if next_anchor == "series_end":

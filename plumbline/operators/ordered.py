@@ -9,14 +9,17 @@ each operator here has two exact forms:
   window runs inside (series, chunk), and one small row per (series, chunk) carries what a
   chunk must know about the chunks before and after it.
 
-``split=None`` counts the rows of the largest series, one narrow aggregation, and picks a
-form; ``True`` or ``False`` skips the count. The chunk number is written to the shared
-checkpoint folder before use, so a lost executor cannot renumber rows half-way.
+Without a ``layout`` the rows per series are counted, one narrow aggregation, and the form
+follows from the largest series; several calls on one table can share a measured layout.
+The chunk number is written to the shared checkpoint folder before use, so a lost executor
+cannot renumber rows half-way.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,22 +30,35 @@ from plumbline.session import cut_lineage
 
 CHUNK = "__chunk"
 ROWS_PER_TASK = 5_000_000
+ROWS_PER_CHUNK = 1_000_000
+GROUP_LIMIT = 1000
+PARTS = 256
 
 
-def needs_split(df: DataFrame, series: Sequence[str], limit: int = ROWS_PER_TASK) -> bool:
-    """Whether the largest series has more rows than one task should sort."""
+@dataclass(frozen=True)
+class Layout:
+    """Whether series are split over tasks, and into how many chunks the table is cut."""
+
+    split: bool
+    chunks: int | None = None
+
+
+WHOLE = Layout(False)
+
+
+def measure(df: DataFrame, series: Sequence[str], limit: int = ROWS_PER_TASK) -> Layout:
+    """Split when the largest series has more rows than one task should sort."""
     sizes = df.groupBy(*[col(s) for s in series]).agg(F.count(F.lit(1)).alias("n"))
-    largest = sizes.agg(F.max("n")).first()[0]
-    return (largest or 0) > limit
+    largest, total = sizes.agg(F.max("n"), F.sum("n")).first()
+    if (largest or 0) <= limit:
+        return WHOLE
+    return Layout(True, math.ceil(total / ROWS_PER_CHUNK))
 
 
 def chunked(
     df: DataFrame, series: Sequence[str], order: Sequence[str], chunks: int | None = None
 ) -> DataFrame:
-    """Add a chunk number; chunks are ordered within a series and of even size.
-
-    Without ``chunks`` adaptive execution sizes the chunks from the data.
-    """
+    """Add a chunk number; chunks are ordered within a series and of even size."""
     keys = ordering([*series, *order])
     ranged = df.repartitionByRange(chunks, *keys) if chunks else df.repartitionByRange(*keys)
     return cut_lineage(ranged.withColumn(CHUNK, F.spark_partition_id()))
@@ -62,20 +78,18 @@ def neighbours(
     order: Sequence[str],
     series: Sequence[str] = (),
     *,
-    split: bool | None = None,
-    chunks: int | None = None,
+    layout: Layout | None = None,
 ) -> DataFrame:
     """Add ``__prev_<c>`` and ``__next_<c>``: the nearest non-NULL value before and after.
 
     ``order`` must be a total order within a series. The value after a row is read from a
     descending window: a frame that is open towards the end would be recomputed per row.
     """
-    if split is None:
-        split = needs_split(df, series)
+    layout = layout or measure(df, series)
     before = {c: f"__prev_{c}" for c in columns}
     after = {c: f"__next_{c}" for c in columns}
-    more = [CHUNK] if split else []
-    base = chunked(df, series, order, chunks) if split else df
+    more = [CHUNK] if layout.split else []
+    base = chunked(df, series, order, layout.chunks) if layout.split else df
     forward = _series_window(series, *more).orderBy(*ordering(order))
     backward = _series_window(series, *more).orderBy(*_descending(order))
 
@@ -85,7 +99,7 @@ def neighbours(
     local = base.withColumns(
         {**{before[c]: nearest(c, forward) for c in columns}, **{after[c]: nearest(c, backward) for c in columns}}
     )
-    if not split:
+    if not layout.split:
         return local
 
     position = F.struct(*ordering(order))
@@ -116,16 +130,14 @@ def number_rows(
     series: Sequence[str] = (),
     *,
     name: str = "position",
-    split: bool | None = None,
-    chunks: int | None = None,
+    layout: Layout | None = None,
 ) -> DataFrame:
     """Add the 1-based position of each row in its series, as a long."""
-    if split is None:
-        split = needs_split(df, series)
-    if not split:
+    layout = layout or measure(df, series)
+    if not layout.split:
         window = _series_window(series).orderBy(*ordering(order))
         return df.withColumn(name, F.row_number().over(window).cast("long"))
-    base = chunked(df, series, order, chunks)
+    base = chunked(df, series, order, layout.chunks)
     keys = [*series, CHUNK]
     sizes = base.groupBy(*[col(k) for k in keys]).agg(F.count(F.lit(1)).alias("__n"))
     earlier = _series_window(series).orderBy(col(CHUNK)).rowsBetween(Window.unboundedPreceding, -1)
@@ -161,31 +173,38 @@ def order_violations(
     tie_break: Sequence[str] = (),
     *,
     name: str = "ordered",
-    split: bool | None = None,
-    chunks: int | None = None,
+    layout: Layout | None = None,
 ) -> DataFrame:
     """Add ``name``: the time is later than that of the previous row; NULL for the first row."""
     order = [ts, *tie_break]
-    if split is None:
-        split = needs_split(df, series)
-    if not split:
+    layout = layout or measure(df, series)
+    if not layout.split:
         window = _series_window(series).orderBy(*ordering(order))
         return df.withColumn(name, col(ts) > F.lag(col(ts)).over(window))
     # NULL times sort first, so the nearest earlier non-NULL time is the previous row's.
-    near = neighbours(df, [ts], order, series, split=True, chunks=chunks)
+    near = neighbours(df, [ts], order, series, layout=layout)
     return near.withColumn(name, col(ts) > col(f"__prev_{ts}")).drop(f"__prev_{ts}", f"__next_{ts}")
 
 
 def latest(df: DataFrame, n: int, ts: str, series: Sequence[str] = (), tie_break: Sequence[str] = ()) -> DataFrame:
     """The latest ``n`` rows, per series when one is given.
 
-    Each map task keeps at most ``n`` rows per series before the shuffle.
+    Up to ``GROUP_LIMIT`` rows Spark itself keeps only ``n`` rows per series and map task.
+    Beyond that, rows are first thinned per (series, hash): a row that is not among the
+    latest ``n`` of its part is not among the latest ``n`` of its series.
     """
     order = [col(ts).desc_nulls_last(), *[col(t).asc_nulls_first() for t in tie_break]]
     if not series:
         return df.orderBy(*order).limit(n)
-    rank = F.row_number().over(_series_window(series).orderBy(*order))
-    return df.withColumn("__rank", rank).filter(col("__rank") <= n).drop("__rank")
+
+    def first_rows(frame: DataFrame, keys: Sequence[str]) -> DataFrame:
+        rank = F.row_number().over(_series_window(keys).orderBy(*order))
+        return frame.withColumn("__rank", rank).filter(col("__rank") <= n).drop("__rank")
+
+    if n > GROUP_LIMIT:
+        part = F.pmod(F.xxhash64(*[col(c) for c in [ts, *tie_break]]), F.lit(PARTS))
+        df = first_rows(df.withColumn("__part", part), [*series, "__part"]).drop("__part")
+    return first_rows(df, series)
 
 
 def chronological_split(
@@ -196,14 +215,13 @@ def chronological_split(
     *,
     train: float = 0.85,
     validation: float = 0.15,
-    split: bool | None = None,
-    chunks: int | None = None,
+    layout: Layout | None = None,
 ) -> DataFrame:
     """Add ``part``: the first int(n*train) rows train, the next int(n*validation) validate.
 
     A row left over by the two truncations gets NULL.
     """
-    numbered = number_rows(df, [ts, *tie_break], series, name="__position", split=split, chunks=chunks)
+    numbered = number_rows(df, [ts, *tie_break], series, name="__position", layout=layout)
     keys = list(series)
     total = df.groupBy(*[col(k) for k in keys]).agg(F.count(F.lit(1)).alias("__total"))
     if keys:

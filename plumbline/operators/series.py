@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from plumbline.columns import col, ordering, rows_from
-from plumbline.operators.ordered import needs_split, number_rows, with_halo
+from plumbline.operators.ordered import Layout, measure, number_rows, with_halo
 
 BLOCK_ROWS = 100_000
 
@@ -27,9 +27,8 @@ def detect_outliers(
     *,
     window: int = 7,
     factor: float = 7.5,
-    split: bool | None = None,
+    layout: Layout | None = None,
     block_rows: int = BLOCK_ROWS,
-    chunks: int | None = None,
 ) -> DataFrame:
     """Flag increases above Q3 + factor * IQR of the last ``window`` increases.
 
@@ -37,10 +36,9 @@ def detect_outliers(
     ``is_outlier_<c>`` for every column in one pass. The quartiles are exact: the frame is
     collected and sorted, which is bounded by ``window`` and cheaper than a sketch per row.
     """
-    if split is None:
-        split = needs_split(df, series)
-    if split:
-        base = number_rows(df, order, series, name="__position", split=True, chunks=chunks)
+    layout = layout or measure(df, series)
+    if layout.split:
+        base = number_rows(df, order, series, name="__position", layout=layout)
         # One row more than the frame: the first increase of the frame needs its predecessor.
         base = with_halo(base, "__position", max(block_rows, window + 1), window)
         ordered = Window.partitionBy(*[col(s) for s in [*series, "__block"]]).orderBy("__position")
@@ -61,7 +59,7 @@ def detect_outliers(
         q1, q3 = _quantile(frame, F.size(frame), 0.25), _quantile(frame, F.size(frame), 0.75)
         flags[f"is_outlier_{c}"] = col(f"increase_{c}") > q3 + F.lit(factor) * (q3 - q1)
     out = frames.withColumns(flags).drop(*[f"__frame_{c}" for c in columns])
-    if split:
+    if layout.split:
         out = out.filter(~col("__halo")).drop("__halo", "__block", "__position")
     return out
 

@@ -9,7 +9,7 @@ from itertools import combinations_with_replacement
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.columns import col, join_null_safe, rows_from
+from plumbline.columns import col, join_null_safe
 from plumbline.functions.calendar import month_name, week_ending_monday, weekday_name
 
 # Bins of the temperature and error histograms, and points of the density grid.
@@ -116,14 +116,26 @@ def density(df: DataFrame, column: str, points: int = GRID_POINTS) -> DataFrame:
 
 
 def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``(a, b, corr)``: Pearson correlation of every pair, both triangles, in one pass."""
+    """``(a, b, corr)``: Pearson correlation of every pair, both triangles, in one pass.
+
+    Rows are opened into one (pair, x, y) per pair and summed in the same task: one small
+    aggregate per pair is compiled well, where all pairs side by side are not.
+    """
     pairs = list(combinations_with_replacement(columns, 2))
-    row = df.agg(*[F.corr(col(a).cast("double"), col(b).cast("double")).alias(f"r_{i}") for i, (a, b) in enumerate(pairs)])
-    structs = []
-    for i, (a, b) in enumerate(pairs):
-        for left, right in dict.fromkeys([(a, b), (b, a)]):
-            structs.append(F.struct(F.lit(left).alias("a"), F.lit(right).alias("b"), F.col(f"r_{i}").alias("corr")))
-    return rows_from(row, structs)
+    cells = F.array(
+        *[
+            F.struct(F.lit(i).alias("pair"), col(a).cast("double").alias("x"), col(b).cast("double").alias("y"))
+            for i, (a, b) in enumerate(pairs)
+        ]
+    )
+    found = df.select(F.inline(cells)).groupBy("pair").agg(F.corr("x", "y").alias("corr"))
+    names = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in pairs])
+    pair = F.get(names, F.col("pair"))
+    both = F.array(
+        F.struct(pair.getField("a").alias("a"), pair.getField("b").alias("b")),
+        F.struct(pair.getField("b").alias("a"), pair.getField("a").alias("b")),
+    )
+    return found.select(F.inline(F.array_distinct(both)), "corr")
 
 
 def standardize(df: DataFrame, columns: Sequence[str]) -> DataFrame:

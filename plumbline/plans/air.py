@@ -13,7 +13,7 @@ from plumbline.functions.convert import parse_offset_timestamp, safe_cast
 from plumbline.functions.text import OBSERVATION_NULLS, nullify_tokens, rename_snake
 from plumbline.operators.clean import dedup, drop_constant_columns, drop_sparse_columns
 from plumbline.operators.impute import interpolate
-from plumbline.operators.ordered import needs_split, order_violations
+from plumbline.operators.ordered import Layout, measure, order_violations
 from plumbline.operators.profile import relation_completeness, removal_report
 from plumbline.operators.rules import Constraint, blank_negative, enforce_null, recompute_sum
 from plumbline.operators.series import (
@@ -71,20 +71,19 @@ def limits(have: Sequence[str]) -> list[Constraint]:
     return [Constraint(f"{c}_realistic", p.below_or_missing(c, top), (c,)) for c, top in HIGHEST.items() if c in have]
 
 
-def trust_air(df: DataFrame, as_of: Column | None = None, split: bool | None = None) -> Trusted:
+def trust_air(df: DataFrame, as_of: Column | None = None, layout: Layout | None = None) -> Trusted:
     """Blank impossible values, repair nox, thin out columns, fill gaps; extreme values stay."""
     have = present_parameters(df)
     series, order = ["station"], [TIME]
-    if split is None:
-        split = needs_split(df, series)
+    layout = layout or measure(df, series)
     reports = assess(df, ["station", TIME], as_of)
 
     # Ties in time are told apart by every other column, so the order is total.
     rest = [c for c in df.columns if c not in {TIME, "station"}]
-    ordered = order_violations(df, TIME, ["station", "location"], rest, name="__ordered", split=split)
+    ordered = order_violations(df, TIME, ["station", "location"], rest, name="__ordered", layout=layout)
     reports |= assess_rules(ordered, [*rules(df), Constraint("ordered_timestamps", col("__ordered"))])
 
-    flagged = detect_outliers(df, have, [TIME, *rest], series, window=OUTLIER_ROWS, split=split)
+    flagged = detect_outliers(df, have, [TIME, *rest], series, window=OUTLIER_ROWS, layout=layout)
     reports["outliers_per_row"] = outliers_per_row(flagged, have, ["station", TIME, *rest])
     reports["outliers_per_column"] = outliers_per_column(flagged, have)
 
@@ -96,7 +95,7 @@ def trust_air(df: DataFrame, as_of: Column | None = None, split: bool | None = N
     kept = drop_constant_columns(unique, keep=["station", TIME])
     kept = drop_sparse_columns(kept, SPARSE_LIMIT)
     still = present_parameters(kept)
-    data = interpolate(kept, order, still, series, fallback=0.0, split=split)
+    data = interpolate(kept, order, still, series, fallback=0.0, layout=layout)
     reports["final_completeness"] = relation_completeness(data)
     return Trusted(data, reports)
 

@@ -12,9 +12,11 @@ from plumbline.functions.categories import recode
 from plumbline.functions.text import ENERGY_NULLS, normalize_text, nullify_tokens
 from plumbline.operators.clean import dedup, drop_constant_columns
 from plumbline.operators.impute import interpolate
+from plumbline.operators.ordered import Layout
 from plumbline.operators.profile import date_coverage, relation_completeness
 from plumbline.operators.rules import Constraint, enforce_filter
 from plumbline.plans.common import TIME, Trusted, assess, assess_rules
+from plumbline.session import cut_lineage
 from plumbline.sources.files import keep_records
 
 # Column names, the unit's short name, wanted records, limits and time zones.
@@ -57,14 +59,15 @@ def rules() -> list[Constraint]:
     ]
 
 
-def trust_energy(df: DataFrame, as_of: Column | None = None, split: bool | None = None) -> Trusted:
+def trust_energy(df: DataFrame, as_of: Column | None = None, layout: Layout | None = None) -> Trusted:
     """Keep rows that satisfy every rule, one per day, without constant columns."""
     reports = assess(df, [TIME], as_of)
     reports["missing_dates"] = date_coverage(df, TIME)
     reports |= assess_rules(df, rules())
     # The constants are those of the input: after the rules a rare level may be gone.
     constants = [r["column"] for r in reports["constant_columns"].select("column").collect()]
-    unique = dedup(enforce_filter(df, rules()), [TIME], [c for c in df.columns if c != TIME])
-    data = interpolate(unique.drop(*constants, "date"), [TIME], split=split)
+    # One row per day from here on: later steps read those, not the records again.
+    unique = cut_lineage(dedup(enforce_filter(df, rules()), [TIME], [c for c in df.columns if c != TIME]))
+    data = interpolate(unique.drop(*constants, "date"), [TIME], layout=layout)
     reports["final_completeness"] = relation_completeness(data)
     return Trusted(data, reports)

@@ -12,6 +12,7 @@ from plumbline.functions.convert import COMPACT_DATE, parse_date, scale_columns
 from plumbline.functions.text import OBSERVATION_NULLS, nullify_tokens
 from plumbline.operators.clean import dedup
 from plumbline.operators.impute import interpolate
+from plumbline.operators.ordered import Layout, measure
 from plumbline.operators.profile import date_coverage, relation_completeness
 from plumbline.operators.rules import Constraint, enforce_filter
 from plumbline.operators.series import pivot_wide
@@ -46,14 +47,15 @@ def format_weather(long: DataFrame, elements: Sequence[str] | None = None) -> Da
     return scale_columns(wide, TENTHS, 10.0)
 
 
-def trust_weather(df: DataFrame, as_of: Column | None = None, split: bool | None = None) -> Trusted:
+def trust_weather(df: DataFrame, as_of: Column | None = None, layout: Layout | None = None) -> Trusted:
     """Keep plausible days, fill gaps from their neighbours, one row per station and day."""
     reports = assess(df, ["station", TIME], as_of, UPDATES_PER_DAY)
     reports["missing_dates"] = date_coverage(df, TIME, ["station"])
+    layout = layout or measure(df, ["station"])
     stable = blank_unstable(df, "station", exclude=TENTHS)
     reports |= assess_rules(stable, rules())
     valid = enforce_filter(stable, rules())
-    filled = interpolate(valid, [TIME], series=["station"], split=split)
+    filled = interpolate(valid, [TIME], series=["station"], layout=layout)
     data = dedup(filled, ["station", TIME], [TIME]).select(*df.columns)
     reports["final_completeness"] = relation_completeness(data)
     return Trusted(data, reports)
