@@ -82,7 +82,8 @@ def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     span = df.agg(F.struct(F.min(value).alias("lo"), F.max(value).alias("hi"))).scalar()
     lo, width = span.getField("lo"), (span.getField("hi") - span.getField("lo")) / F.lit(bins)
     place = F.when(width > 0, F.least(F.floor((value - lo) / width), F.lit(bins - 1))).otherwise(F.lit(0)).cast("int")
-    counted = df.filter(col(column).isNotNull()).groupBy(place.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    placed = df.filter(col(column).isNotNull()).select(place.alias("bin"))
+    counted = placed.groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
     frame = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin")).filter(lo.isNotNull())
     return frame.join(counted, "bin", "left").select(
         "bin",
@@ -110,7 +111,8 @@ def density(df: DataFrame, column: str, points: int = GRID_POINTS) -> DataFrame:
         value.alias("x"), F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point")
     )
     gap = (lo + F.col("point") * step - F.col("x")) / bandwidth
-    sums = spread.groupBy("point").agg(F.sum(F.exp(gap * gap * F.lit(-0.5))).alias("mass"))
+    kernel = spread.select("point", F.exp(gap * gap * F.lit(-0.5)).alias("mass"))
+    sums = kernel.groupBy("point").agg(F.sum("mass").alias("mass"))
     scale = shape.getField("n") * bandwidth * F.lit(math.sqrt(2 * math.pi))
     return sums.select("point", (lo + F.col("point") * step).alias("x"), (F.col("mass") / scale).alias("density"))
 

@@ -61,8 +61,8 @@ def air_regression(
 
 
 def error_distribution(predictions: DataFrame, target: str) -> dict[str, DataFrame]:
-    """Histogram and density of the residuals."""
-    errors = predictions.select((col(target) - col("prediction")).alias("error"))
+    """Histogram and density of the residuals; the model scores each row once."""
+    errors = cut_lineage(predictions.select((col(target) - col("prediction")).alias("error")))
     return {"histogram": stats.histogram(errors, "error", stats.ERROR_BINS), "density": stats.density(errors, "error")}
 
 

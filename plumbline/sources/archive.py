@@ -46,7 +46,8 @@ def parse_members(members: DataFrame, schema: T.StructType) -> DataFrame:
     out = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, "archive", "member", "error"]])
 
     def fault_row(archive: str, member: str | None, text: str) -> pd.DataFrame:
-        return pd.DataFrame([{"archive": archive, "member": member, "error": text}]).reindex(columns=out.names)
+        values = {"archive": archive, "member": member, "error": text}
+        return pd.DataFrame({c: pd.Series([values.get(c)], dtype=object) for c in out.names})
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -59,8 +60,9 @@ def parse_members(members: DataFrame, schema: T.StructType) -> DataFrame:
                         for rows in pd.read_csv(
                             text, dtype=str, keep_default_na=False, escapechar="\\", chunksize=ROWS_PER_FRAME
                         ):
-                            rows = rows.reindex(columns=columns).apply(lambda s: s.str.strip())
-                            yield rows.assign(archive=archive, member=member, error=None)
+                            missing = {c: None for c in columns if c not in rows}
+                            text_only = rows.apply(lambda s: s.str.strip()).assign(**missing)
+                            yield text_only[columns].assign(archive=archive, member=member, error=None)
                 except FAULTS as fault:
                     yield fault_row(archive, member, repr(fault))
 

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 # Rows per JDBC batch and fetch.
 JDBC_ROWS = 10_000
 
+OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+
 
 def write_table(
     df: DataFrame,
@@ -24,8 +26,13 @@ def write_table(
     """
     spark, table = df.sparkSession, name.lower()
     if mode == "overwrite" and partition_by and spark.catalog.tableExists(table):
-        columns = spark.table(table).columns
-        df.select(*columns).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table)
+        # A catalog insert follows the session's mode, not an option of the writer.
+        before = spark.conf.get(OVERWRITE_MODE)
+        spark.conf.set(OVERWRITE_MODE, "dynamic")
+        try:
+            df.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
+        finally:
+            spark.conf.set(OVERWRITE_MODE, before)
         return
     writer = df.write.mode(mode).format("parquet")
     if partition_by:
