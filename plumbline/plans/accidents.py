@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.columns import col, string_columns
+from plumbline.columns import col, numeric_columns, string_columns
 from plumbline.functions import predicates as p
 from plumbline.functions.categories import DESCENT_NAMES, lookup, recode, split_codes
 from plumbline.functions.convert import at_clock, clock_text, flatten_struct
 from plumbline.functions.text import EVENT_NULLS, normalize_text
-from plumbline.operators.clean import dedup, drop_sparse_columns, drop_sparse_rows
+from plumbline.operators.clean import dedup, drop_sparse_rows, sparse_columns
 from plumbline.operators.impute import impute_mode, impute_numeric
 from plumbline.operators.profile import relation_completeness, removal_report
 from plumbline.operators.rules import Constraint, enforce_null, recode_unlisted
@@ -91,7 +91,15 @@ def trust_accidents(df: DataFrame, as_of: Column | None = None, by: tuple[str, .
     dense = drop_sparse_rows(unique, SPARSE_ROW)
     reports["removed"] = removal_report(df, [("duplicates", unique), ("sparse rows", dense)])
     constants = [r["column"] for r in reports["constant_columns"].select("column").collect()]
-    kept = drop_sparse_columns(dense.drop(*[c for c in constants if c not in by]), SPARSE_COLUMN)
-    filled = impute_numeric(impute_mode(kept, by=by), strategy="median", by=by)
+    dense = dense.drop(*[c for c in constants if c not in by])
+    # One report names the columns to drop and those with anything to fill: a unique key
+    # without NULLs is then never counted level by level.
+    shares = {r["column"]: r for r in sparse_columns(dense, SPARSE_COLUMN).collect()}
+    kept = dense.drop(*[c for c, r in shares.items() if r["is_sparse"] and c not in by])
+    gaps = [c for c in kept.columns if shares[c]["null_ratio"] and c not in by]
+    filled = impute_mode(kept, [c for c in string_columns(kept) if c in gaps], by)
+    numbers = numeric_columns(kept)
+    filled = impute_numeric(filled, [c for c in numbers if c in gaps], "median", by=by)
+    filled = filled.withColumns({c: col(c).cast("double") for c in numbers})
     reports["final_completeness"] = relation_completeness(filled)
     return Trusted(filled, reports)

@@ -11,7 +11,7 @@ from plumbline.columns import col
 from plumbline.functions import predicates as p
 from plumbline.functions.convert import parse_offset_timestamp, safe_cast
 from plumbline.functions.text import OBSERVATION_NULLS, nullify_tokens, rename_snake
-from plumbline.operators.clean import dedup, drop_constant_columns, drop_sparse_columns
+from plumbline.operators.clean import dedup, drop_sparse_columns
 from plumbline.operators.impute import interpolate
 from plumbline.operators.ordered import Layout, measure, order_violations
 from plumbline.operators.profile import relation_completeness, removal_report
@@ -92,8 +92,9 @@ def trust_air(df: DataFrame, as_of: Column | None = None, layout: Layout | None
     # Everything below reads these rows several times, and two steps choose columns by them.
     unique = cut_lineage(dedup(repaired, ["station", TIME], rest))
     reports["removed"] = removal_report(df, [("duplicates", unique)])
-    kept = drop_constant_columns(unique, keep=["station", TIME])
-    kept = drop_sparse_columns(kept, SPARSE_LIMIT)
+    # The constants are those of the input: after the repair a rare level may be gone.
+    constants = [r["column"] for r in reports["constant_columns"].select("column").collect()]
+    kept = drop_sparse_columns(unique.drop(*[c for c in constants if c not in ("station", TIME)]), SPARSE_LIMIT)
     still = present_parameters(kept)
     data = interpolate(kept, order, still, series, fallback=0.0, layout=layout)
     reports["final_completeness"] = relation_completeness(data)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plumbline.plans import accidents, energy, weather
-from plumbline.session import cut_lineage, scratch_path, shared_dir
+from plumbline.session import cut_lineage, fix_partitions, scratch_path, shared_dir
 from plumbline.sources import archive, files, landing, schemas, tables
 
 
@@ -134,7 +134,12 @@ def test_shared_dir_comes_from_the_session():
 
 
 def test_cut_lineage_leaves_no_shuffle(spark, plan):
-    assert "Exchange" not in plan(cut_lineage(spark.range(5).repartition(2)))
+    frame = spark.range(5).select(F.col("id").alias("a-b"), F.lit("x").alias("c d"), F.lit(1.5).alias("e.f")).repartition(2)
+    cut = cut_lineage(frame)
+    assert "Exchange" not in plan(cut) and cut.columns == frame.columns
+    assert sorted(map(tuple, cut.collect())) == [(i, "x", 1.5) for i in range(5)]
+    assert "ReadSchema: struct<a-b:bigint>" in plan(cut.select("a-b"))
+    assert fix_partitions(frame).rdd.getNumPartitions() == 2
 
 
 def test_weather_format_from_landing_files(spark):
