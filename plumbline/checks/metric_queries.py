@@ -272,11 +272,15 @@ def drop_unstable_columns(spark, sf):
     )
 
 
+MARKED = f"""(SELECT COALESCE(mocodes, 'unknown') AS mocodes, vict_sex,
+    CASE WHEN premis_desc = 'STREET' THEN premis_desc ELSE 'unknown' END AS premis_desc FROM {ACC})"""
+
+
 @query(
     "drop_unknown_columns",
     "column:s token_ratio:f is_dropped:b",
     f"""SELECT "column", r AS token_ratio, r > 0.5 AS is_dropped FROM (
-    {sql_ratio_per_column("(SELECT COALESCE(mocodes, 'unknown') AS mocodes, CASE WHEN premis_desc = 'STREET' THEN premis_desc ELSE 'unknown' END AS premis_desc, vict_sex FROM " + ACC + ")", ["mocodes", "premis_desc", "vict_sex"], "{0} = 'unknown'", "r")})""",
+    {sql_ratio_per_column(MARKED, ["mocodes", "premis_desc", "vict_sex"], "{0} = 'unknown'", "r")})""",
 )
 def drop_unknown_columns(spark, sf):
     rows = st.frame(spark, sf, "accidents").select(

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from plumbline.checks import standins as st
 from plumbline.checks.analysis_queries import air_energy_weather, features
-from plumbline.checks.registry import query, quoted, table
+from plumbline.checks.registry import query, table
 from plumbline.checks.rule_queries import WEATHER_SQL, repaired_accidents
 from plumbline.checks.series_queries import sql_group_modes
 from plumbline.columns import col
@@ -131,9 +131,9 @@ AIR_LONG = f"""(SELECT time_bucket(INTERVAL 6 HOUR, ts, TIMESTAMP '2024-01-01')
     CASE WHEN user_id < 50 THEN 'downtown' ELSE 'reseda' END AS station, event_id,
     CASE event_type {' '.join(f"WHEN '{k}' THEN '{p}'" for k, (p, _) in SENSOR.items())} END AS parameter,
     FLOOR(value) / CASE event_type {' '.join(f"WHEN '{k}' THEN {d}" for k, (_, d) in SENSOR.items())} END AS value FROM events)"""
-AIR_WIDE = f"""(SELECT station, datetime_iso, {', '.join(f"FIRST(value ORDER BY event_id) FILTER (parameter = '{p}') AS {p}" for p, _ in SENSOR.values())}
-    FROM {AIR_LONG} GROUP BY ALL)"""
 AIR_NAMES = [p for p, _ in SENSOR.values()]
+FIRST_READINGS = ", ".join(f"FIRST(value ORDER BY event_id) FILTER (parameter = '{p}') AS {p}" for p in AIR_NAMES)
+AIR_WIDE = f"(SELECT station, datetime_iso, {FIRST_READINGS} FROM {AIR_LONG} GROUP BY ALL)"
 
 
 def air_long(spark, sf):

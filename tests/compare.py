@@ -52,7 +52,14 @@ def main() -> None:
 
     sf_dir = os.environ.get("SF_DIR", "/root/testdata/sf0.01")
     wanted = sys.argv[1:]
-    spark = build_session("compare", "local[8]", spark__sql__shuffle__partitions=8, spark__ui__enabled="false", spark__ui__showConsoleProgress="false", spark__driver__memory="8g")
+    spark = build_session(
+        "compare",
+        "local[8]",
+        spark__driver__memory="8g",
+        spark__sql__shuffle__partitions=8,
+        spark__ui__enabled="false",
+        spark__ui__showConsoleProgress="false",
+    )
     spark.sparkContext.setLogLevel("ERROR")
     connection = connect(sf_dir)
     failures = 0

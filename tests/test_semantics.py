@@ -188,7 +188,8 @@ def test_plan_rules_cover_the_stated_limits(spark):
 
 def test_null_tokens_touch_text_only(spark, rows):
     frame = spark.createDataFrame([("NA", 1.0), ("na", 2.0), ("", 3.0), (None, 4.0)], "s string, v double")
-    assert rows(text.nullify_tokens(frame, text.OBSERVATION_NULLS)) == sorted([(None, 1.0), ("na", 2.0), (None, 3.0), (None, 4.0)], key=repr)
+    expected = [(None, 1.0), ("na", 2.0), (None, 3.0), (None, 4.0)]
+    assert rows(text.nullify_tokens(frame, text.OBSERVATION_NULLS)) == sorted(expected, key=repr)
     spaced = spark.createDataFrame([("  A  b\t c ",)], "s string")
     assert text.normalize_text(spaced, lower=True).first()[0] == "a_b_c"
     padded = spark.createDataFrame([("\t x y  ",)], "s string")
