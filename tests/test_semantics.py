@@ -386,3 +386,52 @@ def test_pivot_takes_the_first_value_by_tie_break(spark, rows):
     frame = spark.createDataFrame([(1, "x", 9.0, 2), (1, "x", 5.0, 1), (1, "y", 7.0, 3), (2, "z", 1.0, 1)], "i int, k string, v double, o int")
     assert rows(series.pivot_wide(frame, ["i"], "k", "v", ["o"], ["x", "y", "w"])) == [(1, 5.0, 7.0, None), (2, None, None, None)]
     assert series.pivot_wide(frame, ["i"], "k", "v", ["o"]).columns == ["i", "x", "y", "z"]
+
+
+@pytest.mark.parametrize("layout", [ordered.WHOLE, CUT])
+def test_odd_column_names_pass_through_every_operator(spark, rows, layout):
+    frame = spark.createDataFrame(
+        [("g h", 0, 1.0, "x"), ("g h", 1, None, None), ("g h", 2, 3.0, "x"), ("g h", 2, 3.0, "x")],
+        "`s t` string, `t-t` int, `v.v` double, `c c` string",
+    )
+    unique = clean.dedup(frame, ["s t", "t-t"], ["v.v"])
+    assert unique.count() == 3
+    filled = impute.interpolate(unique, ["t-t"], ["v.v"], ["s t"], layout=layout)
+    assert [r[2] for r in filled.orderBy(col("t-t")).collect()] == [1.0, 2.0, 3.0]
+    flagged = series.detect_outliers(filled, ["v.v"], ["t-t"], ["s t"], window=2, layout=layout, block_rows=3)
+    assert flagged.columns == [*filled.columns, "increase_v.v", "is_outlier_v.v"]
+    assert [r.total_outliers for r in series.outliers_per_column(flagged, ["v.v"]).collect()] == [0]
+    assert rows(impute.impute_mode(unique, by=["s t"]), col("c c")) == [("x",)] * 3
+    assert rows(impute.impute_numeric(unique, ["v.v"], "mean"), col("v.v")) == [(1.0,), (2.0,), (3.0,)]
+    assert rows(impute.impute_group_mean(unique, ["v.v"], ["s t"]), col("v.v")) == [(1.0,), (2.0,), (3.0,)]
+    assert rows(ordered.order_violations(unique, "t-t", ["s t"], layout=layout), "ordered") == [(None,), (True,), (True,)]
+    assert stats.standardize(filled, ["v.v"]).columns == filled.columns
+    assert profile.missing_dates(unique.withColumn("d d", F.lit("2024-01-01").cast("date")), "d d", ["s t"]).count() == 0
+    assert rules.enforce_null(unique, [Constraint("big", col("v.v") > 2, ("v.v", "c c"))]).filter(col("c c").isNull()).count() == 2
+
+
+def test_result_does_not_depend_on_partitions_or_input_order(spark, rows):
+    frame = random_series(spark, 9).withColumn("c", F.when(F.col("k") < 5, "low").when(F.col("k") > 6, "high"))
+    shuffled = frame.orderBy(F.desc("t")).repartition(11)
+    for build in (
+        lambda f: impute.impute_mode(f, ["c"], by=["s"]),
+        lambda f: impute.impute_numeric(f, ["v", "k"], by=["s"]),
+        lambda f: clean.dedup(f, ["s", "k"], ["t"]),
+        lambda f: ordered.latest(f, 7, "t", ["s"]),
+        lambda f: ordered.chronological_split(f, "t", [], ["s"]),
+        lambda f: profile.profile(f, ["s", "k", "c"]).withColumn("stddev", F.round("stddev", 9)),
+    ):
+        assert rows(build(frame)) == rows(build(shuffled))
+
+
+def test_all_null_and_single_row_frames(spark, rows):
+    empty = spark.createDataFrame([(1, None, None)], "t int, v double, c string")
+    assert rows(impute.impute_mode(impute.interpolate(empty, ["t"], fallback=0))) == [(1, 0.0, "unknown")]
+    flagged = series.detect_outliers(empty, ["v"], ["t"])
+    assert rows(flagged, "increase_v", "is_outlier_v") == [(0.0, False)]
+    report = profile.profile(empty).orderBy("column").collect()
+    assert [(r.column, r.non_null, r.distinct_values, r.stddev) for r in report] == [
+        ("c", 0, 1, None),
+        ("t", 1, 1, None),
+        ("v", 0, 1, None),
+    ]
