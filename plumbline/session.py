@@ -33,15 +33,16 @@ def build_session(app_name: str = "plumbline", master: str | None = None, **conf
 def shared_dir(spark: SparkSession) -> str:
     """The folder for checkpoints: ``spark.checkpoint.dir``, which every executor can reach.
 
-    Only a local session, where driver and executors are one process, may fall back to a
-    temporary folder; a cluster without the setting is an error.
+    Only a session in one process (``local`` or ``local[n]``) may fall back to a temporary
+    folder, one for the session; a cluster without the setting is an error.
     """
     context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not configured:
-        if not context.master.startswith("local"):
+        if context.master != "local" and not context.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         configured = tempfile.mkdtemp(prefix="plumbline-")
+        spark.conf.set("spark.checkpoint.dir", configured)
     if not context.getCheckpointDir():
         context.setCheckpointDir(configured)
     return configured
