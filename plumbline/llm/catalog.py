@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbline.llm import exact_dedup
+from plumbline.llm import decontaminate, exact_dedup
 from plumbline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,13 +17,20 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decided.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return judged.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
 def queries() -> dict[str, Query]:
     return {
+        "op2_decontaminate": op2_decontaminate,
         "op5_exact_dedup": op5_exact_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op2_decontaminate": decontaminate.SQL,
         "op5_exact_dedup": exact_dedup.SQL,
     }

@@ -33,11 +33,12 @@ def normalised_digest(text: Column) -> Column:
 
 
 def row_key(doc_id: Column, text: Column) -> Column:
-    """Names a row by its id and its text, so that rows which share an id stay apart.
+    """128 bits that name a row by its id and its text, so that rows which share an id stay apart.
 
     Rows that agree in both are the same document and get the same results.
     """
-    return F.struct(doc_id.alias("id"), F.unhex(F.md5(F.coalesce(text, F.lit("")))).alias("text"))
+    shown = F.coalesce(doc_id.cast("string"), F.lit("null"))
+    return F.unhex(F.md5(F.concat(shown, F.lit(" "), F.coalesce(text, F.lit("")))))
 
 
 def broadcast_up_to(small: DataFrame, most_rows: int) -> DataFrame:
