@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from plumbline.llm import decontaminate, exact_dedup
+from plumbline.llm import byte_bpe, decontaminate, exact_dedup
 from plumbline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,10 +24,25 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return token_digests(byte_bpe.encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN))
+
+
+def token_digests(coded: DataFrame) -> DataFrame:
+    return coded.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         "op2_decontaminate": op2_decontaminate,
         "op5_exact_dedup": op5_exact_dedup,
+        "op10_byte_bpe": op10_byte_bpe,
     }
 
 
