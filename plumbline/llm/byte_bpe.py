@@ -12,7 +12,7 @@ from __future__ import annotations
 import base64
 import heapq
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from functools import lru_cache
 
 import duckdb
@@ -22,6 +22,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from plumbline.llm.portions import Remembered, portions
+
 #: Fixed value: what the pattern of the tokenizers means by white space.
 WHITE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 #: Words whose ids a task remembers, and words that one recursive query takes.
@@ -30,9 +32,6 @@ AT_ONCE = 20_000
 #: Longer pieces (bytes) are contracted with a heap, in the same order: the rows of the
 #: recursive query grow with the square of a piece's length.
 LONG_PIECE = 40
-#: Characters and rows that a task works on at a time.
-BATCH_CHARS = 4_000_000
-BATCH_ROWS = 1_000
 
 CONTRACT = """
 WITH RECURSIVE state AS (
@@ -55,8 +54,7 @@ WITH RECURSIVE state AS (
 final AS (
   SELECT piece, pos, tok FROM state JOIN (SELECT piece, max(step) AS step FROM state GROUP BY piece) USING (piece, step)
 )
-SELECT piece, list(tok ORDER BY pos) AS ids, list(bytes ORDER BY pos) AS parts
-FROM final JOIN vocabulary ON id = tok GROUP BY piece ORDER BY piece
+SELECT piece, tok, bytes FROM final JOIN vocabulary ON id = tok ORDER BY piece, pos
 """
 
 
@@ -72,24 +70,6 @@ def ranges(kind: str) -> str:
     return "".join(re.escape(run[0]) + "-" + re.escape(run[-1]) for run in found)
 
 
-class Remembered:
-    """Bounded look-up that forgets what was not asked for since the last filling."""
-
-    def __init__(self, most: int):
-        self.most, self.young, self.old = most, {}, {}
-
-    def get(self, key):
-        value = self.young.get(key)
-        if value is None and (value := self.old.get(key)) is not None:
-            self.put(key, value)
-        return value
-
-    def put(self, key, value) -> None:
-        if len(self.young) >= self.most:
-            self.young, self.old = {}, self.young
-        self.young[key] = value
-
-
 class Coder:
     """The vocabulary of one file in one task, with the merge table derived from it."""
 
@@ -122,8 +102,8 @@ class Coder:
         head, *rest = text.split(" ")
         return [head, *[" " + word for word in rest]]
 
-    def contract(self, pieces: list[bytes]) -> Iterator[list[int]]:
-        """The ids of each piece that is not a token itself."""
+    def contract(self, pieces: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
+        """Ids and decoded bytes of each piece that is not a token itself."""
         lengths = np.array([len(p) for p in pieces])
         joined = np.frombuffer(b"".join(pieces), dtype=np.uint8)
         starts = np.cumsum(lengths) - lengths
@@ -133,9 +113,15 @@ class Coder:
             "tok": self.first[joined],
         }
         self.db.register("start", pa.table(start))
-        result = self.db.sql(CONTRACT).to_arrow_table()
+        result = self.db.sql(CONTRACT).to_arrow_table().combine_chunks()
         self.db.unregister("start")
-        return zip(result["ids"].to_pylist(), result["parts"].to_pylist(), strict=True)
+        ids = result["tok"].to_numpy().astype("<u4").tobytes()
+        decoded = b"".join(result["bytes"].to_pylist())
+        sizes = np.bincount(result["piece"].to_numpy(), minlength=len(pieces))
+        at, spot = 0, 0
+        for n, length in zip((4 * sizes).tolist(), lengths.tolist(), strict=True):
+            yield ids[at : at + n], decoded[spot : spot + length]
+            at, spot = at + n, spot + length
 
     def contract_long(self, piece: bytes) -> list[int]:
         """The same contraction for one long piece, with a heap instead of rounds."""
@@ -184,7 +170,7 @@ class Coder:
                 short.append(raw), texts.append(piece)
         for k in range(0, len(short), AT_ONCE):
             for piece, found in zip(texts[k : k + AT_ONCE], self.contract(short[k : k + AT_ONCE]), strict=True):
-                coded[piece] = self.pack(*found)
+                coded[piece] = found
                 self.words.put(piece, coded[piece])
         return coded
 
@@ -208,18 +194,6 @@ class Coder:
             yield b"".join([f[0] for f in found]), b"".join([f[1] for f in found])
 
 
-def portions(texts: list[str]) -> Iterator[tuple[int, int]]:
-    """Bounds of runs of texts of bounded size; a longer text stands alone."""
-    start = size = 0
-    for k, text in enumerate(texts):
-        if k > start and (size + len(text) > BATCH_CHARS or k - start >= BATCH_ROWS):
-            yield start, k
-            start, size = k, 0
-        size += len(text)
-    if texts:
-        yield start, len(texts)
-
-
 @lru_cache(maxsize=2)
 def coder(path: str, pattern: str) -> Coder:
     """One per Python worker, kept from task to task."""

@@ -8,12 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import byte_bpe, decontaminate, exact_dedup
+from plumbline.llm import byte_bpe, decontaminate, exact_dedup, secrets
 from plumbline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.span_digests(secrets.scan_secrets(table(spark, sf_dir, "documents")))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     decided = exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
     return decided.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -41,6 +45,7 @@ def token_digests(coded: DataFrame) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op2_decontaminate": op2_decontaminate,
+        "op3_secret_scan": op3_secret_scan,
         "op5_exact_dedup": op5_exact_dedup,
         "op10_byte_bpe": op10_byte_bpe,
     }
