@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import byte_bpe, decontaminate, exact_dedup, secrets
+from plumbline.llm import byte_bpe, decontaminate, exact_dedup, language, licenses, secrets
 from plumbline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,16 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_digests(licenses.scan_licenses(table(spark, sf_dir, "documents")))
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = language.identify(docs, language.fit(docs))
+    return found.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), F.col("lang").alias("lang_pred"), "score")
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return token_digests(byte_bpe.encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN))
@@ -47,6 +57,8 @@ def queries() -> dict[str, Query]:
         "op2_decontaminate": op2_decontaminate,
         "op3_secret_scan": op3_secret_scan,
         "op5_exact_dedup": op5_exact_dedup,
+        "op6_license_scan": op6_license_scan,
+        "op8_language_id": op8_language_id,
         "op10_byte_bpe": op10_byte_bpe,
     }
 
