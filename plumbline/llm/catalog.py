@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import byte_bpe, decontaminate, exact_dedup, language, licenses, secrets
+from plumbline.llm import byte_bpe, decontaminate, exact_dedup, language, licenses, secrets, toxicity
 from plumbline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,17 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_digests(licenses.scan_licenses(table(spark, sf_dir, "documents")))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    return scored.select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = language.identify(docs, language.fit(docs))
@@ -58,6 +69,7 @@ def queries() -> dict[str, Query]:
         "op3_secret_scan": op3_secret_scan,
         "op5_exact_dedup": op5_exact_dedup,
         "op6_license_scan": op6_license_scan,
+        "op7_toxicity": op7_toxicity,
         "op8_language_id": op8_language_id,
         "op10_byte_bpe": op10_byte_bpe,
     }
