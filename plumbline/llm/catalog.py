@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import byte_bpe, decontaminate, exact_dedup, language, licenses, secrets, toxicity
+from plumbline.llm import byte_bpe, decontaminate, exact_dedup, html_text, jaccard_join, language, licenses, secrets, toxicity
 from plumbline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,11 +18,19 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.span_digests(secrets.scan_secrets(table(spark, sf_dir, "documents")))
 
 
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_text(table(spark, sf_dir, "pages"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     decided = exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
     return decided.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents")).drop("key")
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return judged.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
@@ -65,8 +73,10 @@ def token_digests(coded: DataFrame) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_ngram_jaccard": op1_ngram_jaccard,
         "op2_decontaminate": op2_decontaminate,
         "op3_secret_scan": op3_secret_scan,
+        "op4_html_text": op4_html_text,
         "op5_exact_dedup": op5_exact_dedup,
         "op6_license_scan": op6_license_scan,
         "op7_toxicity": op7_toxicity,
