@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import byte_bpe, decontaminate, exact_dedup, html_text, jaccard_join, language, licenses, secrets, toxicity
+from plumbline.llm import byte_bpe, decontaminate, exact_dedup, html_text, jaccard_join, language, licenses, line_dedup, secrets, toxicity
 from plumbline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +57,10 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), F.col("lang").alias("lang_pred"), "score")
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents"))
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return token_digests(byte_bpe.encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN))
@@ -81,6 +85,7 @@ def queries() -> dict[str, Query]:
         "op6_license_scan": op6_license_scan,
         "op7_toxicity": op7_toxicity,
         "op8_language_id": op8_language_id,
+        "op9_line_dedup": op9_line_dedup,
         "op10_byte_bpe": op10_byte_bpe,
     }
 
