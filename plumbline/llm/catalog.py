@@ -28,7 +28,7 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents")).drop("key")
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents")).drop("key", "component")
 
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

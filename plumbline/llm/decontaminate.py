@@ -164,6 +164,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are clean, with the columns of ``docs``."""
     bad = contamination(docs, benchmark).where("contaminated").select(F.col("key").alias("__bad")).distinct()
+    bad = broadcast_up_to(cut_lineage(bad), BROADCAST_ROWS)
     return docs.join(bad, row_key(F.col("doc_id"), F.col("text")) == F.col("__bad"), "left_anti")
 
 

@@ -4,15 +4,17 @@ from __future__ import annotations
 
 import hashlib
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import normalised_digest
+from plumbline.llm.common import broadcast_up_to, normalised_digest, row_key
 from plumbline.session import cut_lineage, scratch_path
 
 #: A digest held by more than one row in HOT_SHARE counts as hot. At most HOT_SHARE digests
 #: can be hot, which bounds the broadcast of them.
 HOT_SHARE = 1024
+#: Rows of keys that are broadcast; beyond it the join shuffles.
+BROADCAST_ROWS = 2_000_000
 
 
 class DigestIndex:
@@ -51,12 +53,13 @@ class DigestIndex:
 
         One row per input row: doc_id, keep_id (the row of equal text that stays: the one
         in the index, or else the smallest doc_id of this batch), group_size (rows of this
-        batch with that text), kept, text_sha256, n_first (rows of this batch that carry
-        keep_id: above 1 only where rows are repeated). A NULL text counts as empty. A NULL
+        batch with that text), kept, text_sha256, n_first (rows of this batch with that text
+        that carry keep_id: above 1 only where rows are repeated), key. A NULL text counts as empty. A NULL
         doc_id is never the smallest; if a text has only such rows, keep_id is NULL and
         they count as kept. An empty table gives an empty result. Other columns are ignored.
         """
-        rows = cut_lineage(docs.select("doc_id", normalised_digest(F.col("text")).alias("digest")))
+        key = row_key(F.col("doc_id"), F.col("text")).alias("key")
+        rows = cut_lineage(docs.select("doc_id", key, normalised_digest(F.col("text")).alias("digest")))
         per_id = rows.groupBy("digest", "doc_id").agg(F.count(F.lit(1)).alias("n"))
         order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"))
         groups = cut_lineage(
@@ -83,6 +86,7 @@ class DigestIndex:
             F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
             F.lower(F.hex("digest")).alias("text_sha256"),
             "n_first",
+            "key",
         )
 
 
@@ -95,13 +99,27 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
 def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with the columns of ``docs``.
 
-    Of repeated rows, equal in id and text, one stays.
+    Of repeated rows, equal in id and normalised text, one stays.
     """
-    kept = exact_duplicates(docs).where("kept").select(F.col("doc_id").alias("__id"), F.col("n_first").alias("__n")).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("__id"))
-    once = docs.join(kept.where("__n = 1"), same, "left_semi")
-    repeated = docs.join(kept.where("__n > 1"), same, "left_semi").withColumn("__digest", normalised_digest(F.col("text")))
-    return once.unionByName(repeated.dropDuplicates(["doc_id", "__digest"]).drop("__digest"))
+    decided = exact_duplicates(docs)
+    return without_rows(
+        docs,
+        dropped=decided.where("NOT kept").select("key"),
+        repeated=decided.where("kept AND n_first > 1").select("key"),
+        same=normalised_digest(F.col("text")),
+    )
+
+
+def without_rows(docs: DataFrame, dropped: DataFrame, repeated: DataFrame, same: Column) -> DataFrame:
+    """``docs`` without rows of the ``dropped`` keys, and with one row of each doc_id and ``same`` of the ``repeated`` ones."""
+    dropped = broadcast_up_to(cut_lineage(dropped.select(F.col("key").alias("__gone")).distinct()), BROADCAST_ROWS)
+    repeated = broadcast_up_to(cut_lineage(repeated.select(F.col("key").alias("__gone")).distinct()), BROADCAST_ROWS)
+    keyed = docs.withColumn("__key", row_key(F.col("doc_id"), F.col("text")))
+    left = keyed.join(dropped, F.col("__key") == F.col("__gone"), "left_anti")
+    once = left.join(repeated, F.col("__key") == F.col("__gone"), "left_anti").drop("__key")
+    again = left.join(repeated, F.col("__key") == F.col("__gone"), "left_semi").drop("__key")
+    again = again.withColumn("__same", same).dropDuplicates(["doc_id", "__same"]).drop("__same")
+    return once.unionByName(again)
 
 
 SQL = r"""

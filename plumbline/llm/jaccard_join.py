@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from plumbline.llm.common import broadcast_up_to, row_key
 from plumbline.llm.components import components
+from plumbline.llm.exact_dedup import without_rows
 from plumbline.llm.portions import Remembered
 from plumbline.session import cut_lineage
 
@@ -334,7 +335,7 @@ def near_duplicates(docs: DataFrame, small: int = SMALL, pivots: int = PIVOTS) -
     """Components of documents linked by Jaccard similarity of their word shingles.
 
     One row per input row: doc_id, n_shingles, component_id (the smallest doc_id that links
-    reach, its own included), key. Documents with equal sets are linked. NULL and texts
+    reach, its own included), key (names the row) and component (names the component). Documents with equal sets are linked. NULL and texts
     without words have no shingles and stay alone: component_id is their doc_id. NULL ids are never the
     smallest. Rows equal in id and text get equal results. Other columns are ignored.
     ``small`` and ``pivots`` shape the recursion, not the result.
@@ -346,10 +347,24 @@ def near_duplicates(docs: DataFrame, small: int = SMALL, pivots: int = PIVOTS) -
     )
     rooted = cut_lineage(rooted)
     smallest = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    decided = rooted.join(smallest, "root").select("set_id", "component_id")
+    decided = rooted.join(smallest, "root").select("set_id", "component_id", "root")
     return join.rows.join(decided, "set_id", "left").select(
         "doc_id",
         F.col("n").alias("n_shingles"),
         F.when(F.col("set_id").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
         "key",
+        F.coalesce("root", "key").alias("component"),
+    )
+
+
+def drop_near_duplicates(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that stay, with the columns of ``docs``: of each component the one
+    with the smallest doc_id (NULL last). Documents without words stay; repeated rows count once."""
+    found = cut_lineage(near_duplicates(docs).select("doc_id", "key", "component"))
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"), F.col("key"))
+    first = found.groupBy("component").agg(F.min(order).alias("first")).select("component", F.col("first.key").alias("first_key"))
+    judged = found.join(first, "component")
+    counted = found.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    return without_rows(
+        docs, dropped=judged.where("key <> first_key").select("key"), repeated=counted.select("key"), same=F.coalesce("text", F.lit(""))
     )
