@@ -219,9 +219,13 @@ def joined(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
+def of_kinds(spans: Column, *kinds: str) -> Column:
+    return F.filter(spans, lambda s: s["kind"].isin(*kinds))
+
+
 def span_digests(scanned: DataFrame) -> DataFrame:
     """Counts per base kind, the digest of the base spans, and all spans as text."""
     spans = F.col("spans")
-    counts = [F.size(F.filter(spans, lambda s, k=r.kind: s["kind"] == k)).cast("long").alias(f"n_{r.kind}") for r in BASE]
-    base = F.filter(spans, lambda s: s["kind"].isin([r.kind for r in BASE]))
+    counts = [F.size(of_kinds(spans, r.kind)).cast("long").alias(f"n_{r.kind}") for r in BASE]
+    base = of_kinds(spans, *[r.kind for r in BASE])
     return scanned.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(spans).alias("spans"))
