@@ -9,6 +9,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from plumbline.session import cut_lineage
+
+#: Most rows of a side that is broadcast.
+FEW = 100_000
+
 
 def col(name: str) -> Column:
     """The column called exactly ``name``, whatever characters it holds."""
@@ -42,6 +47,32 @@ def rows_from(row: DataFrame, structs: Sequence[Column]) -> DataFrame:
     return row.select(F.inline(F.array(*structs)))
 
 
+def orderable(kind: T.DataType) -> bool:
+    """Whether values of a type can be sorted."""
+    if isinstance(kind, T.ArrayType):
+        return orderable(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return all(orderable(f.dataType) for f in kind)
+    return not isinstance(kind, (T.MapType, T.VariantType))
+
+
+def total_order(df: DataFrame, order: Sequence[str], series: Sequence[str] = ()) -> list[str]:
+    """``order`` and every other column that can be sorted: rows that still tie are equal,
+    so every form of an ordered operator, and every run, gives the same result."""
+    first = [*order, *series]
+    return [*order, *(f.name for f in df.schema if f.name not in first and orderable(f.dataType))]
+
+
+def join_few(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+    """Join aggregates of few groups back without moving ``left``.
+
+    ``right`` is written and counted: up to ``FEW`` rows are broadcast, so that a key with a
+    few hot levels is never shuffled on. A longer ``right`` is joined like any other.
+    """
+    small = cut_lineage(right)
+    return join_null_safe(left, F.broadcast(small) if small.limit(FEW + 1).count() <= FEW else small, keys, how)
+
+
 def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
     """Equi-join on ``keys`` where NULL equals NULL; key columns come from the left side.
 

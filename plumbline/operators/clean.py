@@ -88,6 +88,9 @@ def unstable_columns(
     """
     names = [c for c in df.columns if c not in {ts, *series, *exclude}]
     keys = [col(s) for s in series]
+    if not names:
+        none = [F.lit("").alias("column"), F.lit(0).cast("long").alias("nulls"), F.lit(False).alias("is_unstable")]
+        return df.select(*keys, *none).limit(0)
     counted = latest(df, recent, ts, series, tie_break).groupBy(*keys).agg(
         *[nulls(c).alias(f"m_{i}") for i, c in enumerate(names)]
     )

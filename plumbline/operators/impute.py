@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from plumbline.columns import col, join_null_safe, numeric_columns, string_columns
+from plumbline.columns import col, join_few, numeric_columns, string_columns, total_order
 from plumbline.functions.categories import UNKNOWN
 from plumbline.operators.ordered import Layout, neighbours
 
@@ -35,7 +35,7 @@ def interpolate(
     The mean is unweighted however long the gap is. At the ends of a series the one
     existing neighbour is used, and ``fallback`` when the series has no value at all.
     ``next_anchor="series_end"`` takes the last non-NULL value of the whole series in place
-    of the next one. Filled columns are doubles. ``order`` must be total within a series.
+    of the next one. Filled columns are doubles. Other columns break ties of ``order``.
     """
     if next_anchor not in ("nearest", "series_end"):
         raise ValueError("next_anchor must be 'nearest' or 'series_end'")
@@ -46,13 +46,13 @@ def interpolate(
     following = {c: col(f"__next_{c}") for c in names}
     extra = []
     if next_anchor == "series_end":
-        position = F.struct(*[col(o) for o in order])
+        position = F.struct(*[col(o) for o in total_order(df, order, series)])
         ends = df.groupBy(*[col(s) for s in series]).agg(
             *[F.max_by(col(c), F.when(col(c).isNotNull(), position)).alias(f"__end_{i}") for i, c in enumerate(names)]
         )
         extra = [f"__end_{i}" for i in range(len(names))]
         if series:
-            near = join_null_safe(near, ends, series)
+            near = join_few(near, ends, series)
         else:
             row = ends.select(F.struct(*extra)).scalar()
             near = near.withColumns({e: row.getField(e) for e in extra})
@@ -104,7 +104,7 @@ def impute_mode(
     entries = F.map_from_entries(F.collect_list(F.struct("column", F.coalesce("mode", F.lit(fallback)))))
     if by:
         table = found.groupBy(*[col(b) for b in by]).agg(entries.alias("__modes"))
-        joined = join_null_safe(df, table, by)
+        joined = join_few(df, table, by)
         fills = {c: F.coalesce(col(c), col("__modes").getItem(c), F.lit(fallback)) for c in names}
         return joined.withColumns(fills).drop("__modes")
     table = found.agg(entries).scalar()
@@ -132,7 +132,7 @@ def impute_numeric(
     aggregates = [statistics[strategy](c).alias(f"__fill_{i}") for i, c in enumerate(names)]
     fields = [f"__fill_{i}" for i in range(len(names))]
     if by:
-        joined = join_null_safe(df, df.groupBy(*[col(b) for b in by]).agg(*aggregates), by)
+        joined = join_few(df, df.groupBy(*[col(b) for b in by]).agg(*aggregates), by)
         fills = {f: col(f) for f in fields}
     else:
         row = df.agg(*aggregates).select(F.struct(*fields)).scalar()
@@ -150,5 +150,5 @@ def impute_group_mean(df: DataFrame, columns: Sequence[str], by: Sequence[str])
     """
     fields = [f"__mean_{i}" for i in range(len(columns))]
     means = df.groupBy(*[col(b) for b in by]).agg(*[F.avg(col(c)).alias(f) for c, f in zip(columns, fields)])
-    joined = join_null_safe(df, means, by)
+    joined = join_few(df, means, by)
     return joined.withColumns({c: F.coalesce(col(c).cast("double"), col(f)) for c, f in zip(columns, fields)}).drop(*fields)

@@ -111,7 +111,13 @@ EVENT_VIEW_COLUMNS = {
 
 
 def event_weather_view(events: DataFrame, weather: DataFrame, columns: Mapping[str, str] = EVENT_VIEW_COLUMNS) -> DataFrame:
-    """Events with the weather of their station and day; dropped event columns come back as NULL."""
+    """Events with the weather of their station and day; dropped event columns come back as NULL.
+
+    The station of an event (see ``accidents.add_station``) takes the place of its area's
+    name; events without a station column are joined by the area's name itself.
+    """
+    if "station" in events.columns:
+        events = events.withColumn("area_name", col("station"))
     base = with_columns_or_null(events, columns).distinct()
     by_day = {"area_name": "station", "date_occ": "datetime_iso"}
     daily = weather.select("station", "datetime_iso", *[c for c in ("TMAX", "TMIN", "PRCP") if c in weather.columns])

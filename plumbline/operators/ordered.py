@@ -2,22 +2,21 @@
 
 A window partitioned by series sorts a whole series in one task. That is the cheapest plan
 while every series is small, and impossible when one series holds a third of the table. So
-each operator here has two exact forms:
+each operator here has two exact forms, and the caller's ``layout`` says which one runs:
 
-* **plain**: one window per series;
-* **split**: rows are range-partitioned by (series, order) into chunks of even size, the
-  window runs inside (series, chunk), and one small row per (series, chunk) carries what a
-  chunk must know about the chunks before and after it.
+* **plain** (``WHOLE``, the default): one window per series;
+* **split** (``Layout(True, chunks)``): rows are range-partitioned by (series, order) into
+  chunks of even size, the window runs inside (series, chunk), and one small row per
+  (series, chunk) carries what a chunk must know about the chunks before and after it.
 
-Without a ``layout`` the rows per series are counted, one narrow aggregation, and the form
-follows from the largest series; several calls on one table can share a measured layout.
-The chunk number is written to the shared checkpoint folder before use, so a lost executor
-cannot renumber rows half-way.
+Nothing switches by the size of the data. Both forms, and any order of the input, agree, as
+all other columns break ties. The chunk number is written to the shared checkpoint folder
+before use, so a lost executor cannot renumber rows half-way; (series, chunk) is one struct
+that is never NULL, so that the window, the edges and the join share one shuffle.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -25,19 +24,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from plumbline.columns import col, join_null_safe, ordering
+from plumbline.columns import col, join_few, ordering, total_order
 from plumbline.session import cut_lineage
 
 CHUNK = "__chunk"
-ROWS_PER_TASK = 5_000_000
-ROWS_PER_CHUNK = 1_000_000
 GROUP_LIMIT = 1000
 PARTS = 256
 
 
 @dataclass(frozen=True)
 class Layout:
-    """Whether series are split over tasks, and into how many chunks the table is cut."""
+    """Whether series are split over tasks, and into how many chunks the table is cut
+    (by default as many as there are shuffle partitions)."""
 
     split: bool
     chunks: int | None = None
@@ -46,26 +44,25 @@ class Layout:
 WHOLE = Layout(False)
 
 
-def measure(df: DataFrame, series: Sequence[str], limit: int = ROWS_PER_TASK) -> Layout:
-    """Split when the largest series has more rows than one task should sort."""
-    sizes = df.groupBy(*[col(s) for s in series]).agg(F.count(F.lit(1)).alias("n"))
-    largest, total = sizes.agg(F.max("n"), F.sum("n")).first()
-    if (largest or 0) <= limit:
-        return WHOLE
-    return Layout(True, math.ceil(total / ROWS_PER_CHUNK))
-
-
 def chunked(
     df: DataFrame, series: Sequence[str], order: Sequence[str], chunks: int | None = None
 ) -> DataFrame:
-    """Add a chunk number; chunks are ordered within a series and of even size."""
+    """Add (series, chunk number) as one struct; chunks are ordered within a series and of even size."""
     keys = ordering([*series, *order])
     ranged = df.repartitionByRange(chunks, *keys) if chunks else df.repartitionByRange(*keys)
-    return cut_lineage(ranged.withColumn(CHUNK, F.spark_partition_id()))
+    place = F.struct(*[col(s).alias(f"s_{i}") for i, s in enumerate(series)], F.spark_partition_id().alias("n"))
+    return cut_lineage(ranged.withColumn(CHUNK, place))
+
 
+def _series_window(series: Sequence[str]):
+    return Window.partitionBy(*[col(s) for s in series])
 
-def _series_window(series: Sequence[str], *more: str):
-    return Window.partitionBy(*[col(s) for s in [*series, *more]])
+
+def _chunks_of_series(series: Sequence[str], backward: bool = False):
+    """A window over the chunks of a series, up to the one before (or, backward, behind) the row's."""
+    number = F.col(f"{CHUNK}.n")
+    window = Window.partitionBy(*[F.col(f"{CHUNK}.s_{i}") for i in range(len(series))])
+    return window.orderBy(number.desc() if backward else number).rowsBetween(Window.unboundedPreceding, -1)
 
 
 def _descending(order: Sequence[str]) -> list[Column]:
@@ -78,50 +75,52 @@ def neighbours(
     order: Sequence[str],
     series: Sequence[str] = (),
     *,
+    sides: Sequence[str] = ("prev", "next"),
     layout: Layout | None = None,
 ) -> DataFrame:
     """Add ``__prev_<c>`` and ``__next_<c>``: the nearest non-NULL value before and after.
 
-    ``order`` must be a total order within a series. The value after a row is read from a
+    Ties of ``order`` are broken by the other columns. The value after a row is read from a
     descending window: a frame that is open towards the end would be recomputed per row.
     """
-    layout = layout or measure(df, series)
-    before = {c: f"__prev_{c}" for c in columns}
-    after = {c: f"__next_{c}" for c in columns}
-    more = [CHUNK] if layout.split else []
+    layout = layout or WHOLE
+    names = {side: {c: f"__{side}_{c}" for c in columns} for side in sides}
+    total = total_order(df, order, series)
     base = chunked(df, series, order, layout.chunks) if layout.split else df
-    forward = _series_window(series, *more).orderBy(*ordering(order))
-    backward = _series_window(series, *more).orderBy(*_descending(order))
+    inside = Window.partitionBy(CHUNK) if layout.split else _series_window(series)
+    windows = {"prev": inside.orderBy(*ordering(total)), "next": inside.orderBy(*_descending(total))}
 
-    def nearest(c: str, window) -> Column:
-        return F.last(col(c), ignorenulls=True).over(window.rowsBetween(Window.unboundedPreceding, -1))
+    def nearest(c: str, side: str) -> Column:
+        return F.last(col(c), ignorenulls=True).over(windows[side].rowsBetween(Window.unboundedPreceding, -1))
 
-    local = base.withColumns(
-        {**{before[c]: nearest(c, forward) for c in columns}, **{after[c]: nearest(c, backward) for c in columns}}
-    )
+    local = base.withColumns({names[side][c]: nearest(c, side) for side in sides for c in columns})
     if not layout.split:
         return local
 
-    position = F.struct(*ordering(order))
-    edges = base.groupBy(*[col(s) for s in [*series, CHUNK]]).agg(
-        *[F.max_by(col(c), F.when(col(c).isNotNull(), position)).alias(f"__last_{i}") for i, c in enumerate(columns)],
-        *[F.min_by(col(c), F.when(col(c).isNotNull(), position)).alias(f"__first_{i}") for i, c in enumerate(columns)],
+    position = F.struct(*ordering(total))
+    ends = {"prev": F.max_by, "next": F.min_by}
+    edges = base.groupBy(CHUNK).agg(
+        *[
+            ends[side](col(c), F.when(col(c).isNotNull(), position)).alias(f"__{side}_end_{i}")
+            for side in sides
+            for i, c in enumerate(columns)
+        ]
     )
     # One row per (series, chunk): as many as there are chunks, plus one per series.
-    earlier = _series_window(series).orderBy(col(CHUNK)).rowsBetween(Window.unboundedPreceding, -1)
-    later = _series_window(series).orderBy(col(CHUNK).desc()).rowsBetween(Window.unboundedPreceding, -1)
     carried = edges.select(
-        *[col(s) for s in [*series, CHUNK]],
-        *[F.last(f"__last_{i}", ignorenulls=True).over(earlier).alias(f"__before_{i}") for i in range(len(columns))],
-        *[F.last(f"__first_{i}", ignorenulls=True).over(later).alias(f"__after_{i}") for i in range(len(columns))],
+        CHUNK,
+        *[
+            F.last(f"__{side}_end_{i}", ignorenulls=True).over(_chunks_of_series(series, side == "next")).alias(f"__{side}_far_{i}")
+            for side in sides
+            for i in range(len(columns))
+        ],
     )
-    joined = join_null_safe(local, carried, [*series, CHUNK])
-    filled = {}
-    for i, c in enumerate(columns):
-        filled[before[c]] = F.coalesce(col(before[c]), col(f"__before_{i}"))
-        filled[after[c]] = F.coalesce(col(after[c]), col(f"__after_{i}"))
-    extra = [f"__{side}_{i}" for side in ("before", "after") for i in range(len(columns))]
-    return joined.withColumns(filled).drop(CHUNK, *extra)
+    joined = local.join(carried, CHUNK, "left")
+    filled = {
+        names[side][c]: F.coalesce(col(names[side][c]), col(f"__{side}_far_{i}")) for side in sides for i, c in enumerate(columns)
+    }
+    extra = [f"__{side}_far_{i}" for side in sides for i in range(len(columns))]
+    return joined.withColumns(filled).drop(CHUNK, *extra).select(*df.columns, *filled)
 
 
 def number_rows(
@@ -133,22 +132,17 @@ def number_rows(
     layout: Layout | None = None,
 ) -> DataFrame:
     """Add the 1-based position of each row in its series, as a long."""
-    layout = layout or measure(df, series)
+    layout = layout or WHOLE
+    total = ordering(total_order(df, order, series))
     if not layout.split:
-        window = _series_window(series).orderBy(*ordering(order))
+        window = _series_window(series).orderBy(*total)
         return df.withColumn(name, F.row_number().over(window).cast("long"))
     base = chunked(df, series, order, layout.chunks)
-    keys = [*series, CHUNK]
-    sizes = base.groupBy(*[col(k) for k in keys]).agg(F.count(F.lit(1)).alias("__n"))
-    earlier = _series_window(series).orderBy(col(CHUNK)).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(*[col(k) for k in keys], F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__offset"))
-    inside = _series_window(series, CHUNK).orderBy(*ordering(order))
-    numbered = base.withColumn("__inside", F.row_number().over(inside))
-    return (
-        join_null_safe(numbered, offsets, keys)
-        .withColumn(name, (col("__offset") + col("__inside")).cast("long"))
-        .drop(CHUNK, "__inside", "__offset")
-    )
+    sizes = base.groupBy(CHUNK).agg(F.count(F.lit(1)).alias("__n"))
+    offsets = sizes.select(CHUNK, F.coalesce(F.sum("__n").over(_chunks_of_series(series)), F.lit(0)).alias("__offset"))
+    numbered = base.withColumn("__inside", F.row_number().over(Window.partitionBy(CHUNK).orderBy(*total)))
+    placed = numbered.join(offsets, CHUNK).withColumn(name, (col("__offset") + col("__inside")).cast("long"))
+    return placed.select(*df.columns, name)
 
 
 def with_halo(df: DataFrame, position: str, rows: int, lookback: int, block: str = "__block") -> DataFrame:
@@ -177,23 +171,24 @@ def order_violations(
 ) -> DataFrame:
     """Add ``name``: the time is later than that of the previous row; NULL for the first row."""
     order = [ts, *tie_break]
-    layout = layout or measure(df, series)
+    layout = layout or WHOLE
     if not layout.split:
-        window = _series_window(series).orderBy(*ordering(order))
+        window = _series_window(series).orderBy(*ordering(total_order(df, order, series)))
         return df.withColumn(name, col(ts) > F.lag(col(ts)).over(window))
     # NULL times sort first, so the nearest earlier non-NULL time is the previous row's.
-    near = neighbours(df, [ts], order, series, layout=layout)
-    return near.withColumn(name, col(ts) > col(f"__prev_{ts}")).drop(f"__prev_{ts}", f"__next_{ts}")
+    near = neighbours(df, [ts], order, series, sides=["prev"], layout=layout)
+    return near.withColumn(name, col(ts) > col(f"__prev_{ts}")).drop(f"__prev_{ts}")
 
 
 def latest(df: DataFrame, n: int, ts: str, series: Sequence[str] = (), tie_break: Sequence[str] = ()) -> DataFrame:
-    """The latest ``n`` rows, per series when one is given.
+    """The latest ``n`` rows, per series when one is given; other columns break remaining ties.
 
     Up to ``GROUP_LIMIT`` rows Spark itself keeps only ``n`` rows per series and map task.
     Beyond that, rows are first thinned per (series, hash): a row that is not among the
     latest ``n`` of its part is not among the latest ``n`` of its series.
     """
-    order = [col(ts).desc_nulls_last(), *[col(t).asc_nulls_first() for t in tie_break]]
+    ties = total_order(df, [ts, *tie_break], series)[1:]
+    order = [col(ts).desc_nulls_last(), *[col(t).asc_nulls_first() for t in ties]]
     if not series:
         return df.orderBy(*order).limit(n)
 
@@ -202,7 +197,7 @@ def latest(df: DataFrame, n: int, ts: str, series: Sequence[str] = (), tie_break
         return frame.withColumn("__rank", rank).filter(col("__rank") <= n).drop("__rank")
 
     if n > GROUP_LIMIT:
-        part = F.pmod(F.xxhash64(*[col(c) for c in [ts, *tie_break]]), F.lit(PARTS))
+        part = F.pmod(F.xxhash64(*[col(c) for c in [ts, *ties]]), F.lit(PARTS))
         df = first_rows(df.withColumn("__part", part), [*series, "__part"]).drop("__part")
     return first_rows(df, series)
 
@@ -225,7 +220,7 @@ def chronological_split(
     keys = list(series)
     total = df.groupBy(*[col(k) for k in keys]).agg(F.count(F.lit(1)).alias("__total"))
     if keys:
-        sized = join_null_safe(numbered, total, keys)
+        sized = join_few(numbered, total, keys)
     else:
         sized = numbered.withColumn("__total", total.scalar())
     train_end = F.floor(col("__total") * F.lit(train))

@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from plumbline.columns import col, ordering, rows_from
-from plumbline.operators.ordered import Layout, measure, number_rows, with_halo
+from plumbline.columns import col, ordering, rows_from, total_order
+from plumbline.operators.ordered import WHOLE, Layout, number_rows, with_halo
 
 BLOCK_ROWS = 100_000
 
@@ -36,7 +36,7 @@ def detect_outliers(
     ``is_outlier_<c>`` for every column in one pass. The quartiles are exact: the frame is
     collected and sorted, which is bounded by ``window`` and cheaper than a sketch per row.
     """
-    layout = layout or measure(df, series)
+    layout = layout or WHOLE
     if layout.split:
         base = number_rows(df, order, series, name="__position", layout=layout)
         # One row more than the frame: the first increase of the frame needs its predecessor.
@@ -44,7 +44,7 @@ def detect_outliers(
         ordered = Window.partitionBy(*[col(s) for s in [*series, "__block"]]).orderBy("__position")
     else:
         base = df
-        ordered = Window.partitionBy(*[col(s) for s in series]).orderBy(*ordering(order))
+        ordered = Window.partitionBy(*[col(s) for s in series]).orderBy(*ordering(total_order(df, order, series)))
     rolling = ordered.rowsBetween(-(window - 1), Window.currentRow)
 
     steps = base.withColumns(

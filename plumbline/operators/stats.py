@@ -9,7 +9,7 @@ from itertools import combinations_with_replacement
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.columns import col, join_null_safe
+from plumbline.columns import col, join_few
 from plumbline.functions.calendar import month_name, week_ending_monday, weekday_name
 
 # Bins of the temperature and error histograms, and points of the density grid.
@@ -17,24 +17,24 @@ TEMPERATURE_BINS = 20
 ERROR_BINS = 30
 GRID_POINTS = 100
 
+#: Most columns of a confusion matrix whose classes are found in the data.
+MOST_CLASSES = 1_000
+
 
 def weekly_counts(df: DataFrame, ts: str, group: str, fill_gaps: bool = False) -> DataFrame:
     """``(week, group, n)``: rows per week ending Monday, zero where a group has none.
 
-    Weeks without any row are absent unless ``fill_gaps``. Everything after the first
-    aggregation works on one row per (week, group).
+    Weeks without any row are absent unless ``fill_gaps``. Rows without a week or a group
+    count nowhere. Everything after the first aggregation works on one row per (week, group).
     """
-    counted = df.groupBy(week_ending_monday(col(ts)).alias("week"), col(group).alias(group)).agg(
+    counted = df.where(col(ts).isNotNull() & col(group).isNotNull()).groupBy(week_ending_monday(col(ts)).alias("week"), col(group).alias(group)).agg(
         F.count(F.lit(1)).alias("n")
     )
-    groups = counted.agg(F.collect_set(col(group))).scalar()
-    per_week = counted.groupBy("week").agg(F.map_from_entries(F.collect_list(F.struct(col(group), "n"))).alias("found"))
-    if fill_gaps:
-        span = counted.agg(F.min("week").alias("lo"), F.max("week").alias("hi"))
-        weeks = span.select(F.explode(F.expr("sequence(lo, hi, interval 7 days)")).alias("week"))
-        per_week = weeks.join(per_week, "week", "left")
-    spread = per_week.select("week", "found", F.explode(groups).alias(group))
-    return spread.select("week", group, F.coalesce(F.try_element_at("found", col(group)), F.lit(0)).alias("n"))
+    span = counted.agg(F.struct(F.min("week").alias("lo"), F.max("week").alias("hi"))).scalar()
+    # The weeks are bounded by the calendar; the groups are never gathered.
+    weeks = F.sequence(span["lo"], span["hi"], F.expr("interval 7 days")) if fill_gaps else counted.agg(F.collect_set("week")).scalar()
+    frame = counted.select(col(group)).distinct().select(F.explode(weeks).alias("week"), col(group))
+    return frame.join(counted, ["week", group], "left").select("week", group, F.coalesce("n", F.lit(0)).alias("n"))
 
 
 def month_weekday_mean(df: DataFrame, ts: str) -> DataFrame:
@@ -207,15 +207,23 @@ def classification_report(df: DataFrame, label: str, prediction: str) -> DataFra
 
 
 def confusion_matrix(df: DataFrame, label: str, prediction: str, classes: Sequence[str] | None = None) -> DataFrame:
-    """One row per true class and one count column per predicted class."""
+    """One row per true class, NULL included, and one count column per predicted class.
+
+    With given ``classes`` all other predictions are counted in a last column ``other``.
+    Without, the classes found are the columns, at most ``MOST_CLASSES``.
+    """
     counted = confusion_counts(df, label, prediction)
-    if classes is None:
+    names = classes
+    if names is None:
         found = counted.select(F.explode(F.array("label", "prediction")).alias("c")).distinct().orderBy("c")
-        classes = [row[0] for row in found.collect()]
-    table = counted.groupBy("label").agg(
-        *[F.sum(F.when(F.col("prediction") == c, F.col("n")).otherwise(0)).alias(str(c)) for c in classes]
-    )
-    return table.filter(F.col("label").isin(*classes))
+        names = [row[0] for row in found.limit(MOST_CLASSES + 1).collect()]
+        if len(names) > MOST_CLASSES:
+            raise ValueError(f"more than {MOST_CLASSES} classes")
+    cells = [F.sum(F.when(F.col("prediction").eqNullSafe(c), F.col("n")).otherwise(0)).alias(str(c)) for c in names]
+    if classes is not None:
+        listed = F.coalesce(F.col("prediction").isin(*classes), F.lit(False))
+        cells.append(F.sum(F.when(~listed, F.col("n")).otherwise(0)).alias("other"))
+    return counted.groupBy("label").agg(*cells)
 
 
 def class_weights(df: DataFrame, label: str) -> DataFrame:
@@ -227,7 +235,7 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
 
 def add_class_weight(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
     weights = class_weights(df, label).select(col("class").alias(label), F.col("weight").alias(name))
-    return join_null_safe(df, weights, [label])
+    return join_few(df, weights, [label])
 
 
 def save_results(results: Mapping[str, DataFrame], root: str, mode: str = "overwrite") -> dict[str, str]:

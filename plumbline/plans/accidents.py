@@ -87,7 +87,10 @@ def trust_accidents(df: DataFrame, as_of: Column | None = None, by: tuple[str, .
     reports |= assess_rules(df, rules())
     repaired = recode_unlisted(enforce_null(df, rules()), "vict_sex", SEXES)
     # Everything below reads these rows several times, and one step chooses columns by them.
-    unique = cut_lineage(dedup(repaired, ["dr_no"], [c for c in df.columns if c != "dr_no"]))
+    # A report number that a rule blanked says nothing about the event: such rows all stay.
+    numbered = repaired.filter(col("dr_no").isNotNull())
+    unique = dedup(numbered, ["dr_no"], [c for c in df.columns if c != "dr_no"])
+    unique = cut_lineage(unique.unionByName(repaired.filter(col("dr_no").isNull())))
     dense = drop_sparse_rows(unique, SPARSE_ROW)
     reports["removed"] = removal_report(df, [("duplicates", unique), ("sparse rows", dense)])
     constants = [r["column"] for r in reports["constant_columns"].select("column").collect()]

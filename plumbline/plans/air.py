@@ -13,7 +13,7 @@ from plumbline.functions.convert import parse_offset_timestamp, safe_cast
 from plumbline.functions.text import OBSERVATION_NULLS, nullify_tokens, rename_snake
 from plumbline.operators.clean import dedup, drop_sparse_columns
 from plumbline.operators.impute import interpolate
-from plumbline.operators.ordered import Layout, measure, order_violations
+from plumbline.operators.ordered import WHOLE, Layout, order_violations
 from plumbline.operators.profile import relation_completeness, removal_report
 from plumbline.operators.rules import Constraint, blank_negative, enforce_null, recompute_sum
 from plumbline.operators.series import (
@@ -75,7 +75,7 @@ def trust_air(df: DataFrame, as_of: Column | None = None, layout: Layout | None
     """Blank impossible values, repair nox, thin out columns, fill gaps; extreme values stay."""
     have = present_parameters(df)
     series, order = ["station"], [TIME]
-    layout = layout or measure(df, series)
+    layout = layout or WHOLE
     reports = assess(df, ["station", TIME], as_of)
 
     # Ties in time are told apart by every other column, so the order is total.

@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.columns import col, join_null_safe
+from plumbline.columns import col, join_few
 from plumbline.functions.categories import lookup
 from plumbline.operators import profile
 from plumbline.operators.clean import unstable_columns
@@ -61,9 +61,11 @@ def blank_unstable(df: DataFrame, series: str, exclude: Sequence[str]) -> DataFr
 
     In one table for all stations a column cannot be dropped for one of them.
     """
+    names = [c for c in df.columns if c not in {TIME, series, *exclude}]
+    if not names:
+        return df
     report = unstable_columns(df, TIME, [series], exclude=exclude).filter("is_unstable")
     marks = report.groupBy(col(series)).agg(F.collect_list("column").alias("__unstable"))
-    joined = join_null_safe(df, marks, [series])
-    names = [c for c in df.columns if c not in {TIME, series, *exclude}]
+    joined = join_few(df, marks, [series])
     unstable = lambda c: F.coalesce(F.array_contains("__unstable", c), F.lit(False))
     return joined.withColumns({c: F.when(~unstable(c), col(c)) for c in names}).drop("__unstable")

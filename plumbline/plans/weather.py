@@ -7,16 +7,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.columns import col
+from plumbline.columns import col, total_order
 from plumbline.functions.convert import COMPACT_DATE, parse_date, scale_columns
 from plumbline.functions.text import OBSERVATION_NULLS, nullify_tokens
 from plumbline.operators.clean import dedup
 from plumbline.operators.impute import interpolate
-from plumbline.operators.ordered import Layout, measure
+from plumbline.operators.ordered import Layout
 from plumbline.operators.profile import date_coverage, relation_completeness
 from plumbline.operators.rules import Constraint, enforce_filter
 from plumbline.operators.series import pivot_wide
 from plumbline.plans.common import TIME, Trusted, assess, assess_rules, blank_unstable, station_of
+from plumbline.session import cut_lineage
 
 # Elements kept in tenths by the source, and updates per day.
 TENTHS = ("PRCP", "TMAX", "TMIN")
@@ -48,14 +49,18 @@ def format_weather(long: DataFrame, elements: Sequence[str] | None = None) -> Da
 
 
 def trust_weather(df: DataFrame, as_of: Column | None = None, layout: Layout | None = None) -> Trusted:
-    """Keep plausible days, fill gaps from their neighbours, one row per station and day."""
+    """One row per station and day, plausible days only, gaps filled from their neighbours.
+
+    Copies go first, so that no gap is filled from a row that does not stay: of the rows of a
+    station and day the first in the order of their values. The daily table is written once.
+    """
+    df = cut_lineage(df)
     reports = assess(df, ["station", TIME], as_of, UPDATES_PER_DAY)
     reports["missing_dates"] = date_coverage(df, TIME, ["station"])
-    layout = layout or measure(df, ["station"])
     stable = blank_unstable(df, "station", exclude=TENTHS)
     reports |= assess_rules(stable, rules())
     valid = enforce_filter(stable, rules())
-    filled = interpolate(valid, [TIME], series=["station"], layout=layout)
-    data = dedup(filled, ["station", TIME], [TIME]).select(*df.columns)
+    unique = dedup(valid, ["station", TIME], total_order(valid, [], ["station", TIME]))
+    data = interpolate(unique, [TIME], series=["station"], layout=layout).select(*df.columns)
     reports["final_completeness"] = relation_completeness(data)
     return Trusted(data, reports)

@@ -90,13 +90,6 @@ def test_filling_leaves_values_and_rows_alone(spark, rows, seed):
     assert rows(filled) == rows(impute.interpolate(frame.repartition(13), ["t"], ["v"], ["s"]))
 
 
-def test_layout_follows_the_largest_series(spark):
-    frame = random_series(spark, 6)
-    assert ordered.measure(frame, ["s"]) == ordered.WHOLE
-    assert ordered.measure(frame, ["s"], limit=10).split
-    assert ordered.measure(frame.filter("t < 0"), ["s"]) == ordered.WHOLE
-
-
 # Other imputation
 
 
