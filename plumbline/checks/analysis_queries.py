@@ -137,6 +137,23 @@ def weekly_counts_gaps(spark, sf):
     return stats.weekly_counts(st.frame(spark, sf, "accidents").withColumn("day", day), "day", "area_name", fill_gaps=True)
 
 
+NULL_AREAS = f"(SELECT * REPLACE (CASE WHEN area_name <> 'P' THEN area_name END AS area_name) FROM {ACC})"
+
+
+@query(
+    "weekly_counts_null_group",
+    "week:d area_name:s n:i",
+    f"""SELECT w.week, a.area_name, COUNT(t.dr_no) AS n
+    FROM (SELECT DISTINCT {WEEK.format('date_occ')} AS week FROM {NULL_AREAS} WHERE area_name IS NOT NULL) w,
+      (SELECT DISTINCT area_name FROM {NULL_AREAS} WHERE area_name IS NOT NULL) a
+    LEFT JOIN {NULL_AREAS} t ON {WEEK.format('t.date_occ')} = w.week AND t.area_name = a.area_name GROUP BY 1, 2""",
+)
+def weekly_counts_null_group(spark, sf):
+    """Events without an area count nowhere."""
+    rows = st.frame(spark, sf, "accidents").withColumn("area_name", F.when(col("area_name") != "P", col("area_name")))
+    return stats.weekly_counts(rows, "date_occ", "area_name")
+
+
 @query(
     "monthly_weekday_avg",
     "month_no:i month:s day_no:i day:s mean_yearly_count:f",
@@ -348,7 +365,17 @@ def confusion_matrix(spark, sf):
     return stats.confusion_matrix(classified(spark, sf), "label", "guess")
 
 
-@query("hash_split", "o_orderstatus:s is_train:b n:i")
+def sql_is_train(*keys: str) -> str:
+    """The same split from the same MD5 text."""
+    text = " || '|' || ".join(["'42'", *[f"COALESCE(CAST({k} AS VARCHAR), '')" for k in keys]])
+    return f"CAST('0x' || substr(md5({text}), 1, 7) AS BIGINT) % 100 < 80"
+
+
+@query(
+    "hash_split",
+    "o_orderstatus:s is_train:b n:i",
+    f"SELECT o_orderstatus, {sql_is_train('o_orderkey')} AS is_train, COUNT(*) AS n FROM orders GROUP BY ALL",
+)
 def hash_split(spark, sf):
     split = models.hash_split(table(spark, sf, "orders"), ["o_orderkey"])
     return split.groupBy("o_orderstatus", "is_train").agg(F.count(F.lit(1)).alias("n"))

@@ -109,12 +109,19 @@ def dq_redundancy(spark, sf):
     return profile.redundancy(table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
+WITH_NOTHING = f"(SELECT *, CAST(NULL AS VARCHAR) AS nothing FROM {ACC})"
+# Per column its levels, NULL being one, and the least of them.
+LEVELS = " UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", CAST(MIN({c}) AS VARCHAR) AS value,
+    COUNT(DISTINCT {c}) + CASE WHEN COUNT(*) > COUNT({c}) THEN 1 ELSE 0 END AS levels FROM {{0}}"""
+    for c in [*st.ROW_LEVEL["accidents"][1], "nothing"]
+)
+
+
 @query(
     "dq_constant_columns",
     "column:s value:s",
-    f"""SELECT 'crm_cd_desc' AS "column", MIN(crm_cd_desc) AS value FROM {ACC} HAVING COUNT(DISTINCT crm_cd_desc) = 1
-    UNION ALL SELECT 'vict_sex', MIN(vict_sex) FROM {ACC} HAVING COUNT(DISTINCT vict_sex) = 1 AND COUNT(*) = COUNT(vict_sex)
-    UNION ALL SELECT 'nothing', NULL""",
+    f"""SELECT "column", value FROM ({LEVELS.format(WITH_NOTHING)}) WHERE levels = 1""",
 )
 def dq_constant_columns(spark, sf):
     rows = st.frame(spark, sf, "accidents").withColumn("nothing", F.lit(None).cast("string"))
@@ -232,13 +239,12 @@ def dedup_key(spark, sf):
 @query(
     "drop_constant_columns",
     "column:s",
-    """SELECT unnest(['dr_no', 'date_rptd', 'date_occ', 'time_occ', 'area', 'area_name', 'rpt_dist_no', 'crm_cd', 'mocodes',
-    'vict_age', 'vict_sex', 'vict_descent', 'premis_cd', 'premis_desc', 'location', 'cross_street', 'latitude', 'longitude'])
-    AS "column" FROM (SELECT COUNT(DISTINCT crm_cd_desc) AS k FROM orders, (SELECT 'x' AS crm_cd_desc)) WHERE k = 1""",
+    f"""SELECT "column" FROM ({LEVELS.format(WITH_NOTHING)}) WHERE levels <> 1""",
 )
 def drop_constant_columns(spark, sf):
     """The columns that remain, one row each, so that the result has a fixed schema."""
-    kept = clean.drop_constant_columns(st.frame(spark, sf, "accidents"))
+    rows = st.frame(spark, sf, "accidents").withColumn("nothing", F.lit(None).cast("string"))
+    kept = clean.drop_constant_columns(rows)
     return kept.agg(F.count(F.lit(1)).alias("n")).select(F.explode(F.array(*[F.lit(c) for c in kept.columns])).alias("column"))
 
 

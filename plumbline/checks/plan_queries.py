@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from plumbline.checks import standins as st
-from plumbline.checks.analysis_queries import air_energy_weather, features
+from plumbline.checks.analysis_queries import FEATURES, VIEW_AIR, air_energy_weather, features, sql_is_train
 from plumbline.checks.registry import query, table
 from plumbline.checks.rule_queries import WEATHER_SQL, repaired_accidents
 from plumbline.checks.series_queries import sql_group_modes
 from plumbline.columns import col
 from plumbline.functions.convert import clock_text
-from plumbline.operators import models, stats
+from plumbline.operators import stats
 from plumbline.plans import accidents, air, analysis, energy, weather
 
 RAW_ENERGY = """SELECT strftime(CAST(o_orderdate AS DATE), '%Y-%m-%d') AS date,
@@ -71,9 +71,12 @@ def weather_source(spark, sf):
     )
 
 
-def sql_unstable(c: str) -> str:
-    return f"""(SELECT COUNT(*) - COUNT({c}) > 730 * 0.2 FROM (SELECT * FROM {WEATHER_SOURCE} i WHERE i.station = o.station
-      ORDER BY datetime_iso DESC LIMIT 730))"""
+WEATHER_TIES = '"TMAX" NULLS FIRST, "TMIN" NULLS FIRST, "PRCP" NULLS FIRST, "SNOW" NULLS FIRST, "AWND" NULLS FIRST'
+
+
+def sql_unstable(c: str, source: str) -> str:
+    return f"""(SELECT COUNT(*) - COUNT({c}) > 730 * 0.2 FROM (SELECT * FROM {source} i WHERE i.station = o.station
+      ORDER BY datetime_iso DESC, {WEATHER_TIES} LIMIT 730))"""
 
 
 def sql_fill(c: str, by: str, order: str, fallback: str = "NULL") -> str:
@@ -83,21 +86,50 @@ def sql_fill(c: str, by: str, order: str, fallback: str = "NULL") -> str:
     return f"COALESCE({c}, ({before} + {after}) / 2.0, {before}, {after}, {fallback}) AS {c}"
 
 
+def sql_trusted_weather(source: str) -> str:
+    """Unstable columns blanked, implausible days and copies gone, gaps filled, in this order."""
+    return f"""SELECT station, datetime_iso, "TMAX", "TMIN", "PRCP", {sql_fill('"SNOW"', 'station', 'datetime_iso')},
+    {sql_fill('"AWND"', 'station', 'datetime_iso')} FROM (
+      SELECT DISTINCT ON (station, datetime_iso) * FROM (
+        SELECT o.station, datetime_iso, "TMAX", "TMIN", "PRCP",
+          CASE WHEN u.no_snow THEN NULL ELSE "SNOW" END AS "SNOW", CASE WHEN u.no_awnd THEN NULL ELSE "AWND" END AS "AWND"
+        FROM {source} o JOIN (SELECT station, {sql_unstable('"SNOW"', source)} AS no_snow, {sql_unstable('"AWND"', source)} AS no_awnd
+          FROM (SELECT DISTINCT station FROM {source}) o) u ON u.station = o.station)
+      WHERE {' AND '.join(f'({c})' for c in WEATHER_SQL.values())}
+      ORDER BY station, datetime_iso, {WEATHER_TIES})"""
+
+
 @query(
     "trusted_weather",
     "station:s datetime_iso:d TMAX:f TMIN:f PRCP:f SNOW:f AWND:f",
-    f"""SELECT station, datetime_iso, "TMAX", "TMIN", "PRCP", {sql_fill('"SNOW"', 'station', 'datetime_iso')},
-    {sql_fill('"AWND"', 'station', 'datetime_iso')} FROM (
-      SELECT o.station, datetime_iso, "TMAX", "TMIN", "PRCP",
-        CASE WHEN u.no_snow THEN NULL ELSE "SNOW" END AS "SNOW", CASE WHEN u.no_awnd THEN NULL ELSE "AWND" END AS "AWND"
-      FROM {WEATHER_SOURCE} o JOIN (SELECT station, {sql_unstable('"SNOW"')} AS no_snow, {sql_unstable('"AWND"')} AS no_awnd
-        FROM (SELECT DISTINCT station FROM {WEATHER_SOURCE}) o) u ON u.station = o.station)
-    WHERE {' AND '.join(f'({c})' for c in WEATHER_SQL.values())}""",
+    sql_trusted_weather(WEATHER_SOURCE),
 )
 def trusted_weather(spark, sf):
     return weather.trust_weather(weather_source(spark, sf)).data
 
 
+COPIES = f"""(SELECT * FROM {WEATHER_SOURCE} UNION ALL
+    SELECT * REPLACE ("TMAX" + 1 AS "TMAX", "SNOW" - 2 AS "SNOW") FROM {WEATHER_SOURCE} WHERE DAY(datetime_iso) % 3 = 0)"""
+
+
+@query("trusted_weather_copies", "station:s datetime_iso:d TMAX:f TMIN:f PRCP:f SNOW:f AWND:f", sql_trusted_weather(COPIES))
+def trusted_weather_copies(spark, sf):
+    """A third of the days come twice, with other values the second time."""
+    rows = weather_source(spark, sf)
+    again = rows.filter(F.dayofmonth("datetime_iso") % 3 == 0)
+    return weather.trust_weather(rows.unionByName(again.withColumns({"TMAX": col("TMAX") + 1, "SNOW": col("SNOW") - 2}))).data
+
+
+@query(
+    "trusted_weather_core",
+    "station:s datetime_iso:d TMAX:f TMIN:f PRCP:f",
+    f"SELECT * FROM {st.WEATHER_DAILY} WHERE {' AND '.join(f'({c})' for c in WEATHER_SQL.values())}",
+)
+def trusted_weather_core(spark, sf):
+    """Weather of the three core elements only: no column is left to judge."""
+    return weather.trust_weather(st.weather_daily(spark, sf)).data
+
+
 AREA_TEXT = ["time_occ", "area", "rpt_dist_no", "crm_cd", "vict_sex", "vict_descent", "premis_cd", "premis_desc", "location", "cross_street"]
 AREA_NUMBERS = ["latitude", "longitude", "vict_age"]
 REPAIRED = repaired_accidents()
@@ -107,7 +139,8 @@ def sql_trusted_accidents() -> str:
     medians = ", ".join(f"quantile_disc({c}, 0.5) AS median_{c}" for c in AREA_NUMBERS)
     fills = ", ".join(f"COALESCE(m.{c}, median_{c}) AS {c}" for c in AREA_NUMBERS)
     listed = ", ".join(f"m.{c}" for c in ["dr_no", "area_name", "date_occ", "date_rptd", *AREA_TEXT])
-    return f"""WITH repaired AS {REPAIRED}, filled AS ({sql_group_modes(["dr_no", *AREA_TEXT], "area_name", "repaired")})
+    # A report without a valid number is no copy of another: both its rows stay.
+    return f"""WITH repaired AS (SELECT * FROM {REPAIRED} UNION ALL SELECT * FROM {REPAIRED} WHERE dr_no IS NULL), filled AS ({sql_group_modes(["dr_no", *AREA_TEXT], "area_name", "repaired")})
     SELECT {listed}, {fills} FROM filled m JOIN (SELECT area_name, {medians} FROM repaired GROUP BY area_name) d USING (area_name)"""
 
 
@@ -120,7 +153,7 @@ def trusted_accidents(spark, sf):
     rows = st.frame(spark, sf, "accidents").withColumns(
         {"time_occ": clock_text(col("time_occ")), "datetime_iso": col("date_occ"), "mocodes": F.split("mocodes", r"\s+")}
     )
-    # Each report comes twice: the copy must vanish.
+    # Each report comes twice: the copy must vanish, unless its number says nothing.
     return accidents.trust_accidents(rows.unionByName(rows)).data
 
 
@@ -189,7 +222,7 @@ def trusted_air_daily(spark, sf):
     f"""SELECT 'completeness' AS report, p AS item, r AS value FROM (
       SELECT unnest(['co', 'no', 'no2', 'o3', 'pm25']) AS p, unnest([{', '.join(f'AVG(CAST({p} IS NULL AS INTEGER))' for p in AIR_NAMES)}]) AS r
       FROM {AIR_WIDE})
-    UNION ALL SELECT 'removed', 'duplicates', 0.0
+    UNION ALL SELECT 'removed', 'duplicates', COUNT(*) - COUNT(DISTINCT (station, datetime_iso)) FROM {AIR_WIDE}
     UNION ALL SELECT 'constraints', 'ordered_timestamps', (COUNT(*) - COUNT(DISTINCT station)) * 1.0 / COUNT(*) FROM {AIR_WIDE}""",
 )
 def air_reports(spark, sf):
@@ -214,23 +247,80 @@ def regressions(spark, sf):
     return analysis.air_regression(air_energy_weather(spark, sf), TARGETS)
 
 
-@query("gbt_regression", "station:s n:i rmse:f r2:f")
+def sql_held_out(station: str, target: str) -> str:
+    """The held-out rows with a target, which the station's mean fills where it is missing."""
+    return f"""SELECT '{station}' AS station, COUNT(*) AS n, AVG({target}) AS target_mean, TRUE AS scored FROM (
+      SELECT station, datetime_iso, COALESCE({target}, AVG({target}) OVER ()) AS {target} FROM ({VIEW_AIR}) WHERE station = '{station}')
+    WHERE NOT ({sql_is_train('station', 'datetime_iso')}) AND {target} IS NOT NULL"""
+
+
+@query(
+    "gbt_regression",
+    "station:s n:i target_mean:f scored:b",
+    " UNION ALL ".join(sql_held_out(s, t) for s, t in TARGETS.items()),
+)
 def gbt_regression(spark, sf):
-    """Boosted trees per station, scored on the held-out fifth."""
-    scores = [
-        stats.regression_metrics(f.predictions, TARGETS[s], "prediction").withColumn("station", F.lit(s))
-        for s, f in regressions(spark, sf).items()
-    ]
+    """Boosted trees per station: every held-out row has a prediction within the range of the target.
+
+    The errors themselves have no SQL form; the tests compare them with the mean's.
+    """
+    scores = []
+    for s, f in regressions(spark, sf).items():
+        target, guess = col(TARGETS[s]), col("prediction")
+        scores.append(
+            f.predictions.agg(
+                F.count(guess).alias("n"),
+                F.avg(target).alias("target_mean"),
+                F.coalesce(F.min(guess) >= F.min(target) - F.stddev(target), F.lit(False)).alias("above"),
+                F.coalesce(F.max(guess) <= F.max(target) + F.stddev(target), F.lit(False)).alias("below"),
+            ).select(F.lit(s).alias("station"), "n", "target_mean", (F.col("above") & F.col("below")).alias("scored"))
+        )
     return scores[0].unionByName(scores[1]).unionByName(scores[2])
 
 
-@query("rf_classifier", "report:s item:s precision:f recall:f support:i importance:f")
+# The chronological parts of the rows that the forest takes.
+PARTED = f"""(SELECT *, CASE WHEN place <= FLOOR(total * 0.85) THEN 'train'
+      WHEN place <= FLOOR(total * 0.85) + FLOOR(total * 0.15) THEN 'validation' END AS part
+    FROM (SELECT *, ROW_NUMBER() OVER (ORDER BY datetime_occ, dr_no) AS place, COUNT(*) OVER () AS total FROM ({FEATURES})))"""
+
+
+def severity(spark, sf, **params):
+    return analysis.severity_model(analysis.severity_parts(features(spark, sf)), **params)
+
+
+@query(
+    "rf_classifier",
+    "class:s support:i bounded:b",
+    f"""SELECT "Injury_Level" AS "class", COUNT(*) AS support, TRUE AS bounded FROM {PARTED} WHERE part = 'validation' GROUP BY 1""",
+)
 def rf_classifier(spark, sf):
-    """Severity forest: the report on the later rows, and the twenty strongest features."""
-    fitted = analysis.severity_model(analysis.severity_parts(features(spark, sf)))
-    report = stats.classification_report(fitted.predictions, analysis.TARGET, "prediction")
-    strongest = models.top_features(fitted.importances).select(
-        F.lit("feature_importance").alias("report"), col("feature").alias("item"), "importance"
-    )
-    per_class = report.select(F.lit("class").alias("report"), col("class").alias("item"), "precision", "recall", "support")
-    return per_class.unionByName(strongest, allowMissingColumns=True)
+    """Severity forest on the later rows: the classes found there, every row counted, ratios between 0 and 1."""
+    report = stats.classification_report(severity(spark, sf).predictions, analysis.TARGET, "prediction")
+    ratios = [F.col(c).between(0, 1) for c in ("precision", "recall", "f1")]
+    return report.filter("support > 0").select("class", "support", (ratios[0] & ratios[1] & ratios[2]).alias("bounded"))
+
+
+ENCODED = analysis.CATEGORY_FEATURES
+
+
+@query(
+    "feature_importance",
+    "source:s features:i total:f",
+    " UNION ALL ".join(
+        [
+            f"SELECT 'plain' AS source, {len(analysis.NUMERIC_FEATURES) + len(analysis.TIME_FEATURES)} AS features, NULL AS total",
+            *[
+                f"""SELECT '{c}', COUNT(DISTINCT "{c}") + 2, NULL FROM {PARTED} WHERE part = 'train'"""
+                for c in ENCODED
+            ],
+            "SELECT 'all', NULL, 1.0",
+        ]
+    ),
+)
+def feature_importance(spark, sf):
+    """Importances of a small forest: one per plain feature and per level (two for levels not seen), 1 in sum."""
+    found = severity(spark, sf, numTrees=10, maxDepth=5).importances
+    origin = F.when(F.instr("feature", "=") > 0, F.substring_index("feature", "=", 1)).otherwise("plain")
+    counts = found.groupBy(origin.alias("source")).agg(F.count(F.lit(1)).alias("features"))
+    total = found.agg(F.sum("importance").alias("total")).select(F.lit("all").alias("source"), "total")
+    return counts.unionByName(total, allowMissingColumns=True)

@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+import gzip
+import io
+import tarfile
 import uuid
+from collections.abc import Iterator
 from datetime import date
 
+import pandas as pd
+import pyarrow.fs
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,7 +54,7 @@ def scan_json(spark, sf):
     )
     nested = rows.drop("latitude", "longitude").withColumn("location_1", place)
     path = scratch_path(spark, "scan_json")
-    files.as_documents(nested).write.option("maxRecordsPerFile", 1).text(path)
+    as_documents(nested).write.option("maxRecordsPerFile", 1).text(path)
     read = files.scan_json(spark, path, schemas.ACCIDENTS)
     return flatten_struct(read, "location_1").withColumn("corrupt", col(files.CORRUPT).isNotNull())
 
@@ -70,6 +77,41 @@ def corrupt_records(spark, sf):
     return files.corrupt_report(files.scan_json(spark, path, schema, multi_line=False), ["o_orderstatus"])
 
 
+def as_documents(records: DataFrame, prefix: str = "[", suffix: str = "]") -> DataFrame:
+    """One JSON document per batch of records: bounded by the Arrow batch size, no shuffle."""
+    lines = records.select(F.to_json(F.struct(*[col(c) for c in records.columns])).alias("line"))
+
+    def join_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame({"document": [prefix + ",\n".join(batch["line"]) + suffix]})
+
+    return lines.mapInPandas(join_lines, "document string")
+
+
+def write_archives(df: DataFrame, path: str) -> None:
+    """One tar.gz archive of one csv.gz member per batch of rows, written by the tasks."""
+    columns, uri = df.columns, path if ":" in path else f"file://{path}"
+
+    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyspark import TaskContext
+
+        part = TaskContext.get().partitionId()
+        for number, batch in enumerate(batches):
+            member = gzip.compress(batch[columns].to_csv(index=False, escapechar="\\").encode())
+            buffer = io.BytesIO()
+            with tarfile.open(fileobj=buffer, mode="w:gz") as archive:
+                info = tarfile.TarInfo(f"part-{part}-{number}.csv.gz")
+                info.size = len(member)
+                archive.addfile(info, io.BytesIO(member))
+            filesystem, folder = pyarrow.fs.FileSystem.from_uri(uri)
+            filesystem.create_dir(folder, recursive=True)
+            with filesystem.open_output_stream(f"{folder}/part-{part}-{number}.tar.gz", compression=None) as out:
+                out.write(buffer.getvalue())
+            yield pd.DataFrame({"archives": [1]})
+
+    df.mapInPandas(pack, "archives long").count()
+
+
 EVENT_TEXT = T.StructType([T.StructField(c, T.StringType()) for c in ("event_id", "ts", "user_id", "event_type", "value")])
 
 
@@ -81,8 +123,9 @@ def scan_archive(spark, sf):
     events = table(spark, sf, "events").select(
         "event_id", stamp, "user_id", F.concat(F.lit("  "), "event_type", F.lit(" ")).alias("event_type"), "value"
     )
-    rows = archive.parse_archives(archive.pack_archives(events), EVENT_TEXT)
-    return archive.good_rows(rows)
+    path = scratch_path(spark, "archives")
+    write_archives(events, path)
+    return archive.good_rows(archive.scan_archives(spark, path, EVENT_TEXT))
 
 
 @query(
@@ -92,8 +135,13 @@ def scan_archive(spark, sf):
     FROM {st.select("weather_source")} WHERE datetime_iso BETWEEN DATE '1997-03-15' AND DATE '1999-02-10'""",
 )
 def landing_range_extract(spark, sf):
+    """A table with its dates as text, the range taken from it by a pushed filter, and the landed copy."""
     rows = st.frame(spark, sf, "weather_source").withColumn("day", F.date_format("datetime_iso", "yyyyMMdd"))
-    return landing.extract_range(rows, ["station", "day", "quantity", "tax"], "day", date(1997, 3, 15), date(1999, 2, 10))
+    source, landed = scratch_path(spark, "text-dates"), scratch_path(spark, "landed")
+    rows.drop("datetime_iso").write.parquet(source)
+    columns = ["station", "day", "quantity", "tax"]
+    landing.copy_range(spark.read.parquet(source), landed, columns, "day", date(1997, 3, 15), date(1999, 2, 10))
+    return spark.read.parquet(landed)
 
 
 RECORD = T.StructType([T.StructField(c, T.StringType()) for c in ("period", "type-name", "timezone", "timezone-description", "value", "key")])
@@ -115,7 +163,7 @@ def json_explode_filter(spark, sf):
         col("value").cast("string").alias("value"),
         F.get_json_object("props", "$.k").alias("key"),
     )
-    pages = files.as_documents(events, '{"response":{"total":"1","data":[', "]}}")
+    pages = as_documents(events, '{"response":{"total":"1","data":[', "]}}")
     records = files.records_from_pages(pages, "document", RECORD)
     return files.keep_records(records, {"type-name": "Demand", "timezone": "Pacific"}, ["type-name", "timezone-description"])
 

@@ -82,7 +82,10 @@ def add_station(df: DataFrame) -> DataFrame:
 
 
 def trust_accidents(df: DataFrame, as_of: Column | None = None, by: tuple[str, ...] = ("area_name",)) -> Trusted:
-    """Blank violations, one row per report, thin out rows and columns, fill by area."""
+    """Blank violations, one row per report, thin out rows and columns, fill by area.
+
+    Rows whose report number is missing or blanked are no copies of each other and stay.
+    """
     reports = assess(df, [TIME], as_of)
     reports |= assess_rules(df, rules())
     repaired = recode_unlisted(enforce_null(df, rules()), "vict_sex", SEXES)

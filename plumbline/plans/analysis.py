@@ -14,7 +14,7 @@ from plumbline.functions import calendar as cal
 from plumbline.functions.categories import INJURY_REGROUP, MO_CODE_GROUPS, UNKNOWN, code_group_columns, recode
 from plumbline.functions.convert import at_clock
 from plumbline.operators import stats
-from plumbline.operators.clean import drop_any_null
+from plumbline.operators.clean import drop_token_columns
 from plumbline.operators.impute import impute_group_mean
 from plumbline.operators.models import Fitted, fit_boosted_trees, fit_forest, hash_split, top_features
 from plumbline.operators.ordered import chronological_split
@@ -67,8 +67,17 @@ def error_distribution(predictions: DataFrame, target: str) -> dict[str, DataFra
 
 
 def accident_features(view: DataFrame, groups: Mapping[str, Mapping[str, str]] = MO_CODE_GROUPS) -> DataFrame:
-    """Calendar, weather, age and code features of complete rows; rare streets are lumped."""
-    rows = drop_any_null(view.withColumn("datetime_occ", at_clock(col("date_occ"), col("time_occ"))))
+    """Calendar, weather, age and code features of complete rows; rare streets are lumped.
+
+    Complete means a value in every column that holds any value at all.
+    """
+    # Read twice more, for the empty columns and for the streets; the joins behind it run once.
+    view = cut_lineage(view)
+    # A column that the event plan dropped comes back empty and says nothing about a row.
+    counts = view.agg(*[F.count(col(c)).alias(f"n_{i}") for i, c in enumerate(view.columns)]).first()
+    held = [c for c, n in zip(view.columns, counts) if n]
+    rows = view.withColumn("datetime_occ", at_clock(col("date_occ"), col("time_occ")))
+    rows = rows.na.drop(subset=[*held, "datetime_occ"])
     when = col("datetime_occ")
     rows = rows.withColumns(
         {
@@ -85,6 +94,12 @@ def accident_features(view: DataFrame, groups: Mapping[str, Mapping[str, str]] =
     return stats.lump_rare_levels(rows, "location")
 
 
+def informative(features: DataFrame, keep: Sequence[str] = (TARGET,)) -> DataFrame:
+    """Without the columns that are 'unknown' in more than half of the rows; ``keep`` stays."""
+    found = drop_token_columns(features)
+    return features.select([c for c in features.columns if c in found.columns or c in keep])
+
+
 def injury_rows(features: DataFrame) -> DataFrame:
     """Rows with a known injury level, in the classes the model predicts."""
     known = features.filter(col(TARGET) != UNKNOWN)
@@ -104,7 +119,7 @@ def severity_model(parts: DataFrame, **params) -> Fitted:
         TARGET,
         NUMERIC_FEATURES,
         TIME_FEATURES,
-        CATEGORY_FEATURES,
+        [c for c in CATEGORY_FEATURES if c in parts.columns],
         ["datetime_occ", "dr_no"],
         **params,
     )

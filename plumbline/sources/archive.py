@@ -8,6 +8,7 @@ import tarfile
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,17 +17,25 @@ ROWS_PER_FRAME = 50_000
 FAULTS = (tarfile.TarError, OSError, EOFError, UnicodeDecodeError, ValueError)
 
 
+def open_stream(path: str):
+    """A file as a stream, wherever Spark found it."""
+    uri = path.replace("file:/", "file:///", 1) if path.startswith("file:/") and not path.startswith("file://") else path
+    filesystem, name = pyarrow.fs.FileSystem.from_uri(uri)
+    return filesystem.open_input_stream(name, compression=None)
+
+
 def unpack_archives(archives: DataFrame) -> DataFrame:
-    """``(archive, member, content, error)``: the still compressed members of each archive.
+    """``(archive, member, content, error)``: the still compressed members of ``archives(path)``.
 
-    A damaged archive adds one row with ``error`` set; members read before the fault remain.
+    An archive is streamed by its task, member by member, and never held whole. A damaged
+    archive adds one row with ``error`` set; members read before the fault remain.
     """
 
     def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for path, content in zip(batch["path"], batch["content"]):
+            for path in batch["path"]:
                 try:
-                    with tarfile.open(fileobj=io.BytesIO(content), mode="r|gz") as archive:
+                    with open_stream(path) as stream, tarfile.open(fileobj=stream, mode="r|gz") as archive:
                         for member in archive:
                             if member.isfile():
                                 data = archive.extractfile(member).read()
@@ -35,7 +44,7 @@ def unpack_archives(archives: DataFrame) -> DataFrame:
                     yield pd.DataFrame([(path, None, None, repr(fault))], columns=fields)
 
     fields = ["archive", "member", "content", "error"]
-    return archives.select("path", "content").mapInPandas(
+    return archives.select("path").mapInPandas(
         unpack, "archive string, member string, content binary, error string"
     )
 
@@ -70,7 +79,7 @@ def parse_members(members: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def parse_archives(archives: DataFrame, schema: T.StructType) -> DataFrame:
-    """Rows of all members of ``archives(path, content)``.
+    """Rows of all members of ``archives(path)``.
 
     Unpacking an archive is one task's work, parsing is not: members are spread over the
     cluster by name first, so one archive that holds much of the data does not hold it up.
@@ -80,9 +89,9 @@ def parse_archives(archives: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def scan_archives(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Rows of the archives in a folder. A file is loaded whole, which limits it to 2 GB."""
+    """Rows of the archives in a folder, of any size: Spark only lists the files."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.tar.gz").load(path)
-    return parse_archives(files, schema)
+    return parse_archives(files.select("path"), schema)
 
 
 def good_rows(rows: DataFrame) -> DataFrame:
@@ -91,23 +100,3 @@ def good_rows(rows: DataFrame) -> DataFrame:
 
 def archive_errors(rows: DataFrame) -> DataFrame:
     return rows.filter(F.col("error").isNotNull()).select("archive", "member", "error")
-
-
-def pack_archives(df: DataFrame, prefix: str = "part") -> DataFrame:
-    """``(path, content)``: one archive per batch of rows, bounded by the Arrow batch size."""
-    columns = df.columns
-
-    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyspark import TaskContext
-
-        part = TaskContext.get().partitionId()
-        for number, batch in enumerate(batches):
-            member = gzip.compress(batch[columns].to_csv(index=False, escapechar="\\").encode())
-            buffer = io.BytesIO()
-            with tarfile.open(fileobj=buffer, mode="w:gz") as archive:
-                info = tarfile.TarInfo(f"{prefix}-{part}-{number}.csv.gz")
-                info.size = len(member)
-                archive.addfile(info, io.BytesIO(member))
-            yield pd.DataFrame({"path": [f"{prefix}-{part}-{number}.tar.gz"], "content": [buffer.getvalue()]})
-
-    return df.mapInPandas(pack, "path string, content binary")

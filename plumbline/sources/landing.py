@@ -7,6 +7,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from plumbline.columns import col
 from plumbline.functions.convert import COMPACT_DATE, parse_date
@@ -23,6 +24,11 @@ def extract_range(df: DataFrame, columns: Sequence[str], day: str, start: date,
     return inside.withColumn("parsed_date", parse_date(col(day), COMPACT_DATE)).filter(col("parsed_date").isNotNull())
 
 
+def copy_range(df: DataFrame, path: str, columns: Sequence[str], day: str, start: date, end: date) -> None:
+    """Extract a range and land it as parquet at ``path``."""
+    extract_range(df, columns, day, start, end).write.mode("overwrite").parquet(path)
+
+
 def area_between(df: DataFrame, area: str, value: str, ts: str, start, end, limit: int | None = None) -> DataFrame:
     """Rows of one area within a closed time range, at most ``limit`` when one is asked for."""
     found = df.filter((col(area) == value) & col(ts).between(F.lit(start), F.lit(end)))
@@ -46,12 +52,17 @@ def with_month(df: DataFrame, ts: str) -> DataFrame:
     return df.withColumns({"year": F.year(col(ts)), "month": F.month(col(ts))})
 
 
-def scan_months(spark: SparkSession, path: str, ts: str, start: date, end: date) -> DataFrame:
+def scan_months(
+    spark: SparkSession, path: str, ts: str, start: date, end: date, schema: T.StructType | None = None
+) -> DataFrame:
     """Rows within [start, end] of a table partitioned by year and month.
 
+    With a ``schema`` (partition columns included) no footer is read to infer one.
+
     The month condition uses partition columns only, so other months are not listed as
     input; the time condition then trims the first and the last month.
     """
     months = (col("year") * 12 + col("month")).between(start.year * 12 + start.month, end.year * 12 + end.month)
-    rows = spark.read.parquet(path).filter(months)
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    rows = reader.parquet(path).filter(months)
     return rows.filter((col(ts) >= F.lit(start)) & (col(ts) < F.date_add(F.lit(end), 1)))
