@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
-from itertools import combinations_with_replacement
+from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +18,8 @@ TEMPERATURE_BINS = 20
 ERROR_BINS = 30
 GRID_POINTS = 100
 
+#: Rows of a batch that meet the density grid at a time.
+ROWS_AT_ONCE = 20_000
 #: Most columns of a confusion matrix whose classes are found in the data.
 MOST_CLASSES = 1_000
 
@@ -96,8 +99,8 @@ def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
 def density(df: DataFrame, column: str, points: int = GRID_POINTS) -> DataFrame:
     """Gaussian kernel density on an even grid from minimum to maximum.
 
-    The bandwidth is std * n ** (-1/5). Each row meets the grid inside its own task and is
-    summed there, so what leaves a task is one partial sum per grid point.
+    The bandwidth is std * n ** (-1/5). A task sums the kernels of its batches over the
+    grid, so what leaves it is one partial sum per grid point.
     """
     value = col(column).cast("double")
     shape = df.agg(
@@ -107,32 +110,54 @@ def density(df: DataFrame, column: str, points: int = GRID_POINTS) -> DataFrame:
     ).scalar()
     lo, step = shape.getField("lo"), (shape.getField("hi") - shape.getField("lo")) / F.lit(points - 1)
     bandwidth = shape.getField("std") * F.pow(shape.getField("n").cast("double"), F.lit(-0.2))
-    spread = df.filter(col(column).isNotNull()).select(
-        value.alias("x"), F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point")
-    )
-    gap = (lo + F.col("point") * step - F.col("x")) / bandwidth
-    kernel = spread.select("point", F.exp(gap * gap * F.lit(-0.5)).alias("mass"))
-    sums = kernel.groupBy("point").agg(F.sum("mass").alias("mass"))
+    rows = df.filter(col(column).isNotNull()).select(value.alias("x"), lo.alias("lo"), step.alias("step"), bandwidth.alias("h"))
+
+    def masses(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = None
+        for frame in frames:
+            for start in range(0, len(frame), ROWS_AT_ONCE):
+                part = frame.iloc[start : start + ROWS_AT_ONCE]
+                grid = part["lo"].iloc[0] + np.arange(points) * part["step"].iloc[0]
+                gap = (grid[None, :] - part["x"].to_numpy()[:, None]) / part["h"].iloc[0]
+                mass = np.exp(-0.5 * gap * gap).sum(axis=0)
+                total = mass if total is None else total + mass
+        if total is not None:
+            yield pd.DataFrame({"point": np.arange(points, dtype=np.int32), "mass": total})
+
+    sums = rows.mapInPandas(masses, "point int, mass double").groupBy("point").agg(F.sum("mass").alias("mass"))
     scale = shape.getField("n") * bandwidth * F.lit(math.sqrt(2 * math.pi))
     return sums.select("point", (lo + F.col("point") * step).alias("x"), (F.col("mass") / scale).alias("density"))
 
 
 def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``(a, b, corr)``: Pearson correlation of every pair, both triangles, in one pass.
+    """``(a, b, corr)``: Pearson correlation of every pair over its complete rows, both triangles.
 
-    Rows are opened into one (pair, x, y) per pair and summed in the same task: one small
-    aggregate per pair is compiled well, where all pairs side by side are not.
+    A task sums the products of all pairs as one matrix product per batch, of columns
+    shifted by their means so that the sums stay small; one row per pair leaves it. NaN
+    counts as missing. Without two different values the correlation is NULL.
     """
-    pairs = list(combinations_with_replacement(columns, 2))
-    cells = F.array(
-        *[
-            F.struct(F.lit(i).alias("pair"), col(a).cast("double").alias("x"), col(b).cast("double").alias("y"))
-            for i, (a, b) in enumerate(pairs)
-        ]
-    )
-    found = df.select(F.inline(cells)).groupBy("pair").agg(F.corr("x", "y").alias("corr"))
-    names = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in pairs])
-    pair = F.get(names, F.col("pair"))
+    names = list(columns)
+    means = df.agg(F.struct(*[F.avg(col(c)).alias(f"m_{i}") for i, c in enumerate(names)])).scalar()
+    shifted = df.select(*[(col(c).cast("double") - means.getField(f"m_{i}")).alias(f"c_{i}") for i, c in enumerate(names)])
+    left, right = np.triu_indices(len(names))
+
+    def products(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums = np.zeros((6, len(names), len(names)))
+        for frame in frames:
+            raw = frame.to_numpy(dtype=float)
+            known = ~np.isnan(raw)
+            x, has = np.where(known, raw, 0.0), known.astype(float)
+            squares = x * x
+            sums += [has.T @ has, x.T @ has, has.T @ x, squares.T @ has, has.T @ squares, x.T @ x]
+        cells = {name: sums[i][left, right] for i, name in enumerate(("n", "x", "y", "xx", "yy", "xy"))}
+        yield pd.DataFrame({"pair": np.arange(len(left), dtype=np.int32), **cells})
+
+    parts = shifted.mapInPandas(products, "pair int, n double, x double, y double, xx double, yy double, xy double")
+    total = parts.groupBy("pair").agg(*[F.sum(c).alias(c) for c in ("n", "x", "y", "xx", "yy", "xy")])
+    spread = (F.col("n") * F.col("xx") - F.col("x") ** 2) * (F.col("n") * F.col("yy") - F.col("y") ** 2)
+    found = total.select("pair", F.try_divide(F.col("n") * F.col("xy") - F.col("x") * F.col("y"), F.sqrt(spread)).alias("corr"))
+    pairs = F.array(*[F.struct(F.lit(names[i]).alias("a"), F.lit(names[j]).alias("b")) for i, j in zip(left, right)])
+    pair = F.get(pairs, F.col("pair"))
     both = F.array(
         F.struct(pair.getField("a").alias("a"), pair.getField("b").alias("b")),
         F.struct(pair.getField("b").alias("a"), pair.getField("a").alias("b")),

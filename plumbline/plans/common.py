@@ -36,9 +36,13 @@ def assess(
     keys: Sequence[str],
     as_of: Column | None = None,
     update_rate: float = 12,
-    distinct: str = "exact",
+    distinct: str = "approx",
 ) -> dict[str, DataFrame]:
-    """Profile, completeness, timeliness, redundancy and constant columns of a table."""
+    """Profile, completeness, timeliness, redundancy and constant columns of a table.
+
+    Distinct values are estimated in the same pass unless ``distinct="exact"`` asks for the
+    shuffle of all values that an exact count needs.
+    """
     now = F.current_date() if as_of is None else as_of
     scores = profile.timeliness(df, TIME, now, update_rate)
     return {

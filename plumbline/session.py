@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,9 +50,32 @@ def shared_dir(spark: SparkSession) -> str:
     return configured
 
 
+#: Scratch paths handed out since the outermost ``scratch_scope`` began.
+_handed_out: list[str] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _handed_out.append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Remove the scratch tables made inside, once the results inside are written.
+
+    Frames are lazy: a frame made inside must not be read after the scope.
+    """
+    start = len(_handed_out)
+    try:
+        yield
+    finally:
+        made = _handed_out[start:]
+        del _handed_out[start:]
+        for path in made:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
