@@ -21,7 +21,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.llm import common
+from plumbline.llm.common import broadcast_up_to
 from plumbline.llm.portions import Remembered, portions
+from plumbline.session import cut_lineage
 
 #: Labelled rows per class that a fit reads at most, in expectation (chosen by a hash of doc_id).
 MOST_PER_CLASS = 6_000
@@ -204,8 +206,11 @@ def labelled(docs: DataFrame, labels: DataFrame, most: int) -> tuple[DataFrame,
     part = F.pmod(F.xxhash64("__id"), F.lit(1_000_003))
     chosen = marked.where(part < F.when(F.col("toxic") == 1, rates.get(1, 1.0)).otherwise(rates.get(0, 1.0)) * 1_000_003)
     total = sum(sizes.values())
+    # The choice is bounded by ``most``; the check guards against its spread.
+    chosen = broadcast_up_to(cut_lineage(chosen), 4 * most)
     rows = docs.select("doc_id", "text").join(chosen, F.col("doc_id") == F.col("__id"))
-    return rows.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "toxic"), rates, sizes.get(1, 0) / total if total else 0.5
+    examples = cut_lineage(rows.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "toxic"))
+    return examples, rates, sizes.get(1, 0) / total if total else 0.5
 
 
 def choose_terms(examples: DataFrame, rates: dict[int, float]) -> list[str]:
