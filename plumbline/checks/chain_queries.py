@@ -2,20 +2,24 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from plumbline.checks import standins as st
-from plumbline.checks.analysis_queries import CODES_OF, event_weather
+from plumbline.checks.analysis_queries import CODES_OF, FEATURES, event_weather, features, sql_histogram
 from plumbline.checks.column_queries import sql_case, sql_code_groups, sql_text
-from plumbline.checks.plan_queries import AREA_NUMBERS, AREA_TEXT
-from plumbline.checks.registry import query
+from plumbline.checks.plan_queries import AIR_NAMES, AIR_TRUSTED, AREA_NUMBERS, AREA_TEXT, WEATHER_SOURCE
+from plumbline.checks.plan_queries import air_long, sql_trusted_weather, weather_source
+from plumbline.checks.registry import query, table
 from plumbline.checks.rule_queries import WEATHER_SQL, repaired_accidents
 from plumbline.checks.series_queries import sql_group_modes
 from plumbline.columns import col
 from plumbline.functions import categories as cat
 from plumbline.functions.convert import clock_text
 from plumbline.operators import integrate
-from plumbline.plans import accidents, analysis, weather
+from plumbline.plans import accidents, air, analysis, weather
+from plumbline.session import cut_lineage
 
 ACC = st.select("accidents")
 
@@ -182,3 +186,84 @@ def analysis_columns(spark, sf):
     features = analysis.informative(analysis.accident_features(view))
     kept = [c for c in features.columns if c in GROUPS]
     return features.agg(F.count(F.lit(1)).alias("n")).select(F.explode(F.array(*[F.lit(c) for c in kept])).alias("column"))
+
+
+def sql_complete(name: str, source: str, columns: list[str]) -> str:
+    held = " AND ".join(f'"{c}" IS NOT NULL' for c in columns)
+    return f"SELECT '{name}' AS data, AVG(CASE WHEN {held} THEN 1.0 ELSE 0.0 END) AS completeness FROM {source}"
+
+
+@query(
+    "clean_pipeline",
+    "data:s completeness:f",
+    " UNION ALL ".join(
+        [
+            sql_complete("weather", f"({sql_trusted_weather(WEATHER_SOURCE)})", ["station", "datetime_iso", "TMAX", "TMIN", "PRCP", "SNOW", "AWND"]),
+            sql_complete("air", AIR_TRUSTED, ["station", "datetime_iso", *AIR_NAMES]),
+        ]
+    ),
+)
+def clean_pipeline(spark, sf):
+    """Completeness after the whole plan, as the plan itself reports it."""
+    reports = {
+        "weather": weather.trust_weather(weather_source(spark, sf)).reports,
+        "air": air.trust_air(air.format_air(air_long(spark, sf), AIR_NAMES)).reports,
+    }
+    found = [r["final_completeness"].withColumn("data", F.lit(name)) for name, r in reports.items()]
+    return found[0].unionByName(found[1])
+
+
+RESIDUALS = "(SELECT value - 48 - user_id / 10.0 AS error FROM events WHERE value IS NOT NULL)"
+
+
+@query(
+    "error_distribution",
+    "kind:s place:i x:f y:f",
+    f"""WITH s AS (SELECT COUNT(error) AS n, MIN(error) AS lo, (MAX(error) - MIN(error)) / 99 AS step,
+      STDDEV_SAMP(error) * POW(COUNT(error), -0.2) AS h FROM {RESIDUALS})
+    SELECT 'density' AS kind, g.point AS place, s.lo + g.point * s.step AS x,
+      SUM(EXP(-0.5 * POW((s.lo + g.point * s.step - e.error) / s.h, 2))) / (s.n * s.h * SQRT(2 * PI())) AS y
+    FROM s, (SELECT unnest(range(100)) AS point) g, {RESIDUALS} e GROUP BY g.point, s.lo, s.step, s.n, s.h
+    UNION ALL SELECT 'histogram', bin, lower, n FROM ({sql_histogram(RESIDUALS, 'error', 30)})""",
+)
+def error_distribution(spark, sf):
+    """Residuals of a fixed guess, as the analysis shows those of a model."""
+    guessed = table(spark, sf, "events").withColumn("prediction", F.lit(48) + col("user_id") / 10.0)
+    shapes = analysis.error_distribution(guessed, "value")
+    histogram = shapes["histogram"].select(F.lit("histogram").alias("kind"), col("bin").alias("place"), col("lower").alias("x"), col("n").alias("y"))
+    return histogram.unionByName(shapes["density"].select(F.lit("density").alias("kind"), col("point").alias("place"), "x", col("density").alias("y")))
+
+
+FEATURE_ROWS = f"({FEATURES})"
+FEATURE_WEEK = "CAST(date_trunc('week', CAST({0} AS DATE) - 1) AS DATE) + 7"
+
+
+@query(
+    "accident_results",
+    "result:s item:s value:f",
+    f"""SELECT 'weekly_counts' AS result, CONCAT(CAST(w.week AS VARCHAR), ' ', a.area_name) AS item, COUNT(t.dr_no) AS value
+    FROM (SELECT DISTINCT {FEATURE_WEEK.format('datetime_occ')} AS week FROM {FEATURE_ROWS}) w, (SELECT DISTINCT area_name FROM {FEATURE_ROWS}) a
+    LEFT JOIN {FEATURE_ROWS} t ON {FEATURE_WEEK.format('t.datetime_occ')} = w.week AND t.area_name = a.area_name GROUP BY w.week, a.area_name
+    UNION ALL SELECT 'tmax_histogram', CAST(bin AS VARCHAR), n FROM ({sql_histogram(FEATURE_ROWS, '"TMAX"', 20)})
+    UNION ALL SELECT 'tmin_histogram', CAST(bin AS VARCHAR), n FROM ({sql_histogram(FEATURE_ROWS, '"TMIN"', 20)})
+    UNION ALL SELECT 'rain_rate', CAST(is_raining AS VARCHAR), COUNT(*) * 1.0 / COUNT(DISTINCT CAST(datetime_occ AS DATE))
+      FROM {FEATURE_ROWS} GROUP BY is_raining
+    UNION ALL SELECT 'month_weekday', CONCAT(CAST(month_no AS VARCHAR), ' ', CAST(day_no AS VARCHAR)), AVG(n) FROM (
+      SELECT MONTH(datetime_occ) AS month_no, ISODOW(datetime_occ) - 1 AS day_no, YEAR(datetime_occ) AS year, COUNT(*) AS n
+      FROM {FEATURE_ROWS} GROUP BY ALL) GROUP BY month_no, day_no""",
+)
+def accident_results(spark, sf):
+    """The charts of the accident analysis that need no model, from the same rows."""
+    found = analysis.accident_charts(cut_lineage(features(spark, sf)))
+    items = {
+        "weekly_counts": (F.concat_ws(" ", col("week").cast("string"), "area_name"), "n"),
+        "tmax_histogram": (col("bin").cast("string"), "n"),
+        "tmin_histogram": (col("bin").cast("string"), "n"),
+        "rain_rate": (col("is_raining").cast("string"), "per_day"),
+        "month_weekday": (F.concat_ws(" ", col("month_no").cast("string"), col("day_no").cast("string")), "mean_yearly_count"),
+    }
+    frames = [
+        found[name].select(F.lit(name).alias("result"), item.alias("item"), col(value).cast("double").alias("value"))
+        for name, (item, value) in items.items()
+    ]
+    return reduce(lambda a, b: a.unionByName(b), frames)

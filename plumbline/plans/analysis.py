@@ -125,15 +125,21 @@ def severity_model(parts: DataFrame, **params) -> Fitted:
     )
 
 
-def accident_results(features: DataFrame, parts: DataFrame, fitted: Fitted) -> dict[str, DataFrame]:
-    """The data behind every chart of the accident analysis."""
-    train = parts.filter(col("part") == "train")
+def accident_charts(features: DataFrame) -> dict[str, DataFrame]:
+    """The data behind the charts that need no model."""
     return {
         "weekly_counts": stats.weekly_counts(features, "datetime_occ", "area_name"),
         "month_weekday": stats.month_weekday_mean(features, "datetime_occ"),
         "tmax_histogram": stats.histogram(features, "TMAX", stats.TEMPERATURE_BINS),
         "tmin_histogram": stats.histogram(features, "TMIN", stats.TEMPERATURE_BINS),
         "rain_rate": stats.rate_per_day(features, "is_raining", "datetime_occ"),
+    }
+
+
+def accident_results(features: DataFrame, parts: DataFrame, fitted: Fitted) -> dict[str, DataFrame]:
+    """The data behind every chart of the accident analysis."""
+    train = parts.filter(col("part") == "train")
+    return accident_charts(features) | {
         "accuracy": stats.accuracy(fitted.predictions, TARGET, "prediction"),
         "classification_report": stats.classification_report(fitted.predictions, TARGET, "prediction"),
         "confusion_matrix": stats.confusion_matrix(fitted.predictions, TARGET, "prediction"),
