@@ -19,7 +19,7 @@ ACC = st.select("accidents")
 GASES = st.select("gases")
 CLOCKED = f"(SELECT * REPLACE (CONCAT(SUBSTRING(time_occ, 1, 2), ':', SUBSTRING(time_occ, 3, 2)) AS time_occ) FROM {ACC})"
 
-# The rules once more as SQL, in the order of the plans.
+# The rules once more as SQL, in the order of the plans.
 WEATHER_SQL = {
     "non_negative_precipitation": '"PRCP" >= 0',
     "tmax_gte_tmin": '"TMAX" >= "TMIN"',
@@ -219,29 +219,12 @@ def dc_enforce_filter(spark, sf):
 
 def repaired_accidents(source: str = CLOCKED) -> str:
     """Rules in sequence: each step sees what the steps before it blanked."""
-    for rule in accidents_constraints():
-        blanked = ", ".join(f"CASE WHEN {ACCIDENT_SQL[rule[0]]} THEN {c} END AS {c}" for c in rule[1])
+    for name, columns in accidents.BLANKED.items():
+        blanked = ", ".join(f"CASE WHEN {ACCIDENT_SQL[name]} THEN {c} END AS {c}" for c in columns)
         source = f"(SELECT * REPLACE ({blanked}) FROM {source})"
     return f"(SELECT * REPLACE (CASE WHEN vict_sex IN ('M', 'F', 'X') THEN vict_sex ELSE 'Unknown' END AS vict_sex) FROM {source})"
 
 
-def accidents_constraints() -> list[tuple[str, list[str]]]:
-    columns = {
-        "valid_report_date": ["date_rptd", "date_occ"],
-        "valid_time_format": ["time_occ"],
-        "valid_latitude": ["latitude"],
-        "valid_longitude": ["longitude"],
-        "valid_vict_age": ["vict_age"],
-        "valid_vict_sex": ["vict_sex"],
-        "valid_area": ["area"],
-        "valid_crm_cd": ["crm_cd"],
-        "valid_premis": ["premis_cd"],
-        "street_location": ["location", "cross_street"],
-        "valid_dr_no": ["dr_no"],
-    }
-    return list(columns.items())
-
-
 @query(
     "dc_enforce_null",
     "dr_no:s date_rptd:d date_occ:d time_occ:s latitude:f longitude:f vict_age:i vict_sex:s area:s crm_cd:s premis_cd:s "

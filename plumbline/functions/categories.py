@@ -187,9 +187,8 @@ def digit_runs(value: Column) -> Column:
 
 def first_group_label(codes: Column, group: Mapping[str, str], default: str = UNKNOWN) -> Column:
     """Label of the first code that belongs to ``group``, ``default`` when there is none."""
-    places = [F.nullif(F.array_position(codes, code), F.lit(0)) for code in group]
-    first = F.least(*places) if len(places) > 1 else places[0]
-    return F.coalesce(lookup(F.get(codes, (first - 1).cast("int")), group), F.lit(default))
+    first = F.get(F.filter(codes, lambda code: code.isin(*group)), 0)
+    return F.coalesce(lookup(first, group), F.lit(default))
 
 
 def code_group_columns(

@@ -28,6 +28,21 @@ SEXES = ("M", "F", "X")
 CLOCK = "^[0-2][0-9]:[0-5][0-9]$"
 SPARSE_ROW, SPARSE_COLUMN = 0.7, 0.5
 
+# Names of the rules, in their order, and the columns that a violation blanks.
+BLANKED = {
+    "valid_report_date": ("date_rptd", "date_occ"),
+    "valid_time_format": ("time_occ",),
+    "valid_latitude": ("latitude",),
+    "valid_longitude": ("longitude",),
+    "valid_vict_age": ("vict_age",),
+    "valid_vict_sex": ("vict_sex",),
+    "valid_area": ("area",),
+    "valid_crm_cd": ("crm_cd",),
+    "valid_premis": ("premis_cd",),
+    "street_location": ("location", "cross_street"),
+    "valid_dr_no": ("dr_no",),
+}
+
 
 def format_accidents(raw: DataFrame) -> DataFrame:
     """Flat, typed and normalised events; the descent code is looked up before X is recoded."""
@@ -56,23 +71,21 @@ def format_accidents(raw: DataFrame) -> DataFrame:
 
 def rules() -> list[Constraint]:
     """Rules with the columns a violation blanks."""
-    return [
-        Constraint("valid_report_date", col("date_rptd") >= col("date_occ"), ("date_rptd", "date_occ")),
-        Constraint("valid_time_format", p.matches("time_occ", CLOCK), ("time_occ",)),
-        Constraint("valid_latitude", col("latitude").between(*LATITUDE), ("latitude",)),
-        Constraint("valid_longitude", col("longitude").between(*LONGITUDE), ("longitude",)),
-        Constraint("valid_vict_age", col("vict_age").between(*AGES), ("vict_age",)),
-        Constraint("valid_vict_sex", p.one_of_or_unknown("vict_sex", (*SEXES, "Unknown")), ("vict_sex",)),
-        Constraint("valid_area", p.integer_between("area", *AREAS), ("area",)),
-        Constraint("valid_crm_cd", p.integer_between("crm_cd", *CRIME_CODES), ("crm_cd",)),
-        Constraint("valid_premis", col("premis_cd").try_cast("int").isin(*PREMISES), ("premis_cd",)),
-        Constraint(
-            "street_location",
-            p.implies(col("premis_desc") == "STREET", col("location").isNotNull() & col("cross_street").isNotNull()),
-            ("location", "cross_street"),
-        ),
-        Constraint("valid_dr_no", col("dr_no").try_cast("long") > 0, ("dr_no",)),
-    ]
+    street = col("location").isNotNull() & col("cross_street").isNotNull()
+    conditions = {
+        "valid_report_date": col("date_rptd") >= col("date_occ"),
+        "valid_time_format": p.matches("time_occ", CLOCK),
+        "valid_latitude": col("latitude").between(*LATITUDE),
+        "valid_longitude": col("longitude").between(*LONGITUDE),
+        "valid_vict_age": col("vict_age").between(*AGES),
+        "valid_vict_sex": p.one_of_or_unknown("vict_sex", (*SEXES, "Unknown")),
+        "valid_area": p.integer_between("area", *AREAS),
+        "valid_crm_cd": p.integer_between("crm_cd", *CRIME_CODES),
+        "valid_premis": col("premis_cd").try_cast("int").isin(*PREMISES),
+        "street_location": p.implies(col("premis_desc") == "STREET", street),
+        "valid_dr_no": col("dr_no").try_cast("long") > 0,
+    }
+    return [Constraint(name, conditions[name], columns) for name, columns in BLANKED.items()]
 
 
 def add_station(df: DataFrame) -> DataFrame:
