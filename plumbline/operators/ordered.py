@@ -119,8 +119,7 @@ def neighbours(
     filled = {
         names[side][c]: F.coalesce(col(names[side][c]), col(f"__{side}_far_{i}")) for side in sides for i, c in enumerate(columns)
     }
-    extra = [f"__{side}_far_{i}" for side in sides for i in range(len(columns))]
-    return joined.withColumns(filled).drop(CHUNK, *extra).select(*df.columns, *filled)
+    return joined.withColumns(filled).select(*[col(c) for c in [*df.columns, *filled]])
 
 
 def number_rows(
@@ -142,7 +141,7 @@ def number_rows(
     offsets = sizes.select(CHUNK, F.coalesce(F.sum("__n").over(_chunks_of_series(series)), F.lit(0)).alias("__offset"))
     numbered = base.withColumn("__inside", F.row_number().over(Window.partitionBy(CHUNK).orderBy(*total)))
     placed = numbered.join(offsets, CHUNK).withColumn(name, (col("__offset") + col("__inside")).cast("long"))
-    return placed.select(*df.columns, name)
+    return placed.select(*[col(c) for c in [*df.columns, name]])
 
 
 def with_halo(df: DataFrame, position: str, rows: int, lookback: int, block: str = "__block") -> DataFrame:

@@ -44,7 +44,6 @@ def shared_dir(spark: SparkSession) -> str:
         if context.master != "local" and not context.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         configured = tempfile.mkdtemp(prefix="plumbline-")
-        spark.conf.set("spark.checkpoint.dir", configured)
     if not context.getCheckpointDir():
         context.setCheckpointDir(configured)
     return configured

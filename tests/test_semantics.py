@@ -428,3 +428,49 @@ def test_all_null_and_single_row_frames(spark, rows):
         ("t", 1, 1, None),
         ("v", 0, 1, None),
     ]
+
+
+# Rows that must not get lost
+
+
+def test_latest_breaks_ties_by_all_columns(spark, rows):
+    frame = spark.createDataFrame([(1, "b"), (1, "a"), (1, "c"), (0, "z")], "t int, v string")
+    for n, expected in ((1, ["a"]), (2, ["a", "b"])):
+        for parts in (1, 3):
+            assert [r[1] for r in rows(ordered.latest(frame.repartition(parts), n, "t"))] == expected
+
+
+def test_unstable_columns_of_a_table_without_any(spark):
+    frame = spark.createDataFrame([(1, "s")], "t int, s string")
+    assert clean.unstable_columns(frame, "t", ["s"]).count() == 0
+
+
+def test_weekly_counts_leave_null_groups_out(spark, rows):
+    frame = spark.sql("SELECT * FROM VALUES (DATE'2024-01-01', 'a'), (DATE'2024-01-09', 'b'), (DATE'2024-01-09', NULL) AS t(d, g)")
+    found = rows(stats.weekly_counts(frame, "d", "g"))
+    assert [(str(w), g, n) for w, g, n in found] == [
+        ("2024-01-01", "a", 1), ("2024-01-01", "b", 0), ("2024-01-15", "a", 0), ("2024-01-15", "b", 1)
+    ]
+
+
+def test_confusion_matrix_counts_what_is_outside_the_given_classes(spark, rows):
+    frame = spark.createDataFrame([("x", "x"), ("x", "z"), (None, "y"), ("w", None)], "label string, guess string")
+    found = stats.confusion_matrix(frame, "label", "guess", ["x", "y"])
+    assert found.columns == ["label", "x", "y", "other"]
+    assert rows(found) == sorted([("x", 1, 0, 1), (None, 0, 1, 0), ("w", 0, 0, 1)], key=repr)
+
+
+def test_trusted_weather_does_not_depend_on_the_partitions(spark, rows):
+    days = [(f"2024-01-{d:02d}", t) for d in range(1, 6) for t in (20.0 + d, 40.0)] + [("2024-01-06", None)]
+    frame = spark.createDataFrame([("s", d, t, 1.0, 0.0) for d, t in days], "station string, d string, TMAX double, TMIN double, PRCP double")
+    frame = frame.select("station", F.to_date("d").alias("datetime_iso"), "TMAX", "TMIN", "PRCP")
+    found = [rows(weather.trust_weather(frame.repartition(n)).data) for n in (1, 3, 8)]
+    assert found[0] == found[1] == found[2]
+    assert [r[2] for r in found[0]] == [21.0, 22.0, 23.0, 24.0, 25.0]
+
+
+def test_correlations_skip_missing_values_pair_by_pair(spark):
+    frame = spark.createDataFrame([(1.0, 2.0, None), (2.0, 4.0, 1.0), (3.0, None, 0.0), (4.0, 8.0, 5.0)], "a double, b double, c double")
+    found = {(r.a, r.b): r["corr"] for r in stats.correlations(frame, ["a", "b", "c"]).collect()}
+    assert found[("a", "b")] == pytest.approx(1.0) and found[("b", "c")] == pytest.approx(1.0)
+    assert len(found) == 9 and found[("a", "c")] == found[("c", "a")]
