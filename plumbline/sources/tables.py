@@ -6,11 +6,11 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from plumbline.columns import col
+
 # Rows per JDBC batch and fetch.
 JDBC_ROWS = 10_000
 
-OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
-
 
 def write_table(
     df: DataFrame,
@@ -26,13 +26,12 @@ def write_table(
     """
     spark, table = df.sparkSession, name.lower()
     if mode == "overwrite" and partition_by and spark.catalog.tableExists(table):
-        # A catalog insert follows the session's mode, not an option of the writer.
-        before = spark.conf.get(OVERWRITE_MODE)
-        spark.conf.set(OVERWRITE_MODE, "dynamic")
-        try:
-            df.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
-        finally:
-            spark.conf.set(OVERWRITE_MODE, before)
+        # A catalog insert follows the session's mode; a write to the table's place has its own.
+        place = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").first()["data_type"]
+        rows = df.select(*[col(c) for c in spark.table(table).columns])
+        rows.write.mode(mode).partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic").parquet(place)
+        spark.catalog.recoverPartitions(table)
+        spark.catalog.refreshTable(table)
         return
     writer = df.write.mode(mode).format("parquet")
     if partition_by:
