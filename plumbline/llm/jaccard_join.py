@@ -35,6 +35,8 @@ from plumbline.session import cut_lineage
 #: Words of a shingle; sets link at intersection / union >= 75 / 100.
 SHINGLE = 5
 LEAST = 75
+#: The Jaccard distance of a link at most, with room for rounding.
+RADIUS = 1 - LEAST / 100 + 1e-9
 #: What a word is here: a run without white space.
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans(ascii_uppercase, ascii_lowercase)
@@ -44,9 +46,10 @@ FREQUENT = 16
 FREQUENT_SHARE = 1_000_000
 #: Rows of ids and shingles that are broadcast; beyond it the joins shuffle.
 BROADCAST_ROWS = 2_000_000
-#: Regions up to this size are joined pair by pair; larger ones get so many pivots first.
-SMALL = 64
-PIVOTS = 16
+#: Regions up to this size are joined pair by pair, and so are larger ones if hardly any
+#: member is outside their largest component; the rest get so many pivots first.
+SMALL = 256
+PIVOTS = 32
 
 MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 
@@ -81,9 +84,10 @@ class Shingler:
 
 
 def parity(shingles: np.ndarray) -> bytes:
-    """One bit per place: whether an odd number of shingles falls there. About as many
-    places as shingles, a power of two, so that parities of different sizes can be folded."""
-    places = 1 << max(6, int(len(shingles) - 1).bit_length())
+    """One bit per place: whether an odd number of shingles falls there. Two to four times as
+    many places as shingles, a power of two, so that parities of different sizes can be folded.
+    Sets without a common shingle are then told to be at least 0.6 apart."""
+    places = 1 << max(6, int(len(shingles) - 1).bit_length() + 1)
     counts = np.bincount((shingles >> np.uint64(20) & np.uint64(places - 1)).astype(np.int64), minlength=places)
     return np.packbits((counts & 1).astype(np.uint8), bitorder="little").tobytes()
 
@@ -194,12 +198,7 @@ class Join:
         shared = cut_lineage(postings.groupBy("region").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("region"))
         members = postings.join(broadcast_up_to(shared, BROADCAST_ROWS), "region").distinct()
         members = cut_lineage(members)
-        alike = members.groupBy("region").agg(
-            F.count(F.lit(1)).alias("m"), F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("y")
-        )
-        kept = alike.where("m > 1").groupBy("m", "x", "y").agg(F.min("region").alias("region"))
-        found = members.join(kept.select("region"), "region")
-        return cut_lineage(found.join(self.sets.select(F.col("set_id").alias("id"), "n"), "id").select("region", "id", "n"))
+        return cut_lineage(distinct_regions(members).join(self.sets.select(F.col("set_id").alias("id"), "n"), "id").select("region", "id", "n"))
 
     def shingles_of(self, ids: DataFrame) -> DataFrame:
         """(set_id, shingles) of some sets, taken from the texts again."""
@@ -214,22 +213,28 @@ class Join:
 
         return cut_lineage(texts.mapInPandas(run, "set_id binary, shingles binary").dropDuplicates(["set_id"]))
 
-    def possible(self, pairs: DataFrame) -> DataFrame:
-        """Of the pairs (a, b) those that sizes and parities do not refute."""
+    def bounded(self, pairs: DataFrame) -> DataFrame:
+        """(a, b, bound, possible): the least distance that sizes and parities allow, and
+        whether it leaves room for a link."""
         facts = self.sets.select("set_id", "n", "parity")
         a = facts.select(F.col("set_id").alias("a"), F.col("n").alias("n_a"), F.col("parity").alias("parity_a"))
         b = facts.select(F.col("set_id").alias("b"), F.col("n").alias("n_b"), F.col("parity").alias("parity_b"))
-        known = pairs.join(a, "a").join(b, "b").where(close_sizes("n_a", "n_b"))
+        known = pairs.join(a, "a").join(b, "b")
 
         def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for frame in frames:
                 least = np.array([least_difference(x, y) for x, y in zip(frame["parity_a"], frame["parity_b"], strict=True)], dtype=np.int64)
-                # intersection / union >= LEAST / 100, with the bound for their difference
-                sums = frame["n_a"].to_numpy() + frame["n_b"].to_numpy()
-                kept = 100 * (sums - least) >= LEAST * (sums + least)
-                yield frame.loc[kept, ["a", "b"]]
+                n_a, n_b = frame["n_a"].to_numpy(dtype=np.int64), frame["n_b"].to_numpy(dtype=np.int64)
+                least = np.maximum(least, np.abs(n_a - n_b))
+                # Of a difference d, intersection / union is (n_a + n_b - d) / (n_a + n_b + d).
+                kept = 100 * (n_a + n_b - least) >= LEAST * (n_a + n_b + least)
+                yield pd.DataFrame({"a": frame["a"], "b": frame["b"], "bound": 2 * least / (n_a + n_b + least), "possible": kept})
 
-        return known.mapInPandas(run, "a binary, b binary")
+        return known.mapInPandas(run, "a binary, b binary, bound double, possible boolean")
+
+    def possible(self, pairs: DataFrame) -> DataFrame:
+        """Of the pairs (a, b) those that sizes and parities do not refute."""
+        return self.bounded(pairs).where("possible").select("a", "b")
 
     def compare(self, pairs: DataFrame) -> DataFrame:
         """(a, b, distance, linked) of each pair, from the whole sets."""
@@ -260,24 +265,46 @@ class Join:
         """
         members = self.first_regions()
         centres = members.groupBy("region").agg(F.min("id").alias("b"))
-        star = members.join(centres, "region").where("id <> b").select(F.col("id").alias("a"), "b").distinct()
-        edges = self.compare(self.possible(star)).where("linked").select("a", "b")
-        rest = self.unsettled(members.withColumn("own", F.lit(True)), edges)
-        sizes = F.count(F.lit(1)).alias("m")
+        around = cut_lineage(members.join(centres, "region").where("id <> b").withColumnRenamed("id", "a"))
+        known = self.distances(around.select("a", "b").distinct())
+        edges = cut_lineage(known.where("linked").select("a", "b"))
+        rest = self.unsettled(self.beyond_centres(around, known), edges)
         step, pivots = 0, self.pivots
         while True:
-            sized = rest.join(rest.groupBy("region").agg(sizes), "region")
-            small = sized.where(F.col("m") <= self.small)
-            found = self.compare(self.possible(self.pairs_within(small))).where("linked").select("a", "b")
+            sized = cut_lineage(self.sized(rest))
+            found = self.compare(self.possible(self.pairs_within(sized.where("few")))).where("linked").select("a", "b")
             edges = cut_lineage(edges.unionByName(found))
-            large = cut_lineage(sized.where(F.col("m") > self.small))
+            large = sized.where("NOT few").drop("few", "other")
             if large.isEmpty():
                 return edges
-            measured, cells = self.split(large, step, pivots)
-            edges = cut_lineage(edges.unionByName(measured.where("linked").select("a", "b")))
+            found, cells = self.split(large, step, pivots)
+            edges = cut_lineage(edges.unionByName(found))
             rest = self.unsettled(cells, edges)
             step, pivots = step + 1, 2 * pivots
 
+    def distances(self, pairs: DataFrame) -> DataFrame:
+        """(a, b, distance, linked) of distinct pairs; the distance of a pair that sizes and
+        parities refute is its lower bound, which is more than the radius."""
+        bounds = cut_lineage(self.bounded(pairs))
+        measured = self.compare(bounds.where("possible").select("a", "b"))
+        return cut_lineage(
+            bounds.join(measured, ["a", "b"], "left").select(
+                "a", "b", F.coalesce("distance", "bound").alias("distance"), F.coalesce("linked", F.lit(False)).alias("linked")
+            )
+        )
+
+    def beyond_centres(self, around: DataFrame, known: DataFrame) -> DataFrame:
+        """Members that may still have a partner in their region which its centre does not link them to.
+
+        The centre has met everyone and leaves. What it links is one component; of that, by
+        the triangle inequality, only members matter that some member beyond the radius can
+        be within the radius of.
+        """
+        placed = cut_lineage(around.join(known, ["a", "b"]))
+        outside = placed.where("NOT linked").groupBy("region").agg(F.min("distance").alias("nearest"))
+        left = placed.join(outside, "region").where(~F.col("linked") | (F.col("distance") + RADIUS >= F.col("nearest")))
+        return left.select("region", F.col("a").alias("id"), "n", F.lit(True).alias("own"))
+
     def unsettled(self, members: DataFrame, edges: DataFrame) -> DataFrame:
         """Members with the roots of their components, of regions that hold more than one component."""
         roots = components(edges)
@@ -286,44 +313,83 @@ class Join:
         )
         rooted = cut_lineage(rooted)
         spans = rooted.groupBy("region").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-        return cut_lineage(rooted.join(spans.select("region"), "region"))
+        return cut_lineage(merged_regions(rooted.join(spans.select("region"), "region")))
+
+    def sized(self, members: DataFrame) -> DataFrame:
+        """Members with the size ``m`` of their region, whether they are outside its largest
+        component, and whether the region has few such others: then these can meet everyone."""
+        parts = members.groupBy("region", "root").agg(F.count(F.lit(1)).alias("m"))
+        main = parts.groupBy("region").agg(F.max(F.struct("m", "root")).alias("main"), F.sum("m").alias("m"))
+        others = F.col("m") - F.col("main.m")
+        few = (others <= self.small // 8) | (others * F.col("m") <= 4 * self.small * self.small)
+        return members.join(main, "region").select(
+            "region", "id", "n", "own", "root", "m", few.alias("few"), (F.col("root") != F.col("main.root")).alias("other")
+        )
 
-    def pairs_within(self, small: DataFrame) -> DataFrame:
-        """Pairs of small regions that are not connected yet and may be of close size."""
-        a = small.select("region", F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("root").alias("root_a"), F.col("own").alias("own_a"))
-        b = small.select("region", F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("root").alias("root_b"), F.col("own").alias("own_b"))
-        pairs = a.join(b, "region").where("a < b AND root_a <> root_b AND (own_a OR own_b)")
-        return pairs.where(close_sizes("n_a", "n_b")).select("a", "b").distinct()
+    def pairs_within(self, regions: DataFrame) -> DataFrame:
+        """Pairs of regions that are not connected yet and may be of close size. One of a
+        pair is outside the largest component of the region."""
+        a = regions.where("other").select(
+            "region", F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("root").alias("root_a"), F.col("own").alias("own_a")
+        )
+        b = regions.select("region", F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("root").alias("root_b"), F.col("own").alias("own_b"))
+        pairs = a.join(b, "region").where("root_a <> root_b AND (own_a OR own_b)").where(close_sizes("n_a", "n_b"))
+        return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
     def split(self, large: DataFrame, step: int, pivots: int) -> tuple[DataFrame, DataFrame]:
-        """Distances of the members of large regions to their pivots, and the cells around them.
-
-        The pivots have met every member then and leave. A member stays in the cell of its
-        nearest pivot and is replicated to each cell whose pivot is no farther than that plus twice the radius.
+        """The links of large regions to their pivots, and the cells around them.
+
+        The pivots have met every member then and leave. A member within the radius of a
+        pivot lives in the cell of the nearest one. It, and any other member, is replicated
+        to each cell that may hold a partner of it: by the triangle inequality, no farther
+        from the pivot than the cell's farthest inhabitant plus the radius. Inhabitants are connected by
+        their pivot; of them only those stay that may be a partner of someone from outside. Members without a cell
+        go on as one region.
         """
-        radius = 1 - LEAST / 100
         # The same sets are chosen in each region, so that pairs repeat and are compared once.
         order = F.pmod(F.xxhash64("id", F.lit(step)), F.lit(1 << 20))
         first = large.groupBy("region").agg(F.min(F.struct(order.alias("order"), F.col("id"))).alias("first"))
         chosen = large.join(first, "region").where((order * F.col("m") < pivots * (1 << 20)) | (F.col("id") == F.col("first.id")))
         chosen = cut_lineage(chosen.select("region", F.col("id").alias("b")))
         met = large.join(chosen, "region").where("id <> b").select("region", F.col("id").alias("a"), "b", "n")
-        measured = self.compare(met.select("a", "b"))
+        known = self.distances(met.select("a", "b").distinct())
         ordinary = met.join(chosen.withColumnRenamed("b", "a"), ["region", "a"], "left_anti")
-        reached = cut_lineage(ordinary.join(measured, ["a", "b"]).select("region", "a", "b", "n", "distance"))
-        nearest = reached.groupBy("region", "a").agg(F.min(F.struct("distance", "b")).alias("nearest"))
-        placed = reached.join(nearest, ["region", "a"]).where(F.col("distance") <= F.col("nearest.distance") + 2 * radius + 1e-9)
-        cells = placed.select(
-            F.xxhash64("region", "b", F.lit(step)).alias("region"),
-            F.col("a").alias("id"),
-            "n",
-            "distance",
-            (F.col("b") == F.col("nearest.b")).alias("own"),
+        placed = cut_lineage(ordinary.join(known, ["a", "b"]).select("region", "a", "b", "n", "distance", "linked"))
+        homes = placed.where("linked").groupBy("region", "a").agg(F.min(F.struct("distance", "b")).alias("home"))
+        homes = cut_lineage(homes.select("region", "a", F.col("home.b").alias("home")))
+        cells = placed.join(homes, ["region", "a"], "left").withColumn("own", F.col("b").eqNullSafe(F.col("home")))
+        reach = cells.where("own").groupBy("region", "b").agg(F.max("distance").alias("high"))
+        inside = cells.join(reach, ["region", "b"]).where(F.col("own") | (F.col("distance") <= F.col("high") + RADIUS))
+        inside = cut_lineage(inside)
+        outside = inside.where("NOT own").groupBy("region", "b").agg(F.min("distance").alias("nearest"))
+        inside = inside.join(outside, ["region", "b"]).where(~F.col("own") | (F.col("distance") + RADIUS >= F.col("nearest")))
+        cell = F.xxhash64("region", "b", F.lit(step)).alias("region")
+        homeless = placed.join(homes, ["region", "a"], "left_anti").select("region", "a", "n").distinct()
+        alone = F.xxhash64("region", F.lit(step)).alias("region")
+        left = inside.select(cell, F.col("a").alias("id"), "n", "own").unionByName(
+            homeless.select(alone, F.col("a").alias("id"), "n", F.lit(True).alias("own"))
         )
-        cells = cut_lineage(cells)
-        reach = cells.where("own").groupBy("region").agg(F.min("distance").alias("low"), F.max("distance").alias("high"))
-        within = (F.col("distance") >= F.col("low") - radius - 1e-9) & (F.col("distance") <= F.col("high") + radius + 1e-9)
-        return measured, cells.join(reach, "region").where(within).select("region", "id", "n", "own")
+        return known.where("linked").select("a", "b"), left
+
+
+def merged_regions(members: DataFrame) -> DataFrame:
+    """Regions with much the same members, by two min-hashes of them, as one region.
+
+    A union of regions holds every pair that one of them holds, and near copies share many
+    shingles, so that the same sets meet in many regions otherwise.
+    """
+    least = members.groupBy("region").agg(F.min(F.xxhash64("id")).alias("x"), F.min(F.xxhash64("id", F.lit(1))).alias("y"))
+    keyed = members.join(least, "region").withColumn("region", F.xxhash64("x", "y"))
+    return keyed.groupBy("region", "id").agg(F.max("n").alias("n"), F.max("own").alias("own"), F.max("root").alias("root"))
+
+
+def distinct_regions(members: DataFrame) -> DataFrame:
+    """Of regions with the same members, two members at least, one."""
+    alike = members.groupBy("region").agg(
+        F.count(F.lit(1)).alias("m"), F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("y")
+    )
+    kept = alike.where("m > 1").groupBy("m", "x", "y").agg(F.min("region").alias("region"))
+    return members.join(kept.select("region"), "region")
 
 
 def close_sizes(a: str, b: str) -> Column:

@@ -39,7 +39,7 @@ def family(dice: random.Random, vocabulary: list[str], size: int, copies: int, e
     return found
 
 
-@pytest.mark.parametrize(("small", "pivots"), [(64, 16), (4, 3)])
+@pytest.mark.parametrize(("small", "pivots"), [(256, 32), (4, 3)])
 def test_jaccard_join_is_exact_however_regions_are_split(spark, small, pivots):
     dice = random.Random(5)
     vocabulary = [f"w{k}" for k in range(2_000)]
