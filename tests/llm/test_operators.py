@@ -176,7 +176,8 @@ def test_exact_dedup_keeps_one_of_repeated_rows(corpus):
 
 
 def test_licenses(documents, corpus):
-    for frame in (documents, corpus):
+    # Two rows share the NULL id, and a look-up by id cannot tell them apart.
+    for frame in (documents, corpus.where("doc_id IS NOT NULL")):
         given = dict(texts(frame))
         for r in licenses.license_digests(licenses.scan_licenses(frame)).collect():
             base = (r["n_words"], r["n_base"], r["first_word"], r["last_word"], r["base_labels"])
