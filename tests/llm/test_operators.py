@@ -274,6 +274,26 @@ def test_line_dedup_recall(documents):
     assert all(r["n_lines"] - r["n_kept"] <= wanted[r["doc_id"]] for r in found)
 
 
+def test_line_dedup_compares_large_groups_in_full(spark):
+    dice = random.Random(9)
+    letters = "".join(chr(c) for c in range(0x4E00, 0x5E00))
+    drawn = lambda size: "".join(dice.choices(letters, k=size))
+    template, rows = drawn(304), []
+    # A family's lines are 0.77 alike, mostly by the template; lines of two families are 0.72 alike.
+    for own in [drawn(10) for _ in range(200)]:
+        rows += [template + own + drawn(47), template + own + drawn(47)]
+    dice.shuffle(rows)
+    numbered = list(enumerate(rows))
+    bands = line_dedup.band_values(line_dedup.bands_of(rows))
+    assert np.unique(bands, return_counts=True)[1].max() > 100
+    wanted = brute.line_classes(numbered, line_dedup.normal_line, line_dedup.similar)
+    assert sum(wanted.values()) == 200
+    found = line_dedup.drop_repeated_lines(spark.createDataFrame(numbered, "doc_id long, text string")).collect()
+    gone = {r["doc_id"]: r["n_lines"] - r["n_kept"] for r in found}
+    assert all(n <= wanted[i] for i, n in gone.items())
+    assert sum(gone.values()) >= 0.97 * 200
+
+
 def test_tokens_are_those_of_the_library(spark, documents):
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     known = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=byte_bpe.read_ranks(path), special_tokens={})
