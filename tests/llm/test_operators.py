@@ -148,6 +148,16 @@ def test_boilerplate_without_markup_is_found_by_repetition(spark):
     assert found == {**{k: prose(k, 30) for k in range(6)}, 6: notice}
 
 
+def test_the_same_notice_beside_different_articles_goes(spark):
+    notice = "This notice of the house stands on every single page of it."
+    rows = [(n, f"https://h.org/{n}", f"<div>{notice}</div><article><p>{prose(50 + n, 30)}</p></article>") for n in range(4)]
+    rows += [(9, "https://i.org/1", rows[0][2]), (10, "https://i.org/2", rows[0][2])]
+    found = {r["page_id"]: r["text"] for r in html_text.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert [found[n] for n in range(4)] == [prose(50 + n, 30) for n in range(4)]
+    # Copies of a whole page tell nothing.
+    assert found[9] == found[10] == f"{notice}\n\n{prose(50, 30)}"
+
+
 def test_furniture_goes_and_the_title_stays():
     page = (
         '<body><header><p>site</p></header><nav>menu</nav><article><header><h1>T&eacute;</h1></header><p>a<p>b'
