@@ -1,9 +1,10 @@
 """License scans through a positional index of rare words.
 
-Templates are indexed by word and position. Of each file the licence words of highest IDF
-are looked up; every posting proposes (template, offset), the offsets that several words
-agree on are aligned, and a template counts only if its key phrase stands there too.
-The IDF is counted over the whole corpus first.
+Templates are indexed by word and position. A template counts only if its key phrase stands in
+a file; for those, all licence words of the file are looked up. Every posting proposes (template,
+offset), the offsets that several words agree on are aligned, with shifts where words were put in
+or left out, and the key phrase must stand in the alignment. Coverage is weighted by the IDF, which
+is counted over the whole corpus first.
 """
 
 from __future__ import annotations
@@ -52,10 +53,10 @@ TEMPLATES = (
     ("cc-by", "creative commons attribution",
      "this work is licensed under a creative commons attribution 4 0 international license"),
 )
-#: Licence words looked up per file, words of an alignment that must agree, and the share
-#: of a template's words that makes a label.
-RAREST = 24
+#: Words of an alignment that must agree, the words that a part of a template may be shifted by,
+#: and the share of a template's words that makes a label.
 AGREE = 3
+SHIFT = 8
 COVERED = 0.7
 
 WORD = re.compile(common.WORD)
@@ -87,37 +88,48 @@ class Templates:
             return Found(0, [], [], 0.0)
         line = " " + " ".join(words) + " "
         places = sorted((at, label) for phrase, label in PHRASES.items() for at in phrase_places(line, phrase))
-        present = sorted(self.index.keys() & set(words), key=lambda w: (-self.idf.get(w, 0.0), w))[:RAREST]
         added, score = [], 1.0 if places else 0.0
-        if len(present) >= AGREE:
-            for n, offset in self.alignments(words, set(present)):
-                label, key, _ = TEMPLATES[n]
-                covered = self.coverage(words, n, offset)
-                if covered < COVERED:
-                    continue
-                start, end = max(0, offset), offset + len(self.words[n])
-                if f" {key} " in " " + " ".join(words[start:end]) + " ":
-                    added.append(label)
-                    score = max(score, covered)
+        keys = {n: found for n, (_, key, _) in enumerate(TEMPLATES) if (found := list(phrase_places(line, key)))}
+        for n, offset in self.alignments(words, keys) if keys else []:
+            covered, start, end = self.coverage(words, n, offset)
+            if covered < COVERED:
+                continue
+            label, key, _ = TEMPLATES[n]
+            if any(start <= at and at + key.count(" ") < end for at in keys[n]):
+                added.append(label)
+                score = max(score, covered)
         return Found(len(words), places, added, score)
 
-    def alignments(self, words: list[str], rare: set[str]) -> list[tuple[int, int]]:
-        """(template, offset) on which enough postings of the rare words agree."""
+    def alignments(self, words: list[str], keys: dict[int, list[int]]) -> list[tuple[int, int]]:
+        """(template, offset) on which enough postings agree, of templates whose key phrase the file has."""
+        postings = {word: [(n, place) for n, place in found if n in keys] for word, found in self.index.items()}
+        postings = {word: found for word, found in postings.items() if found}
         votes: Counter[tuple[int, int]] = Counter()
         for at, word in enumerate(words):
-            if word in rare:
-                votes.update((n, at - place) for n, place in self.index[word])
+            if word in postings:
+                votes.update((n, at - place) for n, place in postings[word])
         return sorted(a for a, n in votes.items() if n >= AGREE)
 
-    def coverage(self, words: list[str], n: int, offset: int) -> float:
-        """Share of the template's words, by IDF, at their relative position."""
-        total = hit = 0.0
-        for place, word in enumerate(self.words[n]):
-            weight = self.idf.get(word, 1.0)
-            total += weight
-            at = offset + place
-            hit += weight * (0 <= at < len(words) and words[at] == word)
-        return hit / total
+    def coverage(self, words: list[str], n: int, offset: int) -> tuple[float, int, int]:
+        """Share of the template's words, by IDF, at their relative position, and where they begin
+        and end. Runs of AGREE words or more may be shifted against the offset."""
+        wanted = self.words[n]
+        found = {place: offset + place for place in places_at(words, wanted, offset)}
+        for offset_there in sorted(range(offset - SHIFT, offset + SHIFT + 1), key=lambda o: abs(o - offset)):
+            run: list[int] = []
+            for place in [*places_at(words, wanted, offset_there), len(wanted) + 1]:
+                if run and place != run[-1] + 1:
+                    if len(run) >= AGREE:
+                        found = {p: offset_there + p for p in run} | found
+                    run = []
+                run.append(place)
+        weights = [self.idf.get(word, 1.0) for word in wanted]
+        return sum(weights[p] for p in found) / sum(weights), min(offset, *found.values()), max(offset + len(wanted), 1 + max(found.values()))
+
+
+def places_at(words: list[str], wanted: list[str], offset: int) -> list[int]:
+    """The places of a template whose words stand in the file at the offset."""
+    return [p for p in range(max(0, -offset), min(len(wanted), len(words) - offset)) if words[offset + p] == wanted[p]]
 
 
 def phrase_places(line: str, phrase: str) -> Iterator[int]:

@@ -206,6 +206,23 @@ def test_license_templates_are_found_with_a_few_words_changed(spark):
             assert label in found[n]
 
 
+def test_a_file_that_holds_all_licenses_has_all_labels(spark):
+    every = {label for label, _, _ in licenses.TEMPLATES}
+    rows = [(0, " ".join(f"{prose(n, 20)} {text}" for n, (_, _, text) in enumerate(licenses.TEMPLATES)))]
+    for n, (_, key, text) in enumerate(licenses.TEMPLATES):
+        # One word put in near the middle, beside the key phrase.
+        words = text.split(" ")
+        first = text[: text.index(key)].count(" ")
+        middle = len(words) // 2 if not first < len(words) // 2 <= first + key.count(" ") else first + key.count(" ") + 1
+        rows.append((n + 1, " ".join([prose(n, 40), *words[:middle], "really", *words[middle:], prose(n + 30, 20)])))
+    rows.append((99, prose(7, 300)))
+    scanned = licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    found = {r["doc_id"]: set(r["labels"]) for r in scanned}
+    assert found[0] == every and found[99] == set()
+    for n, (label, _, _) in enumerate(licenses.TEMPLATES):
+        assert found[n + 1] == {label}, label
+
+
 def test_toxicity_on_held_out_labels(spark, documents):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     scored = toxicity.score(documents, toxicity.fit(documents, labels))
