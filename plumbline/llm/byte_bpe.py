@@ -54,7 +54,11 @@ WITH RECURSIVE state AS (
 final AS (
   SELECT piece, pos, tok FROM state JOIN (SELECT piece, max(step) AS step FROM state GROUP BY piece) USING (piece, step)
 )
-SELECT piece, tok, bytes FROM final JOIN vocabulary ON id = tok ORDER BY piece, pos
+SELECT piece, tok FROM final ORDER BY piece, pos
+"""
+
+DECODE = """
+SELECT text, list(bytes ORDER BY pos) AS parts FROM token_rows JOIN vocabulary ON id = tok GROUP BY text ORDER BY text
 """
 
 
@@ -75,7 +79,6 @@ class Coder:
 
     def __init__(self, path: str, pattern: str):
         self.ranks = read_ranks(path)
-        self.bytes_of = {rank: token for token, rank in self.ranks.items()}
         self.first = np.array([self.ranks[bytes([b])] for b in range(256)], dtype=np.int32)
         # The pattern's \s is the Unicode property; the module's also takes four separators.
         self.pieces = regex.compile(pattern.replace(r"[^\s", f"[^{WHITE}").replace(r"\S", f"[^{WHITE}]").replace(r"\s", f"[{WHITE}]"))
@@ -87,11 +90,11 @@ class Coder:
                 a, b = self.ranks.get(token[:cut]), self.ranks.get(token[cut:])
                 if a is not None and b is not None:
                     left.append(a), right.append(b), merged.append(rank)
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
         pair = (np.array(left, dtype=np.int64) << 32) | np.array(right, dtype=np.int64)
         self.db.register("given", pa.table({"pair": pair, "merged": np.array(merged, dtype=np.int32)}))
         self.db.execute("CREATE TABLE merges AS SELECT * FROM given")
-        vocabulary = {"id": pa.array(list(self.bytes_of), pa.int32()), "bytes": pa.array(list(self.bytes_of.values()), pa.binary())}
+        vocabulary = {"id": pa.array(list(self.ranks.values()), pa.int32()), "bytes": pa.array(list(self.ranks), pa.binary())}
         self.db.register("given", pa.table(vocabulary))
         self.db.execute("CREATE TABLE vocabulary AS SELECT * FROM given")
 
@@ -102,8 +105,8 @@ class Coder:
         head, *rest = text.split(" ")
         return [head, *[" " + word for word in rest]]
 
-    def contract(self, pieces: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
-        """Ids and decoded bytes of each piece that is not a token itself."""
+    def contract(self, pieces: list[bytes]) -> Iterator[bytes]:
+        """Ids of each piece that is not a token itself."""
         lengths = np.array([len(p) for p in pieces])
         joined = np.frombuffer(b"".join(pieces), dtype=np.uint8)
         starts = np.cumsum(lengths) - lengths
@@ -116,12 +119,10 @@ class Coder:
         result = self.db.sql(CONTRACT).to_arrow_table().combine_chunks()
         self.db.unregister("start")
         ids = result["tok"].to_numpy().astype("<u4").tobytes()
-        decoded = b"".join(result["bytes"].to_pylist())
-        sizes = np.bincount(result["piece"].to_numpy(), minlength=len(pieces))
-        at, spot = 0, 0
-        for n, length in zip((4 * sizes).tolist(), lengths.tolist(), strict=True):
-            yield ids[at : at + n], decoded[spot : spot + length]
-            at, spot = at + n, spot + length
+        at = 0
+        for n in (4 * np.bincount(result["piece"].to_numpy(), minlength=len(pieces))).tolist():
+            yield ids[at : at + n]
+            at += n
 
     def contract_long(self, piece: bytes) -> list[int]:
         """The same contraction for one long piece, with a heap instead of rounds."""
@@ -152,8 +153,8 @@ class Coder:
             offer(i)
         return [t for t, part in zip(tokens, parts, strict=True) if part is not None]
 
-    def code(self, pieces: set[str]) -> dict[str, tuple[bytes, bytes]]:
-        """Ids and decoded bytes of each piece; the new ones are contracted."""
+    def code(self, pieces: set[str]) -> dict[str, bytes]:
+        """Ids of each piece; the new ones are contracted."""
         coded, short, texts = {}, [], []
         for piece in pieces:
             known = self.words.get(piece)
@@ -162,10 +163,9 @@ class Coder:
                 continue
             raw = piece.encode()
             if raw in self.ranks:
-                coded[piece] = self.pack([self.ranks[raw]], [raw])
+                coded[piece] = self.pack([self.ranks[raw]])
             elif len(raw) > LONG_PIECE:
-                ids = self.contract_long(raw)
-                coded[piece] = self.pack(ids, [self.bytes_of[i] for i in ids])
+                coded[piece] = self.pack(self.contract_long(raw))
             else:
                 short.append(raw), texts.append(piece)
         for k in range(0, len(short), AT_ONCE):
@@ -175,23 +175,38 @@ class Coder:
         return coded
 
     @staticmethod
-    def pack(ids: list[int], parts: list[bytes]) -> tuple[bytes, bytes]:
-        return np.array(ids, dtype="<u4").tobytes(), b"".join(parts)
+    def pack(ids: list[int]) -> bytes:
+        return np.array(ids, dtype="<u4").tobytes()
 
-    def encode(self, texts: list[str]) -> Iterator[tuple[bytes, bytes]]:
-        """Of each text the ids as little-endian 32-bit integers, and the bytes they decode to."""
+    def encode(self, texts: list[str]) -> Iterator[bytes]:
+        """Of each text the ids as little-endian 32-bit integers."""
         cut = [self.split(text) for text in texts]
         known = {s: self.stretches.get(s) for s in set().union(*cut)}
         fresh = {s: self.pieces.findall(s) for s, found in known.items() if found is None}
         coded = self.code({p for pieces in fresh.values() for p in pieces})
         for stretch, pieces in fresh.items():
-            found = [coded[p] for p in pieces]
-            known[stretch] = b"".join([f[0] for f in found]), b"".join([f[1] for f in found])
+            known[stretch] = b"".join([coded[p] for p in pieces])
             if len(stretch) <= LONG_PIECE:
                 self.stretches.put(stretch, known[stretch])
         for stretches in cut:
-            found = [known[s] for s in stretches]
-            yield b"".join([f[0] for f in found]), b"".join([f[1] for f in found])
+            yield b"".join([known[s] for s in stretches])
+
+    def decode(self, coded: list[bytes]) -> Iterator[bytes]:
+        """The bytes of each row of ids, in the order of the positions."""
+        sizes = np.array([len(ids) // 4 for ids in coded])
+        token_rows = {
+            "text": np.repeat(np.arange(len(coded), dtype=np.int32), sizes),
+            "pos": np.arange(sizes.sum(), dtype=np.int64),
+            "tok": np.frombuffer(b"".join(coded), dtype="<u4").astype(np.int32),
+        }
+        self.db.register("token_rows", pa.table(token_rows))
+        result = self.db.sql(DECODE).to_arrow_table().combine_chunks()
+        self.db.unregister("token_rows")
+        decoded = dict(zip(result["text"].to_pylist(), result["parts"].to_pylist(), strict=True))
+        if sum(map(len, decoded.values())) != sizes.sum():
+            raise ValueError("an id is not in the vocabulary")
+        for n in range(len(coded)):
+            yield b"".join(decoded.get(n, []))
 
 
 @lru_cache(maxsize=2)
@@ -201,8 +216,7 @@ def coder(path: str, pattern: str) -> Coder:
 
 
 def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """(doc_id, ids, decoded) of each row: token ids as little-endian unsigned 32-bit
-    integers in one binary value, and the bytes that they decode to.
+    """(doc_id, ids) of each row: token ids as little-endian unsigned 32-bit integers in one binary value.
 
     One row per input row, repeated rows included. NULL counts as empty, and an empty text
     has no ids. Special tokens are ordinary text. Other columns are ignored.
@@ -213,25 +227,25 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
         for frame in frames:
             texts = ["" if t is None else t for t in frame["text"]]
             for start, end in portions(texts):
-                ids, decoded = zip(*own.encode(texts[start:end]), strict=True)
-                yield pd.DataFrame({"doc_id": frame["doc_id"].iloc[start:end], "ids": ids, "decoded": decoded})
+                yield pd.DataFrame({"doc_id": frame["doc_id"].iloc[start:end], "ids": list(own.encode(texts[start:end]))})
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInPandas(run, f"doc_id {kind}, ids binary, decoded binary")
+    return docs.select("doc_id", "text").mapInPandas(run, f"doc_id {kind}, ids binary")
 
 
 def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
-    """(doc_id, decoded) from (doc_id, ids): an ordered aggregation over token-position rows."""
+    """(doc_id, ids, decoded) from (doc_id, ids): an ordered aggregation over token-position rows.
+
+    One row per input row. NULL ids count as none; an id that the vocabulary lacks is an error.
+    """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = coder(path, pattern)
         for frame in frames:
-            decoded = []
-            for raw in frame["ids"]:
-                own.db.register("rows_of", pa.table({"tok": np.frombuffer(raw or b"", dtype="<u4").astype(np.int32)}))
-                query = "SELECT list(bytes ORDER BY pos) FROM (SELECT tok, row_number() OVER () AS pos FROM rows_of) JOIN vocabulary ON id = tok"
-                decoded.append(b"".join(own.db.sql(query).fetchone()[0] or []))
-            yield pd.DataFrame({"doc_id": frame["doc_id"], "decoded": decoded})
+            coded = [ids or b"" for ids in frame["ids"]]
+            for start, end in portions(coded):
+                rows = frame.iloc[start:end]
+                yield pd.DataFrame({"doc_id": rows["doc_id"], "ids": rows["ids"], "decoded": list(own.decode(coded[start:end]))})
 
     kind = encoded.schema["doc_id"].dataType.simpleString()
-    return encoded.select("doc_id", "ids").mapInPandas(run, f"doc_id {kind}, decoded binary")
+    return encoded.select("doc_id", "ids").mapInPandas(run, f"doc_id {kind}, ids binary, decoded binary")

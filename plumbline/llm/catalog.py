@@ -62,12 +62,13 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    return token_digests(byte_bpe.encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN))
+    return token_digests(table(spark, sf_dir, "documents"))
 
 
-def token_digests(coded: DataFrame) -> DataFrame:
-    return coded.select(
+def token_digests(docs: DataFrame) -> DataFrame:
+    """Digests of the ids of each text and of the bytes that these ids decode to."""
+    given = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    return byte_bpe.decode(byte_bpe.encode(docs, *given), *given).select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),

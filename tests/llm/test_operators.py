@@ -331,12 +331,21 @@ def test_tokens_are_those_of_the_library(spark, documents):
     for given in (frame, documents.where("doc_id < 200")):
         expected = dict(texts(given))
         coded = byte_bpe.encode(given, path, public_tokenizers.PATTERN)
-        for row in coded.collect():
+        for row in byte_bpe.decode(coded, path, public_tokenizers.PATTERN).collect():
             text = expected[row["doc_id"]]
             assert np.frombuffer(row["ids"], dtype="<u4").tolist() == known.encode_ordinary(text)
             assert bytes(row["decoded"]) == text.encode()
-    decoded = {r["doc_id"]: bytes(r["decoded"]) for r in byte_bpe.decode(byte_bpe.encode(frame, path, public_tokenizers.PATTERN), path, public_tokenizers.PATTERN).collect()}
-    assert decoded == {k: t.encode() for k, t in enumerate(odd)}
+
+
+def test_a_wrong_id_shows_in_the_decoded_bytes(spark):
+    given = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    coded = byte_bpe.encode(spark.createDataFrame([(1, "one two"), (2, None)], "doc_id long, text string"), *given).collect()
+    ids = bytearray(coded[0]["ids"])
+    assert coded[1]["ids"] == b""
+    ids[0] ^= 1
+    changed = spark.createDataFrame([(1, bytes(ids)), (2, bytes(coded[0]["ids"])), (3, None)], "doc_id long, ids binary")
+    found = {r["doc_id"]: bytes(r["decoded"]) for r in byte_bpe.decode(changed, *given).collect()}
+    assert found[1] != b"one two" and found[2] == b"one two" and found[3] == b""
 
 
 def test_remembered_is_bounded():
