@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbline.llm import byte_bpe, catalog, decontaminate, exact_dedup, jaccard_join, toxicity
+from plumbline.llm import catalog, decontaminate, exact_dedup, jaccard_join, toxicity
 from plumbline.llm.common import table
 from plumbline.session import cut_lineage
 
@@ -33,8 +32,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of the ids and of what they decode to."""
-    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    return catalog.token_digests(byte_bpe.encode(docs, path, public_tokenizers.PATTERN))
+    return catalog.token_digests(docs)
 
 
 STAGES = [
@@ -50,6 +48,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token digests of the documents that all stages keep.
+
+    A NULL or empty text is scored like any text, and of several one stays; repeated rows
+    count as copies. An empty table gives no rows. Each stage is written before the next reads it.
+    """
     docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES[:-1]:
         docs = cut_lineage(stage(spark, docs, sf_dir))
