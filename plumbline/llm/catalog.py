@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import byte_bpe, decontaminate, exact_dedup, html_text, jaccard_join, language, licenses, line_dedup, secrets, toxicity
+from plumbline.llm import byte_bpe, centroids, decontaminate, exact_dedup, html_text, jaccard_join, language, licenses, line_dedup, secrets, spellings, substrings, toxicity
 from plumbline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -76,6 +76,20 @@ def token_digests(docs: DataFrame) -> DataFrame:
     )
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = centroids.cluster_vectors(table(spark, sf_dir, "embeddings"))
+    return found.withColumn("centroid_sha256", F.sha2(F.array_join("centroid", ","), 256)).drop("centroid")
+
+
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.substring_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spellings.group_variants(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_ngram_jaccard": op1_ngram_jaccard,
@@ -88,6 +102,9 @@ def queries() -> dict[str, Query]:
         "op8_language_id": op8_language_id,
         "op9_line_dedup": op9_line_dedup,
         "op10_byte_bpe": op10_byte_bpe,
+        "op11_centroid_clustering": op11_centroid_clustering,
+        "op12_substring_dedup": op12_substring_dedup,
+        "op13_spelling_variants": op13_spelling_variants,
     }
 
 
@@ -95,4 +112,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op2_decontaminate": decontaminate.SQL,
         "op5_exact_dedup": exact_dedup.SQL,
+        "op11_centroid_clustering": centroids.sql(),
+        "op12_substring_dedup": substrings.SQL,
+        "op13_spelling_variants": spellings.SQL,
     }

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
+import zlib
 from collections import Counter, defaultdict
 from string import ascii_lowercase, ascii_uppercase
 
@@ -109,3 +111,71 @@ def line_classes(rows: list[tuple[int, str | None]], normal, similar) -> Counter
         gone[doc] += joined.find(n) in seen
         seen.add(joined.find(n))
     return gone
+
+
+def clustering(rows, clusters: int, rounds: int, dimensions: int) -> list[tuple]:
+    """(vec_id, cluster, distance, inertia of the cluster, inertia) in whole numbers."""
+    kept = []
+    for vec_id, v in rows:
+        if v is not None and len(v) == dimensions and all(x is not None and math.isfinite(x) for x in v):
+            kept.append((vec_id, [math.floor(1024 * x) for x in v]))
+    hashed = sorted(((digest(f"3:{i}") if i is not None else "~"), v) for i, v in kept)
+    centroids = [v for _, v in hashed[:clusters]]
+
+    def assign():
+        found = []
+        for _, v in kept:
+            found.append(min((sum((a - b) ** 2 for a, b in zip(v, c)), k) for k, c in enumerate(centroids)))
+        return found
+
+    for _ in range(rounds):
+        found = assign()
+        for k in range(len(centroids)):
+            own = [v for (_, v), (_, c) in zip(kept, found) if c == k]
+            if own:
+                centroids[k] = [sum(x) // len(own) for x in zip(*own)]
+    found = assign()
+    total = Counter()
+    for d, k in found:
+        total[k] += d
+    return [(i, k, d, total[k], sum(total.values()), centroids[k]) for (i, _), (d, k) in zip(kept, found)]
+
+
+def without_repeats(texts: list[str | None], window: int) -> list[tuple[int, int, str]]:
+    """Words, removed words and digest of the kept words of each text, all windows counted."""
+    split = [SPACED.findall(t or "") for t in texts]
+    seen = Counter(tuple(w[k : k + window]) for w in split for k in range(len(w) - window + 1))
+    found = []
+    for w in split:
+        gone = {p for k in range(len(w) - window + 1) if seen[tuple(w[k : k + window])] > 1 for p in range(k, k + window)}
+        found.append((len(w), len(gone), digest(" ".join(x for k, x in enumerate(w) if k not in gone))))
+    return found
+
+
+def spellings(rows: list[tuple[int | None, str | None]], typo_every: int, least: int) -> dict[str, tuple]:
+    """word -> (form, root, n, n_near, form_n), every single edit of every word looked up."""
+    counts = Counter()
+    for doc, text in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = run.translate(LOWER)
+            h = zlib.crc32(f"{'null' if doc is None else doc}:{run}".encode())
+            if h % typo_every == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            if len(run) >= 6:
+                counts[run] += 1
+    n = {w: c for w, c in counts.items() if c >= least}
+    letters, near, form = {c for w in n for c in w}, {}, {}
+    for w in n:
+        cuts = [(w[:k], w[k:]) for k in range(len(w) + 1)]
+        edits = {a + b[1:] for a, b in cuts if b} | {a + c + b for a, b in cuts for c in letters}
+        edits |= {a + c + b[1:] for a, b in cuts if b for c in letters}
+        near[w] = {x for x in edits if x in n and x != w}
+        best = min(near[w], key=lambda x: (-n[x], x), default=None)
+        form[w] = best if best and n[best] >= 5 * n[w] else None
+    found = {}
+    for w in n:
+        root = w
+        while form[root]:
+            root = form[root]
+        found[w] = (form[w], root, n[w], len(near[w]), n.get(form[w]))
+    return found

@@ -4,7 +4,7 @@ import corpus_pipeline
 import public_tokenizers
 import pytest
 
-from plumbline.llm import byte_bpe, decontaminate, exact_dedup, html_text, jaccard_join, language, licenses, line_dedup, secrets, toxicity
+from plumbline.llm import byte_bpe, decontaminate, exact_dedup, html_text, jaccard_join, language, licenses, line_dedup, secrets, substrings, toxicity
 
 PATH = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -17,6 +17,7 @@ OPERATORS = {
     "toxicity": lambda docs, labels, items: toxicity.score(docs, toxicity.fit(docs, labels)),
     "language": lambda docs, labels, items: language.identify(docs, language.fit(docs)),
     "lines": lambda docs, labels, items: line_dedup.drop_repeated_lines(docs),
+    "substrings": lambda docs, labels, items: substrings.substring_duplicates(docs),
     "byte_bpe": lambda docs, labels, items: byte_bpe.encode(docs, PATH, public_tokenizers.PATTERN),
 }
 
