@@ -34,8 +34,8 @@ from plumbline.session import cut_lineage
 WINDOW = 35
 #: Words of an anchor.
 GRAM = 12
-#: An anchor at more places is parsed window by window, spread over all tasks.
-MOST_PLACES = 10_000
+#: An anchor at more places is no block: its windows are spread over all tasks.
+MOST_PLACES = 1_000
 #: A key held by more than one row in HOT_SHARE is joined by broadcast; at most HOT_SHARE keys can be.
 HOT_SHARE = 1024
 #: Most rows of anchors that are broadcast; beyond it the join shuffles.
@@ -246,19 +246,32 @@ def block_spans(parts: DataFrame) -> DataFrame:
 
 
 def hot_spans(parts: DataFrame) -> DataFrame:
-    """(row, start, n): the same for anchors with many places, each window by itself.
+    """(row, start, n): the same for anchors with many places.
 
-    Windows are counted by partial aggregates, so no task holds the text around an anchor.
+    Pieces of equal windows are one form with a number of places, so copies are compared
+    once. The windows of the forms are counted by partial aggregates: no task holds the text
+    around an anchor. What repeats in a form, as runs of windows, goes back to its places.
     """
-    whole = parts.select("anchor", "row", "start", "windows").distinct()
+    form = F.unhex(F.md5("windows")).alias("form")
+    places = cut_lineage(parts.select("anchor", form, "row", "start", "windows").distinct())
+    forms = cut_lineage(places.groupBy("anchor", "form", "windows").agg(F.count(F.lit(1)).alias("n_places")))
     offsets = F.expr("sequence(0, CAST(octet_length(windows) DIV 8 AS INT) - 1)")
-    each = whole.select("anchor", "row", "start", F.explode(offsets).alias("k"), "windows")
+    each = forms.select("anchor", "form", "n_places", F.explode(offsets).alias("k"), "windows")
     window = F.substring("windows", F.lit(1) + 8 * F.col("k"), F.lit(8))
-    places = cut_lineage(each.select("anchor", window.alias("window"), "row", (F.col("start") + F.col("k")).alias("start")))
-    counts = cut_lineage(places.groupBy("anchor", "window").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
-    is_hot = F.col("n") > places.count() / HOT_SHARE
-    found = split_join(places, counts, ["anchor", "window"], is_hot, HOT_SHARE)
-    return found.select("row", "start", F.lit(1).alias("n"))
+    each = cut_lineage(each.select("anchor", window.alias("window"), "form", "k", "n_places"))
+    counts = cut_lineage(each.groupBy("anchor", "window").agg(F.sum("n_places").alias("n"), F.count(F.lit(1)).alias("n_forms")).where("n > 1"))
+    found = split_join(each, counts, ["anchor", "window"], F.col("n_forms") > each.count() / HOT_SHARE, HOT_SHARE)
+    held = found.groupBy("anchor", "form", "n_places").agg(F.sort_array(F.collect_list("k")).alias("ks"))
+    runs = F.expr(
+        "zip_with(filter(ks, k -> NOT array_contains(ks, k - 1)), filter(ks, k -> NOT array_contains(ks, k + 1)),"
+        " (first, last) -> struct(first, last - first + 1 AS n))"
+    )
+    repeated = cut_lineage(held.select("anchor", "form", "n_places", runs.alias("runs")))
+    is_hot = F.col("n_places") > places.count() / HOT_SHARE
+    back = split_join(places.drop("windows"), repeated, ["anchor", "form"], is_hot, HOT_SHARE)
+    return back.select("row", "start", F.explode("runs").alias("run")).select(
+        "row", (F.col("start") + F.col("run.first")).alias("start"), F.col("run.n").cast("int").alias("n")
+    )
 
 
 def drop_words(docs: DataFrame, spans: DataFrame, window: int) -> DataFrame:
