@@ -5,7 +5,7 @@ from plumbline.checks import registry
 
 def _load() -> None:
     from plumbline.checks import analysis_queries, chain_queries, column_queries, metric_queries, plan_queries, rule_queries  # noqa: F401
-    from plumbline.checks import series_queries, source_queries  # noqa: F401
+    from plumbline.checks import selection_queries, series_queries, source_queries  # noqa: F401
 
 
 def queries() -> dict[str, registry.Query]:

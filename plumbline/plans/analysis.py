@@ -17,7 +17,7 @@ from plumbline.operators import stats
 from plumbline.operators.clean import drop_token_columns
 from plumbline.operators.impute import impute_group_mean
 from plumbline.operators.models import Fitted, fit_boosted_trees, fit_forest, hash_split, top_features
-from plumbline.operators.ordered import chronological_split
+from plumbline.operators.selection import chronological_cut
 from plumbline.session import cut_lineage
 
 # Regression target per station, and the features of both models.
@@ -108,7 +108,7 @@ def injury_rows(features: DataFrame) -> DataFrame:
 
 def severity_parts(rows: DataFrame, key: str = "dr_no") -> DataFrame:
     """Earlier rows to train on, later ones to validate; written once, as a model reads them often."""
-    return cut_lineage(chronological_split(rows, "datetime_occ", [key]))
+    return cut_lineage(chronological_cut(rows, "datetime_occ", [key]))
 
 
 def severity_model(parts: DataFrame, **params) -> Fitted:
