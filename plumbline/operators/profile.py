@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.columns import all_of, col, join_null_safe, numeric_columns, rows_from
@@ -181,6 +181,30 @@ def missing_dates(df: DataFrame, date: str, series: Sequence[str] = ()) -> DataF
     return join_null_safe(calendar, days, [*series, "missing_date"], "left_anti")
 
 
+def date_gaps(df: DataFrame, date: str, series: Sequence[str] = ()) -> DataFrame:
+    """Missing calendar days as intervals: (series, ``first_missing``, ``last_missing``, ``days``).
+
+    Each present day is compared with the next one, so a gap of any length is one row and no
+    calendar is made. The window runs over distinct days only, at most one row per day of a series.
+    """
+    keys = [col(s) for s in series]
+    days = df.select(*keys, F.to_date(col(date)).alias("__day")).where("__day IS NOT NULL").distinct()
+    following = F.lead("__day").over(Window.partitionBy(*keys).orderBy("__day"))
+    missing = F.datediff("__next", "__day") - 1
+    return days.withColumn("__next", following).where(missing > 0).select(
+        *keys,
+        F.date_add("__day", 1).alias("first_missing"),
+        F.date_sub("__next", 1).alias("last_missing"),
+        missing.cast("long").alias("days"),
+    )
+
+
+def expand_gaps(gaps: DataFrame) -> DataFrame:
+    """One row per missing day of ``date_gaps``, as ``missing_dates`` gives them."""
+    kept = [col(c) for c in gaps.columns if c not in ("first_missing", "last_missing", "days")]
+    return gaps.select(*kept, F.explode(F.sequence("first_missing", "last_missing")).alias("missing_date"))
+
+
 def date_coverage(df: DataFrame, date: str, series: Sequence[str] = ()) -> DataFrame:
     """First and last day, days expected, present and missing, and whether none is missing."""
     keys = [col(s) for s in series]
