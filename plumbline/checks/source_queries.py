@@ -21,6 +21,7 @@ from plumbline.columns import col
 from plumbline.functions.convert import flatten_struct
 from plumbline.session import scratch_path
 from plumbline.sources import archive, files, landing, schemas, tables
+from plumbline.sources.upsert import KeyedTable
 
 ORDERS = T.StructType(
     [
@@ -208,3 +209,44 @@ def table_roundtrip(spark, sf):
     name = f"Orders_{uuid.uuid4().hex}"
     tables.write_if_any(table(spark, sf, "orders"), name, path=scratch_path(spark, "table"))
     return tables.read_table(spark, name)
+
+
+@query(
+    "upsert_orders",
+    "o_orderkey:i o_orderstatus:s o_totalprice:f landed:i",
+    """SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderkey % 7 = 0 OR o_orderkey % 5 = 0 AND late THEN o_totalprice + 1
+      ELSE o_totalprice END AS o_totalprice,
+    CASE WHEN o_orderkey % 7 = 0 THEN 3 WHEN late THEN 2 ELSE 1 END AS landed
+    FROM (SELECT *, o_orderdate >= TIMESTAMP '2000-01-01' AS late FROM orders)""",
+)
+def upsert_orders(spark, sf):
+    """Four batches by key: early rows, late rows, corrections, and older corrections that change nothing.
+
+    The corrections land twice, and once more under their own name after the others.
+    """
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate")
+    late = col("o_orderdate") >= F.lit("2000-01-01").cast("timestamp_ntz")
+    raised = orders.withColumn("o_totalprice", col("o_totalprice") + 1)
+    keyed = KeyedTable(spark, scratch_path(spark, "keyed"), ["o_orderkey", "o_orderstatus"], ["o_orderstatus"])
+    corrections = raised.where("o_orderkey % 7 = 0").withColumn("landed", F.lit(3))
+    keyed.upsert(orders.where(~late).withColumn("landed", F.lit(1)), "early", "landed")
+    keyed.upsert(corrections.where(~late), "corrections", "landed")
+    keyed.upsert(corrections.where(~late), "corrections", "landed")
+    keyed.upsert(raised.where(late & (col("o_orderkey") % 5 == 0)).unionByName(orders.where(late & (col("o_orderkey") % 5 > 0))).withColumn("landed", F.lit(2)), "late", "landed")
+    keyed.upsert(orders.where(col("o_orderkey") % 14 == 0).withColumn("landed", F.lit(0)), "older", "landed")
+    keyed.upsert(corrections, "corrections of all", "landed")
+    return keyed.read()
+
+
+@query(
+    "upsert_partition",
+    "o_orderkey:i o_totalprice:f",
+    "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'F'",
+)
+def upsert_partition(spark, sf):
+    """One partition of a keyed table; the folders of the others are not listed."""
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    keyed = KeyedTable(spark, scratch_path(spark, "keyed"), ["o_orderkey", "o_orderstatus"], ["o_orderstatus"])
+    for batch in (0, 1):
+        keyed.upsert(orders.where(col("o_orderkey") % 2 == batch), str(batch))
+    return keyed.read(o_orderstatus="F")
