@@ -20,7 +20,7 @@ from plumbline.checks.registry import query, table
 from plumbline.columns import col
 from plumbline.functions.convert import flatten_struct
 from plumbline.session import scratch_path
-from plumbline.sources import archive, files, landing, schemas, tables
+from plumbline.sources import archive, files, landing, pages, schemas, tables
 from plumbline.sources.upsert import KeyedTable
 
 ORDERS = T.StructType(
@@ -250,3 +250,50 @@ def upsert_partition(spark, sf):
     for batch in (0, 1):
         keyed.upsert(orders.where(col("o_orderkey") % 2 == batch), str(batch))
     return keyed.read(o_orderstatus="F")
+
+
+PAGED = T.StructType(
+    [
+        T.StructField("o_orderkey", T.LongType()),
+        T.StructField("o_orderstatus", T.StringType()),
+        T.StructField("day", T.DateType()),
+        T.StructField("o_totalprice", T.DoubleType()),
+        T.StructField(pages.PAGE, T.StringType()),
+    ]
+)
+
+
+def paged_orders(spark, sf):
+    """Orders landed as API pages of 400 records, read back through the page source."""
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", F.to_date("o_orderdate").alias("day"), "o_totalprice")
+    path = scratch_path(spark, "pages")
+    pages.land_pages(orders, path, "o_orderstatus", "day", 400)
+    return pages.scan_pages(spark, path, PAGED, "o_orderstatus", "day")
+
+
+@query(
+    "landed_pages",
+    "o_orderkey:i o_orderstatus:s day:d o_totalprice:f",
+    """SELECT o_orderkey, o_orderstatus, CAST(o_orderdate AS DATE) AS day, o_totalprice FROM orders
+    WHERE o_orderstatus = 'F' AND CAST(o_orderdate AS DATE) BETWEEN DATE '1996-01-01' AND DATE '1996-06-30'""",
+)
+def landed_pages(spark, sf):
+    """One area and half a year: pages of other areas and days are not opened."""
+    days = col("day").between(F.lit("1996-01-01").cast("date"), F.lit("1996-06-30").cast("date"))
+    return paged_orders(spark, sf).where((col("o_orderstatus") == "F") & days)
+
+
+@query(
+    "landed_pages_listed",
+    "o_orderstatus:s n:i total:f first_day:d last_day:d",
+    """SELECT o_orderstatus, COUNT(*) AS n, SUM(ROUND(o_totalprice * 100)) / 100 AS total, CAST(MIN(o_orderdate) AS DATE) AS first_day,
+    CAST(MAX(o_orderdate) AS DATE) AS last_day FROM orders WHERE o_orderstatus IN ('O', 'P')
+    AND CAST(o_orderdate AS DATE) > DATE '1998-03-31' GROUP BY 1""",
+)
+def landed_pages_listed(spark, sf):
+    """A list of areas and an open range, aggregated."""
+    kept = paged_orders(spark, sf).where(col("o_orderstatus").isin("O", "P") & (col("day") > F.lit("1998-03-31").cast("date")))
+    cents = F.sum(F.round(col("o_totalprice") * 100).cast("bigint")) / 100
+    return kept.groupBy("o_orderstatus").agg(
+        F.count(F.lit(1)).alias("n"), cents.alias("total"), F.min("day").alias("first_day"), F.max("day").alias("last_day")
+    )
