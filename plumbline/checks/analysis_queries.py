@@ -75,17 +75,21 @@ EVENT_KINDS = (
 )
 
 
-def event_weather(spark, sf):
-    """Accidents with the weather of their area's station; one column was dropped on the way."""
+def event_rows(spark, sf):
+    """Accidents with their area's station; one column was dropped on the way."""
     rows = st.frame(spark, sf, "accidents").drop("rpt_dist_no")
-    rows = rows.withColumns(
+    return rows.withColumns(
         {
             "time_occ": clock_text(col("time_occ")),
             "area_name": cat.lookup(col("area_name"), STATION_OF_AREA),
             "mocodes": F.split("mocodes", r"\s+"),
         }
     )
-    return integrate.event_weather_view(rows, st.weather_daily(spark, sf))
+
+
+def event_weather(spark, sf):
+    """Accidents with the weather of their area's station and day."""
+    return integrate.event_weather_view(event_rows(spark, sf), st.weather_daily(spark, sf))
 
 
 @query("view_event_weather", EVENT_KINDS, VIEW_EVENTS)
