@@ -8,8 +8,9 @@ from plumbline.checks import standins as st
 from plumbline.checks.registry import query, quoted, table
 from plumbline.checks.rule_queries import ACCIDENT_SQL, CLOCKED, WEATHER_SQL, clocked
 from plumbline.columns import col
-from plumbline.operators import clean, profile, rules
+from plumbline.operators import clean, observed, profile, rules
 from plumbline.plans import accidents, weather
+from plumbline.session import scratch_path
 
 ACC = st.select("accidents")
 GASES = st.select("gases")
@@ -212,14 +213,13 @@ def sql_sparse(source: str) -> str:
     return f"(SELECT * FROM {source} WHERE ({count}) / 7.0 < 0.25)"
 
 
-@query(
-    "clean_report",
-    "step:s rows:i removed:i",
-    f"""WITH counts AS (SELECT (SELECT COUNT(*) FROM lineitem) AS a, (SELECT COUNT(*) FROM {KEYED.format(GASES)}) AS b,
+CLEANED = f"""WITH counts AS (SELECT (SELECT COUNT(*) FROM lineitem) AS a, (SELECT COUNT(*) FROM {KEYED.format(GASES)}) AS b,
       (SELECT COUNT(*) FROM {sql_sparse(KEYED.format(GASES))}) AS c)
     SELECT 'input' AS step, a AS "rows", 0 AS removed FROM counts UNION ALL SELECT 'duplicates', b, a - b FROM counts
-    UNION ALL SELECT 'sparse rows', c, b - c FROM counts""",
-)
+    UNION ALL SELECT 'sparse rows', c, b - c FROM counts"""
+
+
+@query("clean_report", "step:s rows:i removed:i", CLEANED)
 def clean_report(spark, sf):
     rows = st.frame(spark, sf, "gases")
     unique = clean.dedup(rows, ["order_key", "line"], TOTAL_ORDER)
@@ -227,6 +227,17 @@ def clean_report(spark, sf):
     return profile.removal_report(rows, [("duplicates", unique), ("sparse rows", dense)])
 
 
+@query("clean_report_observed", "step:s rows:i removed:i", CLEANED)
+def clean_report_observed(spark, sf):
+    """The same counts, taken by the one job that writes the clean rows."""
+    counter = observed.RowCounts()
+    rows = counter.watch("input", st.frame(spark, sf, "gases"))
+    unique = counter.watch("duplicates", clean.dedup(rows, ["order_key", "line"], TOTAL_ORDER))
+    dense = clean.drop_sparse_rows(unique, 0.25, ["co", "no", "no2", "nox", "o3", "pm10", "pm25"])
+    counter.watch("sparse rows", dense).write.parquet(scratch_path(spark, "clean"))
+    return counter.removals(spark)
+
+
 @query(
     "dedup_key",
     "order_key:i line:i station:s co:f no:f no2:f nox:f pm10:f pm25:f",

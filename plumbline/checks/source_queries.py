@@ -204,6 +204,23 @@ def compact_partitions(spark, sf):
     return spark.read.parquet(path)
 
 
+@query(
+    "compact_small_files",
+    "l_orderkey:i l_linenumber:i l_quantity:f l_returnflag:s l_shipdate:t",
+    "SELECT l_orderkey, l_linenumber, l_quantity, l_returnflag, l_shipdate FROM lineitem",
+)
+def compact_small_files(spark, sf):
+    """A table of one large and many small files per partition, of which the small ones are merged."""
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag", "l_shipdate")
+    path = scratch_path(spark, "small")
+    late = col("l_linenumber") > 4
+    lines.where(~late).repartition(1).write.partitionBy("l_returnflag").parquet(path)
+    lines.where(late).repartition(6).write.mode("append").partitionBy("l_returnflag").parquet(path)
+    large = max(size for (size,) in spark.read.parquet(path).select("_metadata.file_size").distinct().collect())
+    landing.compact_small_files(spark, path, ["l_returnflag"], large // 2)
+    return spark.read.parquet(path)
+
+
 @query("table_roundtrip", ORDER_COLUMNS, "SELECT * FROM orders")
 def table_roundtrip(spark, sf):
     name = f"Orders_{uuid.uuid4().hex}"

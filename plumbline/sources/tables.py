@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
 from plumbline.columns import col
+from plumbline.operators.observed import RowCounts
 
 # Rows per JDBC batch and fetch.
 JDBC_ROWS = 10_000
@@ -45,11 +47,48 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.read.table(name.lower())
 
 
-def write_if_any(df: DataFrame, name: str, **options) -> bool:
-    """Write unless the frame is empty; returns whether it wrote."""
-    if df.isEmpty():
+def write_if_any(
+    df: DataFrame,
+    name: str,
+    mode: str = "overwrite",
+    partition_by: Sequence[str] = (),
+    path: str | None = None,
+) -> bool:
+    """Write as ``write_table`` unless the frame is empty; returns whether it had rows.
+
+    Rows are counted while they are written, by one job. A table that is new or replaced as a
+    whole is written aside and takes its name only if it has rows; appending nothing, or
+    replacing the partitions of nothing, changes no row.
+    """
+    spark, table, counter = df.sparkSession, name.lower(), RowCounts()
+    watched = counter.watch("rows", df)
+    if spark.catalog.tableExists(table) and (mode == "append" or partition_by):
+        write_table(watched, table, mode, partition_by, path)
+        return counter.counts()["rows"] > 0
+    tag = uuid.uuid4().hex
+    aside, folder = f"{table}_{tag}", None if path is None else f"{path.rstrip('/')}-{tag}"
+    write_table(watched, aside, "overwrite", partition_by, folder)
+    wrote = counter.counts()["rows"] > 0
+    if wrote:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+    if folder is None:
+        spark.sql(f"ALTER TABLE {aside} RENAME TO {table}" if wrote else f"DROP TABLE {aside}")
+        return wrote
+    spark.sql(f"DROP TABLE {aside}")
+    source, target = spark._jvm.org.apache.hadoop.fs.Path(folder), spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = source.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not wrote:
+        files.delete(source, True)
         return False
-    write_table(df, name, **options)
+    files.delete(target, True)
+    if not files.rename(source, target):
+        raise RuntimeError(f"could not move {folder} to {path}")
+    if not partition_by:
+        spark.catalog.createTable(table, path=path, source="parquet", schema=df.schema)
+        return True
+    # Which columns are partitions is read from the folders.
+    spark.catalog.createTable(table, path=path, source="parquet")
+    spark.catalog.recoverPartitions(table)
     return True
 
 
