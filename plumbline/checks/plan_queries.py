@@ -9,7 +9,7 @@ from plumbline.checks.analysis_queries import FEATURES, VIEW_AIR, air_energy_wea
 from plumbline.checks.registry import query, table
 from plumbline.checks.rule_queries import WEATHER_SQL, repaired_accidents
 from plumbline.checks.series_queries import sql_group_modes
-from plumbline.columns import col
+from plumbline.columns import any_of, col
 from plumbline.functions.convert import clock_text
 from plumbline.operators import stats
 from plumbline.plans import accidents, air, analysis, energy, weather
@@ -278,6 +278,32 @@ def gbt_regression(spark, sf):
     return scores[0].unionByName(scores[1]).unionByName(scores[2])
 
 
+def sql_incomplete(station: str, target: str) -> str:
+    held_out = f"""(SELECT * FROM ({VIEW_AIR}) WHERE station = '{station}' AND NOT ({sql_is_train('station', 'datetime_iso')}))"""
+    lacking = " OR ".join(f'"{f}" IS NULL' for f in analysis.REGRESSION_FEATURES if f != target)
+    return f"""SELECT '{station}' AS station, COUNT(*) AS predicted, COUNT(*) FILTER (WHERE {lacking}) AS incomplete,
+      COUNT(*) FILTER (WHERE {target} IS NULL) AS without_target FROM {held_out}"""
+
+
+@query(
+    "gbt_missing_sides",
+    "station:s predicted:i incomplete:i without_target:i",
+    " UNION ALL ".join(sql_incomplete(s, t) for s, t in TARGETS.items()),
+)
+def gbt_missing_sides(spark, sf):
+    """Boosted trees that split missing features: predictions of held-out rows, and those with gaps among them.
+
+    The tests compare the errors with the mean's and with those of filled rows.
+    """
+    fitted = analysis.air_regression(air_energy_weather(spark, sf), TARGETS, missing="sides", maxIter=10)
+    counted = []
+    for s, f in fitted.items():
+        lacking = any_of(col(c).isNull() for c in analysis.REGRESSION_FEATURES if c != TARGETS[s])
+        counts = F.count("prediction"), F.count_if(lacking), F.count_if(col(TARGETS[s]).isNull())
+        counted.append(f.predictions.agg(*counts).toDF("predicted", "incomplete", "without_target").withColumn("station", F.lit(s)))
+    return counted[0].unionByName(counted[1]).unionByName(counted[2])
+
+
 # The chronological parts of the rows that the forest takes.
 PARTED = f"""(SELECT *, CASE WHEN place <= FLOOR(total * 0.85) THEN 'train'
       WHEN place <= FLOOR(total * 0.85) + FLOOR(total * 0.15) THEN 'validation' END AS part

@@ -41,10 +41,16 @@ def air_regression(
     targets: Mapping[str, str] = REGRESSION_TARGETS,
     features: Sequence[str] = REGRESSION_FEATURES,
     keys: Sequence[str] = ("station", "datetime_iso"),
+    missing: str = "mean",
     **params,
 ) -> dict[str, Fitted]:
-    """One boosted regression per station, on station means where a value is missing."""
-    filled = impute_group_mean(view, list(features), ["station"])
+    """One boosted regression per station.
+
+    ``missing="mean"`` fills features and target with the station's means; ``"sides"`` fills nothing:
+    rows need only a target to train, the trees learn what a missing feature means, and
+    every held-out row is predicted.
+    """
+    filled = impute_group_mean(view, list(features), ["station"]) if missing == "mean" else view
     # Each station is read several times: the joins behind the view run once.
     split = cut_lineage(hash_split(filled, keys))
 
@@ -52,7 +58,13 @@ def air_regression(
         rows, target = split.filter(col("station") == station), targets[station]
         names = [f for f in features if f != target]
         return fit_boosted_trees(
-            rows.filter("is_train"), rows.filter(~col("is_train")), target, names, keys, **params
+            rows.filter("is_train"),
+            rows.filter(~col("is_train")),
+            target,
+            names,
+            keys,
+            missing="drop" if missing == "mean" else missing,
+            **params,
         )
 
     # The models do not depend on each other, and each is a long chain of small jobs.
