@@ -51,6 +51,20 @@ def union_distinct(frames: Sequence[DataFrame]) -> DataFrame:
     return merged.distinct()
 
 
+def per_station(daily: DataFrame, stations: Sequence[str]) -> DataFrame:
+    """A series that holds for all stations as one row per station and row.
+
+    A table bucketed by (station, day) meets others of the kind without a shuffle. The stations
+    are the few of a configuration.
+    """
+    return daily.withColumn("station", F.explode(F.array(*[F.lit(s) for s in stations])))
+
+
+def _energy_keys(energy: DataFrame) -> dict[str, str]:
+    """Energy holds for all stations, or is given ``per_station``."""
+    return {c: c for c in ("station", "datetime_iso") if c in energy.columns}
+
+
 def weather_energy_view(weather: DataFrame, energy: DataFrame, columns: Sequence[str] = ("TMAX", "TMIN", "PRCP")) -> DataFrame:
     """Daily weather of each station next to the energy demand of the day."""
     base = weather.select(
@@ -58,7 +72,7 @@ def weather_energy_view(weather: DataFrame, energy: DataFrame, columns: Sequence
         "station",
         *[(col(c) if c in weather.columns else F.lit(None)).cast("double").alias(c) for c in columns],
     )
-    joined = left_join_by_date(base, energy, {"datetime_iso": "datetime_iso"}, {"value": "cenergy"})
+    joined = left_join_by_date(base, energy, _energy_keys(energy), {"value": "cenergy"})
     return joined.distinct()
 
 
@@ -86,7 +100,7 @@ def air_energy_weather_view(
     )
     by_station = {"station": "station", "datetime_iso": "datetime_iso"}
     with_weather = left_join_by_date(base, weather, by_station, {c: c for c in ("TMAX", "TMIN", "PRCP")})
-    joined = left_join_by_date(with_weather, energy, {"datetime_iso": "datetime_iso"}, {"value": "cenergy"})
+    joined = left_join_by_date(with_weather, energy, _energy_keys(energy), {"value": "cenergy"})
     return joined.distinct()
 
 

@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from plumbline import checks
 from plumbline.plans import accidents, energy, weather
 from plumbline.session import cut_lineage, fix_partitions, scratch_path, shared_dir
 from plumbline.sources import archive, files, landing, schemas, tables
@@ -176,3 +177,18 @@ def test_accident_format_handles_malformed_fields(spark):
     assert (first.vict_sex, first.vict_descent, first.location, first.premis_desc) == ("Unknown", "Unknown", "SATICOY_ST", None)
     assert first.mocodes == ["3004", "3026"] and second.mocodes == []
     assert second.datetime_iso is None and second.vict_descent is None
+
+
+def test_bucketed_tables_meet_without_a_shuffle(spark, plan):
+    for name in ("view_air_energy_weather_bucketed", "view_weather_energy_bucketed"):
+        text = plan(checks.queries()[name](spark, "/root/testdata/sf0.001"))
+        assert "SortMergeJoin" in text and "Exchange" not in text
+
+
+def test_bucketed_tables_are_replaced_and_keep_all_rows(spark, tmp_path, rows):
+    frame = spark.createDataFrame([(None, 1), ("a", 2), ("a", 2), ("b", None)], "`k k` string, v long")
+    for _ in range(2):
+        stored = tables.write_bucketed(frame, "In_Buckets", ["k k"], 4, str(tmp_path / "b"))
+    assert rows(stored) == rows(frame)
+    assert tables.write_bucketed(frame.limit(0), "in_buckets", ["k k"], 4, str(tmp_path / "b")).count() == 0
+    spark.sql("DROP TABLE in_buckets")
