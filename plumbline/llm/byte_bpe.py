@@ -26,8 +26,8 @@ from plumbline.llm.portions import Remembered, portions
 
 #: Fixed value: what the pattern of the tokenizers means by white space.
 WHITE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
-#: Words whose ids a task remembers, and words that one recursive query takes.
-REMEMBERED = 200_000
+#: Stretches and pieces whose ids a task remembers, and pieces that one recursive query takes.
+REMEMBERED = 400_000
 AT_ONCE = 20_000
 #: Longer pieces (bytes) are contracted with a heap, in the same order: the rows of the
 #: recursive query grow with the square of a piece's length.
@@ -83,7 +83,8 @@ class Coder:
         # The pattern's \s is the Unicode property; the module's also takes four separators.
         self.pieces = regex.compile(pattern.replace(r"[^\s", f"[^{WHITE}").replace(r"\S", f"[^{WHITE}]").replace(r"\s", f"[{WHITE}]"))
         self.gap = re.compile(f"[{WHITE}] | [{WHITE}]")
-        self.stretches, self.words = Remembered(REMEMBERED), Remembered(REMEMBERED)
+        # One look-up for both: a piece by itself is a stretch of one piece.
+        self.known = Remembered(REMEMBERED)
         left, right, merged = [], [], []
         for token, rank in self.ranks.items():
             for cut in range(1, len(token)):
@@ -157,13 +158,14 @@ class Coder:
         """Ids of each piece; the new ones are contracted."""
         coded, short, texts = {}, [], []
         for piece in pieces:
-            known = self.words.get(piece)
+            known = self.known.get(piece)
             if known is not None:
                 coded[piece] = known
                 continue
             raw = piece.encode()
             if raw in self.ranks:
                 coded[piece] = self.pack([self.ranks[raw]])
+                self.known.put(piece, coded[piece])
             elif len(raw) > LONG_PIECE:
                 coded[piece] = self.pack(self.contract_long(raw))
             else:
@@ -171,7 +173,7 @@ class Coder:
         for k in range(0, len(short), AT_ONCE):
             for piece, found in zip(texts[k : k + AT_ONCE], self.contract(short[k : k + AT_ONCE]), strict=True):
                 coded[piece] = found
-                self.words.put(piece, coded[piece])
+                self.known.put(piece, coded[piece])
         return coded
 
     @staticmethod
@@ -181,13 +183,13 @@ class Coder:
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """Of each text the ids as little-endian 32-bit integers."""
         cut = [self.split(text) for text in texts]
-        known = {s: self.stretches.get(s) for s in set().union(*cut)}
+        known = {s: self.known.get(s) for s in set().union(*cut)}
         fresh = {s: self.pieces.findall(s) for s, found in known.items() if found is None}
         coded = self.code({p for pieces in fresh.values() for p in pieces})
         for stretch, pieces in fresh.items():
-            known[stretch] = b"".join([coded[p] for p in pieces])
-            if len(stretch) <= LONG_PIECE:
-                self.stretches.put(stretch, known[stretch])
+            known[stretch] = coded[pieces[0]] if len(pieces) == 1 else b"".join([coded[p] for p in pieces])
+            if len(pieces) > 1 and len(stretch) <= LONG_PIECE:
+                self.known.put(stretch, known[stretch])
         for stretches in cut:
             yield b"".join([known[s] for s in stretches])
 
@@ -202,11 +204,18 @@ class Coder:
         self.db.register("token_rows", pa.table(token_rows))
         result = self.db.sql(DECODE).to_arrow_table().combine_chunks()
         self.db.unregister("token_rows")
-        decoded = dict(zip(result["text"].to_pylist(), result["parts"].to_pylist(), strict=True))
-        if sum(map(len, decoded.values())) != sizes.sum():
+        parts = result["parts"].combine_chunks()
+        if len(parts.values) != sizes.sum():
             raise ValueError("an id is not in the vocabulary")
+        # The bytes of all tokens stand one behind the other; a text is a stretch of them.
+        tokens = parts.values.cast(pa.large_binary())
+        ends = np.frombuffer(tokens.buffers()[1], dtype=np.int64)[tokens.offset :]
+        bounds = ends[parts.offsets.to_numpy()] if len(parts) else []
+        stretches = {text: (bounds[k], bounds[k + 1]) for k, text in enumerate(result["text"].to_pylist())}
+        data = memoryview(tokens.buffers()[2] or b"")
         for n in range(len(coded)):
-            yield b"".join(decoded.get(n, []))
+            start, end = stretches.get(n, (0, 0))
+            yield bytes(data[start:end])
 
 
 @lru_cache(maxsize=2)
