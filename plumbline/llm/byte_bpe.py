@@ -27,12 +27,17 @@ from plumbline.llm.portions import Remembered, portions
 #: Fixed value: what the pattern of the tokenizers means by white space.
 WHITE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 #: Stretches and pieces whose ids a task remembers, and pieces that one recursive query takes.
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 AT_ONCE = 20_000
 #: Longer pieces (bytes) are contracted with a heap, in the same order: the rows of the
 #: recursive query grow with the square of a piece's length.
 LONG_PIECE = 40
 
+#: A database in memory, which never writes beside the worker.
+DATABASE = {"threads": 1, "memory_limit": "400MB", "temp_directory": ""}
+#: Bytes of ids that are decoded at a time.
+DECODED_AT_ONCE = 1_000_000
+
 CONTRACT = """
 WITH RECURSIVE state AS (
   SELECT 0 AS step, piece, pos, tok, lead(tok) OVER w AS next_tok, lead(pos) OVER w AS next_pos
@@ -91,13 +96,11 @@ class Coder:
                 a, b = self.ranks.get(token[:cut]), self.ranks.get(token[cut:])
                 if a is not None and b is not None:
                     left.append(a), right.append(b), merged.append(rank)
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
+        self.db = duckdb.connect(config=DATABASE)
         pair = (np.array(left, dtype=np.int64) << 32) | np.array(right, dtype=np.int64)
         self.db.register("given", pa.table({"pair": pair, "merged": np.array(merged, dtype=np.int32)}))
         self.db.execute("CREATE TABLE merges AS SELECT * FROM given")
-        vocabulary = {"id": pa.array(list(self.ranks.values()), pa.int32()), "bytes": pa.array(list(self.ranks), pa.binary())}
-        self.db.register("given", pa.table(vocabulary))
-        self.db.execute("CREATE TABLE vocabulary AS SELECT * FROM given")
+        self.db.unregister("given")
 
     def split(self, text: str) -> list[str]:
         """Stretches that no match of the pattern crosses: cut at single spaces between words."""
@@ -193,6 +196,18 @@ class Coder:
         for stretches in cut:
             yield b"".join([known[s] for s in stretches])
 
+
+class Decoder:
+    """The vocabulary of one file in one task: ids and their bytes, and nothing that only encoding needs."""
+
+    def __init__(self, path: str):
+        ranks = read_ranks(path)
+        self.db = duckdb.connect(config=DATABASE)
+        vocabulary = {"id": pa.array(list(ranks.values()), pa.int32()), "bytes": pa.array(list(ranks), pa.binary())}
+        self.db.register("given", pa.table(vocabulary))
+        self.db.execute("CREATE TABLE vocabulary AS SELECT * FROM given")
+        self.db.unregister("given")
+
     def decode(self, coded: list[bytes]) -> Iterator[bytes]:
         """The bytes of each row of ids, in the order of the positions."""
         sizes = np.array([len(ids) // 4 for ids in coded])
@@ -224,6 +239,12 @@ def coder(path: str, pattern: str) -> Coder:
     return Coder(path, pattern)
 
 
+@lru_cache(maxsize=2)
+def decoder(path: str) -> Decoder:
+    """One per Python worker, kept from task to task."""
+    return Decoder(path)
+
+
 def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """(doc_id, ids) of each row: token ids as little-endian unsigned 32-bit integers in one binary value.
 
@@ -242,17 +263,17 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     return docs.select("doc_id", "text").mapInPandas(run, f"doc_id {kind}, ids binary")
 
 
-def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
+def decode(encoded: DataFrame, path: str) -> DataFrame:
     """(doc_id, ids, decoded) from (doc_id, ids): an ordered aggregation over token-position rows.
 
     One row per input row. NULL ids count as none; an id that the vocabulary lacks is an error.
     """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own = coder(path, pattern)
+        own = decoder(path)
         for frame in frames:
             coded = [ids or b"" for ids in frame["ids"]]
-            for start, end in portions(coded):
+            for start, end in portions(coded, DECODED_AT_ONCE):
                 rows = frame.iloc[start:end]
                 yield pd.DataFrame({"doc_id": rows["doc_id"], "ids": rows["ids"], "decoded": list(own.decode(coded[start:end]))})
 

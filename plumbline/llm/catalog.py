@@ -67,8 +67,8 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def token_digests(docs: DataFrame) -> DataFrame:
     """Digests of the ids of each text and of the bytes that these ids decode to."""
-    given = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
-    return byte_bpe.decode(byte_bpe.encode(docs, *given), *given).select(
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return byte_bpe.decode(byte_bpe.encode(docs, path, public_tokenizers.PATTERN), path).select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),

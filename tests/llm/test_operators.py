@@ -331,7 +331,7 @@ def test_tokens_are_those_of_the_library(spark, documents):
     for given in (frame, documents.where("doc_id < 200")):
         expected = dict(texts(given))
         coded = byte_bpe.encode(given, path, public_tokenizers.PATTERN)
-        for row in byte_bpe.decode(coded, path, public_tokenizers.PATTERN).collect():
+        for row in byte_bpe.decode(coded, path).collect():
             text = expected[row["doc_id"]]
             assert np.frombuffer(row["ids"], dtype="<u4").tolist() == known.encode_ordinary(text)
             assert bytes(row["decoded"]) == text.encode()
@@ -344,7 +344,7 @@ def test_a_wrong_id_shows_in_the_decoded_bytes(spark):
     assert coded[1]["ids"] == b""
     ids[0] ^= 1
     changed = spark.createDataFrame([(1, bytes(ids)), (2, bytes(coded[0]["ids"])), (3, None)], "doc_id long, ids binary")
-    found = {r["doc_id"]: bytes(r["decoded"]) for r in byte_bpe.decode(changed, *given).collect()}
+    found = {r["doc_id"]: bytes(r["decoded"]) for r in byte_bpe.decode(changed, given[0]).collect()}
     assert found[1] != b"one two" and found[2] == b"one two" and found[3] == b""
 
 
