@@ -12,6 +12,8 @@ from plumbline.columns import col, ordering, rows_from, total_order
 from plumbline.operators.ordered import WHOLE, Layout, number_rows, with_halo
 
 BLOCK_ROWS = 100_000
+#: Most columns that a pivot finds by itself.
+MOST_COLUMNS = 1_000
 
 
 def _quantile(sorted_values: Column, size: Column, q: float) -> Column:
@@ -104,12 +106,14 @@ def pivot_wide(
     """Long observations to one column per ``key``: the first value by ``tie_break``.
 
     With ``values`` no job is needed to find the columns, and a value that never occurs
-    still gets its (all-NULL) column. One fixed-width tie-break column keeps the
+    still gets its (all-NULL) column; without, more than ``MOST_COLUMNS`` values are an error. One fixed-width tie-break column keeps the
     aggregation on hash maps; several need a sort per task.
     """
     if values is None:
         names = df.select(col(key)).distinct().filter(col(key).isNotNull()).orderBy(col(key))
-        values = [row[0] for row in names.collect()]
+        values = [row[0] for row in names.limit(MOST_COLUMNS + 1).collect()]
+        if len(values) > MOST_COLUMNS:
+            raise ValueError(f"more than {MOST_COLUMNS} values of {key}: name those to keep")
     position = col(tie_break[0]) if len(tie_break) == 1 else F.struct(*ordering(tie_break))
     return df.groupBy(*[col(i) for i in index]).agg(
         *[F.min_by(col(value), F.when(col(key) == v, position)).alias(str(v)) for v in values]

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from plumbline.columns import col
-from plumbline.operators import impute, ordered, selection
+from plumbline.operators import impute, ordered, selection, series
 
 
 def rank_key(x):
@@ -87,3 +87,11 @@ def test_no_task_holds_a_group(spark, plan):
     for made in (selection.chronological_cut(frame, "v", ["id"]), impute.impute_numeric(frame, ["v"], by=["g"]), selection.quantiles(frame, ["v"], [0.5])):
         text = plan(made)
         assert "SinglePartition" not in text and "percentile" not in text and "Window" not in text
+
+
+def test_pivots_refuse_to_find_endless_columns(spark, monkeypatch):
+    frame = spark.range(6).select((col("id") % 2).alias("t"), col("id").cast("string").alias("k"), "id")
+    assert len(series.pivot_wide(frame, ["t"], "k", "id", ["id"]).columns) == 7
+    monkeypatch.setattr(series, "MOST_COLUMNS", 5)
+    with pytest.raises(ValueError, match="more than 5 values of k"):
+        series.pivot_wide(frame, ["t"], "k", "id", ["id"])
