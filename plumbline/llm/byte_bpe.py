@@ -1,6 +1,6 @@
 """Byte-level BPE: encoding and decoding by recursive queries on token-position rows.
 
-Each task keeps a DuckDB database in memory with the merge table. The words of a batch that
+Each task opens a DuckDB database in memory with the merge table, and closes it at its end. The words of a batch that
 the task has not met yet become rows (piece, position, token); a recursive query joins
 neighbouring tokens with the merge table and contracts, in every piece, the leftmost pair of
 minimum rank until no pair is left. An ordered aggregation gives the ids and their bytes.
@@ -13,53 +13,56 @@ import base64
 import heapq
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import duckdb
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
-from plumbline.llm.portions import Remembered, portions
+from plumbline.llm.portions import Remembered, give_back, portions
 
 #: Fixed value: what the pattern of the tokenizers means by white space.
 WHITE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
-#: Stretches and pieces whose ids a task remembers, and pieces that one recursive query takes.
+#: Stretches and pieces whose ids a task remembers, and the longest stretch (characters) among them.
 REMEMBERED = 150_000
-AT_ONCE = 20_000
-#: Longer pieces (bytes) are contracted with a heap, in the same order: the rows of the
-#: recursive query grow with the square of a piece's length.
-LONG_PIECE = 40
+SHORT_STRETCH = 40
+#: Rows that one recursive query makes at most: half the square of the length of each piece. A longer piece stands alone.
+ROWS_AT_ONCE = 1_000_000
+#: Pieces of more bytes, as a run of blanks or dashes can be, are contracted with a heap, in the same order:
+#: rows that grow with the square of their length would not fit a worker.
+LONG_PIECE = 4_000
 
 #: A database in memory, which never writes beside the worker.
 DATABASE = {"threads": 1, "memory_limit": "400MB", "temp_directory": ""}
-#: Bytes of ids that are decoded at a time.
+#: Characters that are encoded, and bytes of ids that are decoded, at a time.
+CODED_AT_ONCE = 2_000_000
 DECODED_AT_ONCE = 1_000_000
 
+# The best pair of a piece is the least number of rank (28 bits), place in the batch (22 bits) and length of the left token.
 CONTRACT = """
 WITH RECURSIVE state AS (
-  SELECT 0 AS step, piece, pos, tok, lead(tok) OVER w AS next_tok, lead(pos) OVER w AS next_pos
-  FROM start WINDOW w AS (PARTITION BY piece ORDER BY pos)
+  SELECT 0 AS step, piece, pos, tok, next_tok, next_pos FROM start
   UNION ALL
   SELECT step + 1, s.piece, s.pos,
          CASE WHEN s.pos = spot THEN merged ELSE tok END,
-         CASE WHEN s.pos = spot THEN beyond_tok WHEN next_pos = spot THEN merged ELSE next_tok END,
-         CASE WHEN s.pos = spot THEN beyond_pos ELSE next_pos END
+         CASE WHEN s.pos = spot THEN beyond_tok WHEN s.next_pos = spot THEN merged ELSE s.next_tok END,
+         CASE WHEN s.pos = spot THEN beyond_pos ELSE s.next_pos END
   FROM state s JOIN (
-    SELECT b.piece, merged, spot, gone, r.next_tok AS beyond_tok, r.next_pos AS beyond_pos
-    FROM (SELECT piece, (best >> 32)::INTEGER AS merged, ((best >> 16) & 65535)::INTEGER AS spot, (best & 65535)::INTEGER AS gone
-          FROM (SELECT piece, min((merged::BIGINT << 32) | (pos << 16) | next_pos) AS best
+    SELECT b.piece, (best >> 35)::INTEGER AS merged, spot, r.pos AS gone, r.next_tok AS beyond_tok, r.next_pos AS beyond_pos
+    FROM (SELECT piece, best, ((best >> 13) & 4194303)::INTEGER AS spot, (((best >> 13) & 4194303) + (best & 8191))::INTEGER AS gone
+          FROM (SELECT piece, min((merged::BIGINT << 35) | (pos::BIGINT << 13) | (next_pos - pos)) AS best
                 FROM state JOIN merges ON pair = (tok::BIGINT << 32) | next_tok GROUP BY piece)) b
-    JOIN state r ON r.piece = b.piece AND r.pos = gone
+    JOIN state r ON r.pos = b.gone
   ) b ON s.piece = b.piece
   WHERE s.pos <> gone
 ),
 final AS (
   SELECT piece, pos, tok FROM state JOIN (SELECT piece, max(step) AS step FROM state GROUP BY piece) USING (piece, step)
 )
-SELECT piece, tok FROM final ORDER BY piece, pos
+SELECT piece, tok FROM final ORDER BY pos
 """
 
 DECODE = """
@@ -102,22 +105,24 @@ class Coder:
         self.db.execute("CREATE TABLE merges AS SELECT * FROM given")
         self.db.unregister("given")
 
-    def split(self, text: str) -> list[str]:
-        """Stretches that no match of the pattern crosses: cut at single spaces between words."""
-        if self.gap.search(text) or text[:1] == " " or text[-1:] == " ":
-            return self.pieces.findall(text)
-        head, *rest = text.split(" ")
-        return [head, *[" " + word for word in rest]]
+    def plain(self, text: str) -> bool:
+        """Whether no match of the pattern crosses a cut at single spaces between words."""
+        return not (self.gap.search(text) or text[:1] == " " or text[-1:] == " ")
 
     def contract(self, pieces: list[bytes]) -> Iterator[bytes]:
         """Ids of each piece that is not a token itself."""
         lengths = np.array([len(p) for p in pieces])
         joined = np.frombuffer(b"".join(pieces), dtype=np.uint8)
-        starts = np.cumsum(lengths) - lengths
+        places = np.arange(len(joined) + 1, dtype=np.int32)
+        tokens = np.append(self.first[joined], np.int32(0))
+        last = np.zeros(len(joined), dtype=bool)
+        last[np.cumsum(lengths) - 1] = True
         start = {
             "piece": np.repeat(np.arange(len(pieces), dtype=np.int32), lengths),
-            "pos": (np.arange(len(joined)) - np.repeat(starts, lengths)).astype(np.int32),
-            "tok": self.first[joined],
+            "pos": places[:-1],
+            "tok": tokens[:-1],
+            "next_tok": pa.array(tokens[1:], mask=last),
+            "next_pos": pa.array(places[1:], mask=last),
         }
         self.db.register("start", pa.table(start))
         result = self.db.sql(CONTRACT).to_arrow_table().combine_chunks()
@@ -159,42 +164,78 @@ class Coder:
 
     def code(self, pieces: set[str]) -> dict[str, bytes]:
         """Ids of each piece; the new ones are contracted."""
-        coded, short, texts = {}, [], []
-        for piece in pieces:
-            known = self.known.get(piece)
-            if known is not None:
-                coded[piece] = known
-                continue
+        coded = self.known.of(pieces)
+        short = []
+        for piece in pieces - coded.keys():
             raw = piece.encode()
-            if raw in self.ranks:
-                coded[piece] = self.pack([self.ranks[raw]])
-                self.known.put(piece, coded[piece])
+            rank = self.ranks.get(raw)
+            if rank is not None:
+                coded[piece] = self.known.put(piece, self.pack([rank]))
             elif len(raw) > LONG_PIECE:
                 coded[piece] = self.pack(self.contract_long(raw))
             else:
-                short.append(raw), texts.append(piece)
-        for k in range(0, len(short), AT_ONCE):
-            for piece, found in zip(texts[k : k + AT_ONCE], self.contract(short[k : k + AT_ONCE]), strict=True):
-                coded[piece] = found
-                self.known.put(piece, coded[piece])
+                short.append((len(raw), raw, piece))
+        # Pieces of one length need about as many rounds.
+        short.sort()
+        rows = np.cumsum([n * n // 2 for n, _, _ in short])
+        start = 0
+        while start < len(short):
+            made = rows[start - 1] if start else 0
+            end = max(start + 1, int(np.searchsorted(rows, made + ROWS_AT_ONCE, side="right")))
+            for (n, _, piece), ids in zip(short[start:end], self.contract([raw for _, raw, _ in short[start:end]]), strict=True):
+                coded[piece] = self.known.put(piece, ids) if n <= 4 * SHORT_STRETCH else ids
+            start = end
         return coded
 
     @staticmethod
     def pack(ids: list[int]) -> bytes:
         return np.array(ids, dtype="<u4").tobytes()
 
-    def encode(self, texts: list[str]) -> Iterator[bytes]:
-        """Of each text the ids as little-endian 32-bit integers."""
-        cut = [self.split(text) for text in texts]
-        known = {s: self.known.get(s) for s in set().union(*cut)}
-        fresh = {s: self.pieces.findall(s) for s, found in known.items() if found is None}
-        coded = self.code({p for pieces in fresh.values() for p in pieces})
-        for stretch, pieces in fresh.items():
+    def stretches(self, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Distinct stretches of plain texts, the number of each in order, and where each text starts."""
+        words = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        bounds = words.offsets.to_numpy()
+        coded = words.flatten().dictionary_encode()
+        numbers = coded.indices.to_numpy().copy()
+        distinct = coded.dictionary.to_pylist()
+        # The first word of a text has no blank before it.
+        firsts = [distinct[n] for n in numbers[bounds[:-1]]]
+        numbers[bounds[:-1]] = np.arange(len(distinct), len(distinct) + len(firsts))
+        return [" " + word for word in distinct] + firsts, numbers, bounds
+
+    def ids_of(self, stretches: list[str]) -> dict[str, bytes]:
+        """Ids of each stretch; a word of ASCII letters, with or without its blank, is a piece by itself."""
+        distinct = set(stretches)
+        known = self.known.of(distinct)
+        fresh = distinct - known.keys()
+        words = {s for s in fresh if s.isascii() and s[s[:1] == " " :].isalpha()}
+        mixed = {s: self.pieces.findall(s) for s in fresh - words}
+        coded = self.code(words.union(*mixed.values()))
+        for stretch, pieces in mixed.items():
             known[stretch] = coded[pieces[0]] if len(pieces) == 1 else b"".join([coded[p] for p in pieces])
-            if len(pieces) > 1 and len(stretch) <= LONG_PIECE:
+            if len(pieces) > 1 and len(stretch) <= SHORT_STRETCH:
                 self.known.put(stretch, known[stretch])
-        for stretches in cut:
-            yield b"".join([known[s] for s in stretches])
+        known.update((word, coded[word]) for word in words)
+        return known
+
+    def encode(self, texts: list[str]) -> Iterator[bytes]:
+        """Of each text the ids as little-endian 32-bit integers."""
+        plain = [self.plain(text) for text in texts]
+        some = [text for text, cut in zip(texts, plain, strict=True) if cut]
+        stretches, numbers, bounds = self.stretches(some) if some else ([], np.zeros(0, int), np.zeros(1, int))
+        others = [self.pieces.findall(text) for text, cut in zip(texts, plain, strict=True) if not cut]
+        known = self.ids_of([*stretches, *(s for own in others for s in own)])
+        ids = pa.array([known[s] for s in stretches], pa.large_binary()).take(pa.array(numbers))
+        ends = np.frombuffer(ids.buffers()[1], dtype=np.int64)[ids.offset :][bounds] if some else bounds
+        data = memoryview(ids.buffers()[2] or b"")
+        runs = iter(zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True))
+        rest = iter(others)
+        for cut in plain:
+            if cut:
+                start, end = next(runs)
+                yield bytes(data[start:end])
+            else:
+                yield b"".join([known[s] for s in next(rest)])
 
 
 class Decoder:
@@ -210,7 +251,7 @@ class Decoder:
 
     def decode(self, coded: list[bytes]) -> Iterator[bytes]:
         """The bytes of each row of ids, in the order of the positions."""
-        sizes = np.array([len(ids) // 4 for ids in coded])
+        sizes = np.array([len(ids) // 4 for ids in coded], dtype=np.int64)
         token_rows = {
             "text": np.repeat(np.arange(len(coded), dtype=np.int32), sizes),
             "pos": np.arange(sizes.sum(), dtype=np.int64),
@@ -233,18 +274,6 @@ class Decoder:
             yield bytes(data[start:end])
 
 
-@lru_cache(maxsize=2)
-def coder(path: str, pattern: str) -> Coder:
-    """One per Python worker, kept from task to task."""
-    return Coder(path, pattern)
-
-
-@lru_cache(maxsize=2)
-def decoder(path: str) -> Decoder:
-    """One per Python worker, kept from task to task."""
-    return Decoder(path)
-
-
 def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """(doc_id, ids) of each row: token ids as little-endian unsigned 32-bit integers in one binary value.
 
@@ -253,11 +282,14 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own = coder(path, pattern)
+        own = Coder(path, pattern)
         for frame in frames:
             texts = ["" if t is None else t for t in frame["text"]]
-            for start, end in portions(texts):
+            for start, end in portions(texts, CODED_AT_ONCE):
                 yield pd.DataFrame({"doc_id": frame["doc_id"].iloc[start:end], "ids": list(own.encode(texts[start:end]))})
+        own.db.close()
+        del own
+        give_back()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInPandas(run, f"doc_id {kind}, ids binary")
@@ -270,12 +302,15 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own = decoder(path)
+        own = Decoder(path)
         for frame in frames:
             coded = [ids or b"" for ids in frame["ids"]]
             for start, end in portions(coded, DECODED_AT_ONCE):
                 rows = frame.iloc[start:end]
                 yield pd.DataFrame({"doc_id": rows["doc_id"], "ids": rows["ids"], "decoded": list(own.decode(coded[start:end]))})
+        own.db.close()
+        del own
+        give_back()
 
     kind = encoded.schema["doc_id"].dataType.simpleString()
     return encoded.select("doc_id", "ids").mapInPandas(run, f"doc_id {kind}, ids binary, decoded binary")

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterator
 
+import pyarrow as pa
+
 #: Characters and rows that a task works on at a time.
 MOST_CHARS = 4_000_000
 MOST_ROWS = 1_000
@@ -21,6 +25,15 @@ def portions(texts: list[str], chars: int = MOST_CHARS, rows: int = MOST_ROWS) -
         yield start, len(texts)
 
 
+def give_back() -> None:
+    """Return what a task has freed to the system: Spark keeps the worker for the stages that follow."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    libc = ctypes.CDLL(None)
+    if hasattr(libc, "malloc_trim"):
+        libc.malloc_trim(0)
+
+
 class Remembered:
     """Bounded look-up that forgets what was not asked for since the last filling."""
 
@@ -33,7 +46,17 @@ class Remembered:
             self.put(key, value)
         return value
 
-    def put(self, key, value) -> None:
+    def of(self, keys: set) -> dict:
+        """The values of those keys that are known."""
+        young, old = self.young, self.old  # filling up below replaces both
+        found = {k: young[k] for k in keys if k in young}
+        for key in keys & old.keys():
+            if key not in found:
+                found[key] = self.put(key, old[key])
+        return found
+
+    def put(self, key, value):
         if len(self.young) >= self.most:
             self.young, self.old = {}, self.young
         self.young[key] = value
+        return value

@@ -353,6 +353,12 @@ def test_remembered_is_bounded():
     for k in range(50):
         kept.put(k, k)
         assert kept.get(0) in (0, None) and len(kept.young) + len(kept.old) <= 6
+    for k in range(50):
+        asked = {k, k // 2, k // 3, 100 + k, *range(k)}
+        there = asked & (kept.young.keys() | kept.old.keys())
+        assert kept.of(asked) == {key: key for key in there}
+        kept.put(k, k)
+        assert len(kept.young) + len(kept.old) <= 6
 
 
 def test_pipeline_takes_effect_stage_by_stage(spark):
@@ -392,5 +398,5 @@ def test_pipeline_takes_effect_stage_by_stage(spark):
 
 def test_every_operator_is_registered():
     names = list(catalog.queries())
-    assert [n.split("_")[0] for n in names] == [f"op{n}" for n in range(1, 11)]
+    assert [n.split("_")[0] for n in names] == [f"op{n}" for n in range(1, 14)]
     assert set(catalog.oracle_sql()) <= set(names)
