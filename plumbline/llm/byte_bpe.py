@@ -10,6 +10,7 @@ Spark deals the texts to the tasks; no row depends on another, so nothing is shu
 from __future__ import annotations
 
 import base64
+import gc
 import heapq
 import re
 from collections.abc import Iterator
@@ -26,6 +27,8 @@ from plumbline.llm.portions import Remembered, give_back, portions
 
 #: Fixed value: what the pattern of the tokenizers means by white space.
 WHITE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
+#: Fixed value: the first character after the Latin letters whose properties are old in all versions of Unicode.
+BEYOND_LATIN = "\u0250"
 #: Stretches and pieces whose ids a task remembers, and the longest stretch (characters) among them.
 REMEMBERED = 150_000
 SHORT_STRETCH = 40
@@ -165,26 +168,29 @@ class Coder:
     def code(self, pieces: set[str]) -> dict[str, bytes]:
         """Ids of each piece; the new ones are contracted."""
         coded = self.known.of(pieces)
-        short = []
+        short, raws, found = [], [], {}
         for piece in pieces - coded.keys():
             raw = piece.encode()
             rank = self.ranks.get(raw)
             if rank is not None:
-                coded[piece] = self.known.put(piece, self.pack([rank]))
+                found[piece] = self.pack([rank])
             elif len(raw) > LONG_PIECE:
                 coded[piece] = self.pack(self.contract_long(raw))
             else:
-                short.append((len(raw), raw, piece))
+                short.append(piece), raws.append(raw)
         # Pieces of one length need about as many rounds.
-        short.sort()
-        rows = np.cumsum([n * n // 2 for n, _, _ in short])
+        lengths = np.array([len(raw) for raw in raws], dtype=np.int64)
+        order = np.argsort(lengths, kind="stable")
+        rows = np.cumsum(lengths[order] ** 2 // 2)
         start = 0
         while start < len(short):
             made = rows[start - 1] if start else 0
             end = max(start + 1, int(np.searchsorted(rows, made + ROWS_AT_ONCE, side="right")))
-            for (n, _, piece), ids in zip(short[start:end], self.contract([raw for _, raw, _ in short[start:end]]), strict=True):
-                coded[piece] = self.known.put(piece, ids) if n <= 4 * SHORT_STRETCH else ids
+            some = order[start:end].tolist()
+            found.update(zip([short[k] for k in some], self.contract([raws[k] for k in some]), strict=True))
             start = end
+        coded.update(found)
+        self.known.put_all({piece: ids for piece, ids in found.items() if len(piece) <= SHORT_STRETCH})
         return coded
 
     @staticmethod
@@ -204,17 +210,16 @@ class Coder:
         return [" " + word for word in distinct] + firsts, numbers, bounds
 
     def ids_of(self, stretches: list[str]) -> dict[str, bytes]:
-        """Ids of each stretch; a word of ASCII letters, with or without its blank, is a piece by itself."""
+        """Ids of each stretch; a word of Latin letters, with or without its blank, is a piece by itself."""
         distinct = set(stretches)
         known = self.known.of(distinct)
         fresh = distinct - known.keys()
-        words = {s for s in fresh if s.isascii() and s[s[:1] == " " :].isalpha()}
+        words = {s for s in fresh if s[s[:1] == " " :].isalpha() and (s.isascii() or max(s) < BEYOND_LATIN)}
         mixed = {s: self.pieces.findall(s) for s in fresh - words}
         coded = self.code(words.union(*mixed.values()))
-        for stretch, pieces in mixed.items():
-            known[stretch] = coded[pieces[0]] if len(pieces) == 1 else b"".join([coded[p] for p in pieces])
-            if len(pieces) > 1 and len(stretch) <= SHORT_STRETCH:
-                self.known.put(stretch, known[stretch])
+        joined = {s: b"".join([coded[p] for p in own]) for s, own in mixed.items()}
+        known.update(joined)
+        self.known.put_all({s: ids for s, ids in joined.items() if len(s) <= SHORT_STRETCH and s not in coded})
         known.update((word, coded[word]) for word in words)
         return known
 
@@ -286,7 +291,10 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
         for frame in frames:
             texts = ["" if t is None else t for t in frame["text"]]
             for start, end in portions(texts, CODED_AT_ONCE):
-                yield pd.DataFrame({"doc_id": frame["doc_id"].iloc[start:end], "ids": list(own.encode(texts[start:end]))})
+                gc.disable()  # a portion makes no cycles, and millions of objects to walk through
+                ids = list(own.encode(texts[start:end]))
+                gc.enable()
+                yield pd.DataFrame({"doc_id": frame["doc_id"].iloc[start:end], "ids": ids})
         own.db.close()
         del own
         give_back()

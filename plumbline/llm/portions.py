@@ -5,6 +5,7 @@ from __future__ import annotations
 import ctypes
 import gc
 from collections.abc import Iterator
+from itertools import islice
 
 import pyarrow as pa
 
@@ -55,6 +56,14 @@ class Remembered:
                 found[key] = self.put(key, old[key])
         return found
 
+    def put_all(self, found: dict) -> None:
+        """Put many values, as ``put`` does one by one."""
+        items = iter(found.items())
+        for _ in range(0, len(found), max(1, self.most)):
+            self.young.update(islice(items, self.most - len(self.young)))
+            if len(self.young) >= self.most:
+                self.young, self.old = dict(islice(items, self.most)), self.young
+
     def put(self, key, value):
         if len(self.young) >= self.most:
             self.young, self.old = {}, self.young

@@ -359,6 +359,9 @@ def test_remembered_is_bounded():
         assert kept.of(asked) == {key: key for key in there}
         kept.put(k, k)
         assert len(kept.young) + len(kept.old) <= 6
+        kept.put_all({key: key for key in range(k % 11)})
+        assert kept.of({k % 11 - 1}) == ({k % 11 - 1: k % 11 - 1} if k % 11 else {})
+        assert len(kept.young) + len(kept.old) <= 6
 
 
 def test_pipeline_takes_effect_stage_by_stage(spark):
