@@ -110,6 +110,7 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op1_ngram_jaccard": jaccard_join.SQL,
         "op2_decontaminate": decontaminate.SQL,
         "op5_exact_dedup": exact_dedup.SQL,
         "op11_centroid_clustering": centroids.sql(),

@@ -434,3 +434,35 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     return without_rows(
         docs, dropped=judged.where("key <> first_key").select("key"), repeated=counted.select("key"), same=F.coalesce("text", F.lit(""))
     )
+
+
+# All pairs that share a shingle, and their reach: for small tables.
+SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[k : k + 4], ' ') AS shingle
+  FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(1, len(w) - 4))) AS k FROM words WHERE len(w) > 0)
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared
+  FROM shingles x JOIN shingles y ON x.shingle = y.shingle AND x.doc_id < y.doc_id GROUP BY ALL
+),
+links AS (
+  SELECT a, b FROM common JOIN sizes s ON s.doc_id = a JOIN sizes t ON t.doc_id = b
+  WHERE 100 * shared >= 75 * (s.n + t.n - shared)
+),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (
+  SELECT doc_id, doc_id AS other FROM documents
+  UNION
+  SELECT doc_id, b FROM reach JOIN edges ON a = other
+),
+least AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id
+FROM documents d JOIN least USING (doc_id) LEFT JOIN sizes USING (doc_id)
+"""
