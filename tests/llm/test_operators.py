@@ -326,6 +326,7 @@ def test_tokens_are_those_of_the_library(spark, documents):
     known = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=byte_bpe.read_ranks(path), special_tokens={})
     dice = random.Random(1)
     odd = ["", " ", "  a  b ", "a\x1cb", "x" * 3000, "don't I'll\n\n x \t y", "日本語 １２³ ½", "<|endoftext|>", "a　 b", "\x85 z", "ab" * 500 + " q"]
+    odd += ["x" * 5000, "-" * 4000 + " b", "日本語" * 700, "".join(dice.choice("abcdefghij") for _ in range(3500))]
     odd += ["".join(dice.choice("ab  \n\t'strellve.,!é日\x1c\U0001f600́ 1२") for _ in range(dice.randint(0, 60))) for _ in range(500)]
     frame = spark.createDataFrame(list(enumerate(odd)), "doc_id long, text string")
     for given in (frame, documents.where("doc_id < 200")):
