@@ -204,18 +204,27 @@ def compact_partitions(spark, sf):
     return spark.read.parquet(path)
 
 
+#: Rows of the table for each task that writes its large files, and its small ones.
+LARGE_ROWS, SMALL_ROWS = 1_000_000, 200_000
+
+
 @query(
     "compact_small_files",
     "l_orderkey:i l_linenumber:i l_quantity:f l_returnflag:s l_shipdate:t",
     "SELECT l_orderkey, l_linenumber, l_quantity, l_returnflag, l_shipdate FROM lineitem",
 )
 def compact_small_files(spark, sf):
-    """A table of one large and many small files per partition, of which the small ones are merged."""
+    """A table of large and many small files per partition, of which the small ones are merged.
+
+    One large file per partition and six small ones, more where a task would write more than
+    ``LARGE_ROWS`` or ``SMALL_ROWS`` rows.
+    """
     lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag", "l_shipdate")
     path = scratch_path(spark, "small")
     late = col("l_linenumber") > 4
-    lines.where(~late).repartition(1).write.partitionBy("l_returnflag").parquet(path)
-    lines.where(late).repartition(6).write.mode("append").partitionBy("l_returnflag").parquet(path)
+    n, key = lines.count(), ["l_orderkey", "l_linenumber"]
+    lines.where(~late).repartition(-(-n // LARGE_ROWS) or 1, *key).write.partitionBy("l_returnflag").parquet(path)
+    lines.where(late).repartition(max(6, -(-n // SMALL_ROWS)), *key).write.mode("append").partitionBy("l_returnflag").parquet(path)
     large = max(size for (size,) in spark.read.parquet(path).select("_metadata.file_size").distinct().collect())
     landing.compact_small_files(spark, path, ["l_returnflag"], large // 2)
     return spark.read.parquet(path)

@@ -5,6 +5,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from plumbline.checks import source_queries
 from plumbline.columns import col
 from plumbline.operators import clean, observed, profile
 from plumbline.sources import landing, tables
@@ -119,3 +120,25 @@ def test_a_killed_compaction_is_finished(spark, tmp_path, rows, monkeypatch, mom
         os.remove(first)
     assert landing.compact_small_files(spark, path, ["p p"], limit) == 10
     assert rows(spark.read.parquet(path).select("id", "t", "p p")) == wanted
+
+
+def test_files_to_compact_are_written_by_many_tasks(spark, monkeypatch, rows, tmp_path):
+    """Neither the large nor the small files of the query go through a fixed number of tasks."""
+    path = str(tmp_path / "lineitem.parquet")
+    lines = spark.range(4_000).select(
+        col("id").alias("l_orderkey"), (col("id") % 7 + 1).alias("l_linenumber"), F.rand(1).alias("l_quantity"), F.lit("A").alias("l_returnflag"), F.current_timestamp().alias("l_shipdate")
+    )
+    lines.write.parquet(path)
+    monkeypatch.setattr(source_queries, "LARGE_ROWS", 1_000)
+    monkeypatch.setattr(source_queries, "SMALL_ROWS", 400)
+    written = []
+
+    def compact(session, place, *_):
+        written.extend(parts(place))
+        return landing_step(session, place, *_)
+
+    landing_step = landing.compact_small_files
+    monkeypatch.setattr(landing, "compact_small_files", compact)
+    found = source_queries.compact_small_files(spark, str(tmp_path))
+    assert len(written) == 4 + 10
+    assert rows(found, "l_orderkey", "l_linenumber") == rows(spark.read.parquet(path), "l_orderkey", "l_linenumber")
