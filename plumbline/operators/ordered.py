@@ -4,7 +4,7 @@ A window partitioned by series sorts a whole series in one task. That is the che
 while every series is small, and impossible when one series holds a third of the table. So
 each operator here has two exact forms, and the caller's ``layout`` says which one runs:
 
-* **plain** (``WHOLE``, the default): one window per series;
+* **plain** (``WHOLE``, the default but in ``chronological_split``): one window per series;
 * **split** (``Layout(True, chunks)``): rows are range-partitioned by (series, order) into
   chunks of even size, the window runs inside (series, chunk), and one small row per
   (series, chunk) carries what a chunk must know about the chunks before and after it.
@@ -30,28 +30,36 @@ from plumbline.session import cut_lineage
 CHUNK = "__chunk"
 GROUP_LIMIT = 1000
 PARTS = 256
+#: Rows of a chunk, about.
+CHUNK_ROWS = 200_000
 
 
 @dataclass(frozen=True)
 class Layout:
-    """Whether series are split over tasks, and into how many chunks the table is cut
-    (by default as many as there are shuffle partitions)."""
+    """Whether series are split over tasks, and into how many chunks the table is cut at least;
+    more are made where a chunk would hold more than ``CHUNK_ROWS`` rows."""
 
     split: bool
-    chunks: int | None = None
+    chunks: int = 1
 
 
 WHOLE = Layout(False)
+SPLIT = Layout(True)
 
 
 def chunked(
-    df: DataFrame, series: Sequence[str], order: Sequence[str], chunks: int | None = None
-) -> DataFrame:
-    """Add (series, chunk number) as one struct; chunks are ordered within a series and of even size."""
-    keys = ordering([*series, *order])
-    ranged = df.repartitionByRange(chunks, *keys) if chunks else df.repartitionByRange(*keys)
+    df: DataFrame, series: Sequence[str], order: Sequence[str], layout: Layout = SPLIT
+) -> tuple[DataFrame, DataFrame]:
+    """Add (series, chunk number) as one struct; chunks are ordered within a series and of even size.
+
+    Returns the rows as written, for aggregates, and dealt by chunk to as many tasks as there are
+    chunks, for windows: what a task holds does not grow with the table.
+    """
+    chunks = max(layout.chunks, -(-df.count() // CHUNK_ROWS))
+    ranged = df.repartitionByRange(chunks, *ordering([*series, *order]))
     place = F.struct(*[col(s).alias(f"s_{i}") for i, s in enumerate(series)], F.spark_partition_id().alias("n"))
-    return cut_lineage(ranged.withColumn(CHUNK, place))
+    written = cut_lineage(ranged.withColumn(CHUNK, place))
+    return written, written.repartition(chunks, col(CHUNK))
 
 
 def _series_window(series: Sequence[str]):
@@ -86,14 +94,14 @@ def neighbours(
     layout = layout or WHOLE
     names = {side: {c: f"__{side}_{c}" for c in columns} for side in sides}
     total = total_order(df, order, series)
-    base = chunked(df, series, order, layout.chunks) if layout.split else df
+    base, dealt = chunked(df, series, order, layout) if layout.split else (df, df)
     inside = Window.partitionBy(CHUNK) if layout.split else _series_window(series)
     windows = {"prev": inside.orderBy(*ordering(total)), "next": inside.orderBy(*_descending(total))}
 
     def nearest(c: str, side: str) -> Column:
         return F.last(col(c), ignorenulls=True).over(windows[side].rowsBetween(Window.unboundedPreceding, -1))
 
-    local = base.withColumns({names[side][c]: nearest(c, side) for side in sides for c in columns})
+    local = dealt.withColumns({names[side][c]: nearest(c, side) for side in sides for c in columns})
     if not layout.split:
         return local
 
@@ -136,10 +144,10 @@ def number_rows(
     if not layout.split:
         window = _series_window(series).orderBy(*total)
         return df.withColumn(name, F.row_number().over(window).cast("long"))
-    base = chunked(df, series, order, layout.chunks)
+    base, dealt = chunked(df, series, order, layout)
     sizes = base.groupBy(CHUNK).agg(F.count(F.lit(1)).alias("__n"))
     offsets = sizes.select(CHUNK, F.coalesce(F.sum("__n").over(_chunks_of_series(series)), F.lit(0)).alias("__offset"))
-    numbered = base.withColumn("__inside", F.row_number().over(Window.partitionBy(CHUNK).orderBy(*total)))
+    numbered = dealt.withColumn("__inside", F.row_number().over(Window.partitionBy(CHUNK).orderBy(*total)))
     placed = numbered.join(offsets, CHUNK).withColumn(name, (col("__offset") + col("__inside")).cast("long"))
     return placed.select(*[col(c) for c in [*df.columns, name]])
 
@@ -213,9 +221,10 @@ def chronological_split(
 ) -> DataFrame:
     """Add ``part``: the first int(n*train) rows train, the next int(n*validation) validate.
 
-    A row left over by the two truncations gets NULL.
+    A row left over by the two truncations gets NULL. Series are split unless ``layout`` says
+    otherwise: few series, such as areas, each hold much of a table.
     """
-    numbered = number_rows(df, [ts, *tie_break], series, name="__position", layout=layout)
+    numbered = number_rows(df, [ts, *tie_break], series, name="__position", layout=layout or SPLIT)
     keys = list(series)
     total = df.groupBy(*[col(k) for k in keys]).agg(F.count(F.lit(1)).alias("__total"))
     if keys:

@@ -95,3 +95,16 @@ def test_pivots_refuse_to_find_endless_columns(spark, monkeypatch):
     monkeypatch.setattr(series, "MOST_COLUMNS", 5)
     with pytest.raises(ValueError, match="more than 5 values of k"):
         series.pivot_wide(frame, ["t"], "k", "id", ["id"])
+
+
+def test_a_long_series_is_split_over_tasks(spark, rows, monkeypatch, plan):
+    """Without a layout too, and into more chunks than asked for where they would be long."""
+    monkeypatch.setattr(ordered, "CHUNK_ROWS", 100)
+    frame = spark.range(2_000).select("id", (F.col("id") % 500).alias("t"), F.lit("a").alias("s"))
+    split = ordered.chronological_split(frame, "t", ["id"], ["s"])
+    whole = ordered.chronological_split(frame, "t", ["id"], ["s"], layout=ordered.WHOLE)
+    assert rows(split) == rows(whole)
+    assert "hashpartitioning(__chunk" in plan(split) and "hashpartitioning(s#" not in plan(split)
+    written, dealt = ordered.chunked(frame, ["s"], ["t", "id"], ordered.Layout(True, 3))
+    assert dealt.rdd.getNumPartitions() == 20
+    assert written.groupBy(ordered.CHUNK).count().agg(F.max("count")).first()[0] < 300
