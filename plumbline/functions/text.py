@@ -42,14 +42,13 @@ def normalize_text(
     lower: bool = False,
     tokens: Sequence[str] = (),
 ) -> DataFrame:
-    """Lower-case (optional), trim, underscore and NULL-homogenise in one projection."""
+    """Lower-case (optional), trim, underscore and NULL-homogenise in one pass."""
     names = string_columns(df) if columns is None else list(columns)
-    out = {}
-    for name in names:
-        value = F.lower(col(name)) if lower else col(name)
-        value = underscored(value)
-        out[name] = tokens_to_null(value, tokens) if tokens else value
-    return df.withColumns(out) if out else df
+    if not names:
+        return df
+    cleaned = df.withColumns({n: underscored(F.lower(col(n)) if lower else col(n)) for n in names})
+    # A step of its own, which reads each cleaned text twice: in one expression it would be cleaned for each reading.
+    return nullify_tokens(cleaned, tokens, names) if tokens else cleaned
 
 
 def strip_all(df: DataFrame) -> DataFrame:

@@ -99,6 +99,8 @@ def trust_accidents(df: DataFrame, as_of: Column | None = None, by: tuple[str, .
 
     Rows whose report number is missing or blanked are no copies of each other and stay.
     """
+    # Read by the reports, the rules and two kinds of rows: the formatting behind it runs once.
+    df = cut_lineage(df)
     reports = assess(df, [TIME], as_of)
     reports |= assess_rules(df, rules())
     repaired = recode_unlisted(enforce_null(df, rules()), "vict_sex", SEXES)

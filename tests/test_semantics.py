@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from plumbline.checks import chain_queries
 from plumbline.columns import col
 from plumbline.functions import calendar as cal
 from plumbline.functions import categories as cat
@@ -474,3 +475,20 @@ def test_correlations_skip_missing_values_pair_by_pair(spark):
     found = {(r.a, r.b): r["corr"] for r in stats.correlations(frame, ["a", "b", "c"]).collect()}
     assert found[("a", "b")] == pytest.approx(1.0) and found[("b", "c")] == pytest.approx(1.0)
     assert len(found) == 9 and found[("a", "c")] == found[("c", "a")]
+
+
+def test_texts_are_cleaned_once(spark, plan, rows):
+    """A cleaned text is compared with the tokens and kept: one replacement per column, and the same texts."""
+    frame = spark.createDataFrame([(" a  b ", "NA"), ("", None), (" N/A ", "x")], "a string, b string")
+    done = text.normalize_text(frame.filter("a IS NOT NULL"), tokens=text.EVENT_NULLS)
+    assert rows(done) == sorted([("a_b", None), (None, None), (None, "x")], key=repr)
+    assert plan(done).count("regexp_replace") == 2
+
+
+def test_formatted_accidents_are_read_once(spark, plan, monkeypatch):
+    """The reports, the rules and the copies read written rows, not the formatting again."""
+    seen = []
+    assess = accidents.assess
+    monkeypatch.setattr(accidents, "assess", lambda df, *rest: seen.append(plan(df)) or assess(df, *rest))
+    chain_queries.view_event_weather_chain(spark, "/root/testdata/sf0.001")
+    assert seen and "regexp_replace" not in seen[0]
