@@ -87,3 +87,12 @@ def test_severity_model_and_its_results(spark, tmp_path):
     assert read["correlations"].count() == 81
     assert read["feature_importance"].count() <= 20
     assert read["classification_report"].agg(F.sum("support")).first()[0] == parts.filter("part = 'validation'").count()
+
+
+def test_the_cut_reads_written_rows(spark, monkeypatch, plan):
+    """The cut takes many passes over its rows: no join or shuffle is left to run in each."""
+    taken = []
+    cut = analysis.chronological_cut
+    monkeypatch.setattr(analysis, "chronological_cut", lambda rows, *names: taken.append(plan(rows)) or cut(rows, *names))
+    analysis.severity_parts(features(spark, SF_DIR))
+    assert len(taken) == 1 and "Join" not in taken[0] and "Exchange" not in taken[0]
