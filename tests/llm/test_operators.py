@@ -404,3 +404,15 @@ def test_every_operator_is_registered():
     names = list(catalog.queries())
     assert [n.split("_")[0] for n in names] == [f"op{n}" for n in range(1, 14)]
     assert set(catalog.oracle_sql()) <= set(names)
+
+
+def test_texts_of_pages_that_markup_decides_are_not_written(spark):
+    notice = "all rights reserved by the people who made this small site in spring"
+    rows = [(k, f"http://h.example/{k}", f"<article>{prose(k, 30)}</article><footer>{notice}</footer>") for k in range(4)]
+    rows += [(k, f"http://h.example/{k}", f"<nav>a menu</nav><div>{notice}</div><div>{prose(k, 30)}</div>") for k in range(4, 7)] + [(7, None, "")]
+    pages = spark.createDataFrame(rows + rows[:1] + rows[4:5], "page_id long, url string, html string")
+    written = {r["page_id"]: r["blocks"] for r in html_text.parsed_pages(pages).collect()}
+    assert [k for k in sorted(written) if written[k] is not None] == [4, 5, 6]
+    assert [b["text"] for b in written[4]] == [None, notice, prose(4, 30)]
+    found = sorted((r["page_id"], r["text"]) for r in html_text.main_text(pages).collect())
+    assert found == sorted([(k, prose(k, 30)) for k in [*range(7), 0, 4]] + [(7, "")])
