@@ -3,10 +3,12 @@
 import hashlib
 import random
 import re
+import string
 
 import brute
 import corpus_pipeline
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 import tiktoken
@@ -416,3 +418,58 @@ def test_texts_of_pages_that_markup_decides_are_not_written(spark):
     assert [b["text"] for b in written[4]] == [None, notice, prose(4, 30)]
     found = sorted((r["page_id"], r["text"]) for r in html_text.main_text(pages).collect())
     assert found == sorted([(k, prose(k, 30)) for k in [*range(7), 0, 4]] + [(7, "")])
+
+
+def test_shingle_sets_are_those_of_the_words():
+    dice = random.Random(7)
+    given = [None, "", " \t\n", "a b", "A  b", "É x", "é x", "x" * 40 + " B c d e", "X" * 40 + " b c d e f", "tail"]
+    given += ["".join(dice.choice(["ab", "C", "é", "東", "q" * 40, " ", "\n", "\x0b", "\xa0", "1"]) for _ in range(dice.randint(0, 90))) for _ in range(400)]
+    given.append(" ".join(f"w{dice.randrange(10**6)}" for _ in range(300_000)))
+    lower = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
+    cut = [re.findall(r"[^\x20\x09-\x0D]+", (t or "").translate(lower)) for t in given]
+    plain = [{tuple(w[k : k + 5]) for k in range(len(w) - 4)} if len(w) > 4 else {tuple(w)} - {()} for w in cut]
+    found = list(jaccard_join.shingle_sets(given))
+    assert [len(f) for f in found] == [len(p) for p in plain]
+    for x, y in [(dice.randrange(len(given)), dice.randrange(len(given))) for _ in range(3_000)]:
+        assert len(np.intersect1d(found[x], found[y])) == len(plain[x] & plain[y])
+
+
+def test_blocks_keep_the_pairs_that_parities_do_not_refute():
+    dice = np.random.default_rng(5)
+    base = [np.unique(dice.integers(0, 1 << 62, n, dtype=np.uint64)) for n in (20, 33, 140)]
+    sets = [np.union1d(b[dice.random(len(b)) < 0.95], dice.integers(0, 1 << 62, k, dtype=np.uint64)) for b in base for k in range(12)]
+    rows = [(f"{k:02}".encode(), len(s), bool(k % 3), f"{k % 5}".encode(), jaccard_join.parity(s)) for k, s in enumerate(sets)]
+    frame = pd.DataFrame(rows, columns=["id", "n", "own", "root", "parity"])
+    blocks = pd.concat([frame.assign(first=True)[::2], frame.assign(first=False)]).assign(alone=False)
+    found = jaccard_join.possible_pairs(blocks)
+    once = jaccard_join.possible_pairs(frame.assign(first=[k % 2 == 0 for k in range(len(frame))], alone=True))
+    assert set(zip(found["a"], found["b"])) == set(zip(once["a"], once["b"]))
+    expected = set()
+    for x in rows[::2]:
+        for y in rows:
+            least = max(abs(x[1] - y[1]), jaccard_join.least_difference(x[4], y[4]))
+            if x[3] != y[3] and (x[2] or y[2]) and 100 * (x[1] + y[1] - least) >= 75 * (x[1] + y[1] + least):
+                expected.add((min(x[0], y[0]), max(x[0], y[0])))
+    assert set(zip(found["a"], found["b"])) == expected
+    assert len(expected) > 50
+
+
+def test_regions_without_a_member_at_home_or_a_second_set_vanish(spark):
+    postings = [(1, 10, True), (1, 10, True), (2, 10, False), (2, 12, False), (3, 10, True), (3, 12, False), (3, 12, False), (4, 10, False), (4, 12, True)]
+    frame = spark.createDataFrame(postings, "region long, id long, own boolean")
+    found = jaccard_join.shared_regions(frame).collect()
+    assert sorted((r["id"], r["own"]) for r in found) == [(10, True), (12, True)]
+    assert len({r["region"] for r in found}) == 1
+
+
+def test_near_copies_that_do_not_link_are_compared_in_one_round(spark, monkeypatch):
+    def never(*_):
+        raise AssertionError("split")
+
+    monkeypatch.setattr(jaccard_join.Join, "split", never)
+    dice = random.Random(6)
+    vocabulary = [f"w{k}" for k in range(3_000)]
+    numbered = list(enumerate(family(dice, vocabulary, 80, 620, 7, False)))
+    frame = spark.createDataFrame(numbered, "doc_id long, text string")
+    found = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.near_duplicates(frame).collect()}
+    assert found == brute.near(numbered)
