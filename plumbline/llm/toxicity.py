@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from plumbline.llm import common
 from plumbline.llm.common import broadcast_up_to
-from plumbline.llm.portions import Remembered, portions
+from plumbline.llm.portions import Remembered, give_back, portions
 from plumbline.session import cut_lineage
 
 #: Labelled rows per class that a fit reads at most, in expectation (chosen by a hash of doc_id).
@@ -226,6 +226,8 @@ def choose_terms(examples: DataFrame, rates: dict[int, float]) -> list[str]:
         for k in range(0, len(terms), 20_000):
             some = terms[k : k + 20_000]
             yield pd.DataFrame({"term": some, "toxic": [counted[1][t] for t in some], "clean": [counted[0][t] for t in some]})
+        del counted, terms
+        give_back()
 
     partly = examples.select("text", "toxic").mapInPandas(held, "term string, toxic long, clean long")
     sums = partly.groupBy("term").agg(F.sum("toxic").alias("a"), F.sum("clean").alias("b"))
@@ -251,6 +253,8 @@ def inverse_frequencies(docs: DataFrame, chosen: list[str]) -> dict[str, float]:
                 found = {n for w in set(WORD.findall((text or "").lower())) for n in terms.hits(w)}
                 total[list(found)] += 1
         yield pd.DataFrame({"term": [*chosen, None], "n": [*total.tolist(), rows]})
+        del terms
+        give_back()
 
     counted = docs.select("text").mapInPandas(held, "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
     found = {r["term"]: r["n"] for r in counted.collect()}
@@ -325,15 +329,26 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     return docs.select("doc_id", "text").mapInPandas(run, f"doc_id {kind}, score double, evidence array<string>")
 
 
+def rejections(model: Model, least: float, batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """Whether each text scores ``least`` or more, by bounded portions; what a task took it gives back."""
+    seen = Remembered(100_000)
+    for batch in batches:
+        texts = ["" if t is None else t for t in batch]
+        found = np.zeros(len(texts), dtype=bool)
+        for start, end in portions(texts):
+            found[start:end] = [s >= least for s, _ in model.scores(texts[start:end], seen)]
+        yield pd.Series(found, index=batch.index)
+    model.terms.known = Remembered(model.terms.known.most)
+    del seen
+    give_back()
+
+
 def toxic_rows(docs: DataFrame, model: Model, least: float = 0.5) -> Column:
     """For a filter: whether the text of a row scores ``least`` or more."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("boolean")
     def rejected(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        own, seen = shared.value, Remembered(100_000)
-        for batch in batches:
-            texts = ["" if t is None else t for t in batch]
-            yield pd.Series([s >= least for s, _ in own.scores(texts, seen)], index=batch.index, dtype=bool)
+        yield from rejections(shared.value, least, batches)
 
     return rejected(F.col("text"))

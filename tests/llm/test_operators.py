@@ -473,3 +473,21 @@ def test_near_copies_that_do_not_link_are_compared_in_one_round(spark, monkeypat
     frame = spark.createDataFrame(numbered, "doc_id long, text string")
     found = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.near_duplicates(frame).collect()}
     assert found == brute.near(numbered)
+
+
+def test_toxic_rows_work_in_portions_and_give_memory_back(monkeypatch):
+    sizes, given = [], []
+
+    class Counted(toxicity.Model):
+        def scores(self, texts, seen):
+            sizes.append(len(texts))
+            return super().scores(texts, seen)
+
+    monkeypatch.setattr(toxicity, "give_back", lambda: given.append(True))
+    model = Counted(toxicity.Terms({"bad": 2.0}), None, (1.0, 1.0), 1.0, 0.0, 0.7)
+    found = list(toxicity.rejections(model, 0.5, iter([pd.Series(["bad day", None, ""] * 1_000), pd.Series([], dtype=object)])))
+    assert [len(f) for f in found] == [3_000, 0]
+    assert found[0].all()
+    assert max(sizes) <= portions.MOST_ROWS
+    assert given == [True]
+    assert not model.terms.known.young
