@@ -491,3 +491,14 @@ def test_toxic_rows_work_in_portions_and_give_memory_back(monkeypatch):
     assert max(sizes) <= portions.MOST_ROWS
     assert given == [True]
     assert not model.terms.known.young
+
+
+def test_lines_are_compared_by_their_shingles():
+    dice = random.Random(8)
+    base = [prose(k, 8) for k in range(6)] + ["ab", "abcd", "abcde", "é東 x"]
+    lines = [b[:k] + c + b[k:] for b in base for c in ("", "x", "yy zz") for k in (0, len(b) // 2)]
+    pairs = [(dice.choice(lines), dice.choice(lines)) for _ in range(3_000)] + [(x, y) for x in lines[:12] for y in lines[:12]]
+    sets = {x: {x[k : k + 5] for k in range(max(1, len(x) - 4))} for x in lines}
+    expected = [100 * len(sets[x] & sets[y]) >= 75 * len(sets[x] | sets[y]) for x, y in pairs]
+    assert line_dedup.similar([x for x, _ in pairs], [y for _, y in pairs]) == expected
+    assert 100 < sum(expected) < len(expected) - 100
