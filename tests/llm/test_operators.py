@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 import string
+import tracemalloc
 
 import brute
 import corpus_pipeline
@@ -502,3 +503,44 @@ def test_lines_are_compared_by_their_shingles():
     expected = [100 * len(sets[x] & sets[y]) >= 75 * len(sets[x] | sets[y]) for x, y in pairs]
     assert line_dedup.similar([x for x, _ in pairs], [y for _, y in pairs]) == expected
     assert 100 < sum(expected) < len(expected) - 100
+
+
+def test_shingles_are_counted_in_one_buffer(monkeypatch):
+    dice, given = np.random.default_rng(9), []
+    sets = [np.unique(dice.integers(0, 90, dice.integers(0, 40), dtype=np.uint64)) for _ in range(80)]
+    for most in (1, 10, 60, 10_000):
+        runs = [[]]
+        for s in sets:
+            if sum(map(len, runs[-1])) + len(s) > most:
+                runs.append([])
+            runs[-1].extend([s] if len(s) <= most else [])
+        counted = [np.unique(np.concatenate([sets[0][:0], *run]), return_counts=True) for run in runs]
+        found = list(jaccard_join.repeated_values(iter(sets), most))
+        assert [(v.tolist(), n.tolist()) for v, n in found] == [(v[n > 1].tolist(), n[n > 1].tolist()) for v, n in counted]
+    large = [np.arange(k, k + 10_000, dtype=np.uint64) for k in range(50)]
+    tracemalloc.start()
+    assert len(list(jaccard_join.repeated_values(iter(large), 500_000))) == 1
+    # The buffer, where runs begin and end, and the result; four copies of all sets before.
+    assert tracemalloc.get_traced_memory()[1] < 1.6 * sum(s.nbytes for s in large)
+    tracemalloc.stop()
+
+
+def test_tasks_of_the_jaccard_join_give_memory_back(monkeypatch):
+    class Taken:
+        """Stands for a frame: keeps the function that a task would run."""
+
+        sparkSession = None
+
+        def select(self, *columns):
+            return self
+
+        def mapInPandas(self, run, schema):
+            self.run = run
+            return self
+
+    given, texts = [], Taken()
+    monkeypatch.setattr(jaccard_join, "give_back", lambda: given.append(True))
+    found = pd.concat(jaccard_join.local_counts(texts).run(iter([pd.DataFrame({"text": ["a b c d e f", None, "a b c d e g", "x"]})])))
+    assert sorted(found["n"].tolist()) == [2, 5]
+    assert found["shingle"].isna().sum() == 1
+    assert given == [True, True]
