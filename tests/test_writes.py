@@ -1,10 +1,12 @@
 """Counts taken in flight, the empty gate by one job, and compaction of small files only."""
 
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
+from plumbline import session
 from plumbline.checks import source_queries
 from plumbline.columns import col
 from plumbline.operators import clean, observed, profile
@@ -142,3 +144,19 @@ def test_files_to_compact_are_written_by_many_tasks(spark, monkeypatch, rows, tm
     found = source_queries.compact_small_files(spark, str(tmp_path))
     assert len(written) == 4 + 10
     assert rows(found, "l_orderkey", "l_linenumber") == rows(spark.read.parquet(path), "l_orderkey", "l_linenumber")
+
+
+def test_cut_lineage_leaves_no_shuffle_files(spark):
+    def files():
+        manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        return {f for f in manager.getAllFiles().mkString(",").split(",") if "shuffle_" in f}
+
+    before, setting = files(), spark.conf.get(session.SHUFFLE_CLEANUP, None)
+    counted = session.cut_lineage(spark.range(10_000).groupBy((F.col("id") % 100).alias("k")).count())
+    joined = session.cut_lineage(counted.join(counted.withColumnRenamed("count", "n").hint("merge"), "k"))
+    until = time.monotonic() + 20
+    while files() - before and time.monotonic() < until:
+        time.sleep(0.2)
+    assert not files() - before
+    assert spark.conf.get(session.SHUFFLE_CLEANUP, None) == setting
+    assert joined.agg(F.sum("n")).first()[0] == 10_000
