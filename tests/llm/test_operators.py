@@ -544,3 +544,39 @@ def test_tasks_of_the_jaccard_join_give_memory_back(monkeypatch):
     assert sorted(found["n"].tolist()) == [2, 5]
     assert found["shingle"].isna().sum() == 1
     assert given == [True, True]
+
+
+def test_notices_inside_articles_are_found_by_repetition(spark, monkeypatch):
+    notice = "Subscribe to our weekly letter and never miss a story of this small site again"
+    line = "one passage that a few of the many pages of a host quote from each other here"
+    article = lambda k, extra="": f"<article><h1>{prose(k, 4)}</h1><p>{prose(100 + k, 30)}</p><p>{extra}</p></article>"
+    whole = lambda k, extra="": "\n\n".join(x for x in (prose(k, 4), prose(100 + k, 30), extra) if x)
+    rows = [(k, f"http://h.example/{k}", article(k, notice) + "<nav>a menu</nav>") for k in range(5)]
+    # Pages with an open block: their own article loses the notice as well, and so does the block.
+    rows += [(k, f"http://h.example/{k}", article(k, notice) + f"<div>{prose(200 + k, 12)}</div><div>{notice}</div>") for k in (5, 6)]
+    # A host whose pages quote each other, but too few of them; a host that holds one article five times; three pages only.
+    rows += [(k, f"http://i.example/{k}", article(k, line if k < 13 else "")) for k in range(10, 20)]
+    rows += [(k, f"http://j.example/{k}", article(30) + f"<footer>{k}</footer>") for k in range(30, 35)]
+    rows += [(k, f"http://k.example/{k}", article(k, notice)) for k in (40, 41, 42)]
+    # An excerpt of another page's article outside an article goes, a whole page that is one stays.
+    rows += [(50, "http://l.example/50", article(50)), (51, "http://l.example/51", f"<div>{prose(150, 20)}</div><div>{prose(51, 20)}</div>")]
+    rows += [(53, "http://m.example/53", article(53)), (52, "http://m.example/52", f"<div>{prose(153, 30)}</div>")]
+    wanted = {k: whole(k) for k in range(5)} | {k: f"{whole(k)}\n\n{prose(200 + k, 12)}" for k in (5, 6)}
+    wanted |= {k: whole(k, line if k < 13 else "") for k in range(10, 20)} | {k: whole(30) for k in range(30, 35)}
+    wanted |= {k: whole(k, notice) for k in (40, 41, 42)} | {50: whole(50), 51: prose(51, 20), 52: prose(153, 30), 53: whole(53)}
+    for counted, twice in ((html_text.COUNTED_CHARS, False), (700, True)):
+        monkeypatch.setattr(html_text, "COUNTED_CHARS", counted)
+        given = spark.createDataFrame(rows + rows * twice, "page_id long, url string, html string").repartition(3)
+        found = html_text.main_text(given).collect()
+        assert len(found) == len(rows) * (1 + twice)
+        assert {r["page_id"]: r["text"] for r in found} == wanted
+
+
+def test_prefixes_of_both_streams_and_their_spread():
+    row = [("a b c d e f g h i", html_text.ARTICLE), ("x y", html_text.OPEN), ("z", html_text.FURNISHED)]
+    assert [len(html_text.prefixes("h", row, article)) for article in (False, True)] == [1, 2]
+    assert len(html_text.prefixes("", row, True)) == 0
+    held = [np.array(x, dtype=np.int64) for x in ([1, 2, 9], [1, 3, 9], [4, 9], [5, 6])]
+    pages, spread = html_text.spread_here([7, 7, 7, 8], held)
+    assert pages == [3, None, None, 1]
+    assert [s and [(x["prefix"], x["n"]) for x in s] for s in spread] == [[(1, 2), (9, 3)], None, None, [(5, 1), (6, 1)]]
