@@ -580,3 +580,19 @@ def test_prefixes_of_both_streams_and_their_spread():
     pages, spread = html_text.spread_here([7, 7, 7, 8], held)
     assert pages == [3, None, None, 1]
     assert [s and [(x["prefix"], x["n"]) for x in s] for s in spread] == [[(1, 2), (9, 3)], None, None, [(5, 1), (6, 1)]]
+
+
+def test_two_lines_are_compared_as_lists_of_lines_are():
+    lines = ["ab", "abcd", "abcde", prose(1, 8), prose(1, 8) + "x", prose(1, 9), prose(2, 8)]
+    pairs = [(x, y) for x in lines for y in lines]
+    found = [line_dedup.similar(x, y) for x, y in pairs]
+    assert found == line_dedup.similar([x for x, _ in pairs], [y for _, y in pairs])
+    assert 0 < sum(found) < len(found)
+
+
+def test_bands_do_not_depend_on_the_lines_taken_together(monkeypatch):
+    lines = [prose(k, 1 + k % 9) for k in range(200)] + ["a", "abcde", "é東 x"]
+    whole = line_dedup.bands_of(lines)
+    runs = list(line_dedup.portions(lines, 300, len(lines)))
+    assert len(runs) > 5
+    assert [b for first, last in runs for b in line_dedup.bands_of(lines[first:last])] == whole
